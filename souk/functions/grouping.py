@@ -86,3 +86,10 @@ def profile(
     for out, dim in distinct.items():
         picks.append(F.count(F.when(of(dim), F.col(named[dim]))).alias(out))
     return fine.groupBy(*keys).agg(*picks)
+
+
+def always_one_row(report: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """A report of at most one row, with a row of NULLs under ``keys`` if it has none."""
+    period = report.sparkSession.range(1).select(*[v.alias(k) for k, v in keys.items()])
+    both = report.unionByName(period, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in report.columns if c not in keys])

@@ -201,8 +201,11 @@ def weekly_category_revenue(
     )
 
 
-def category_forecast(orders: DataFrame, as_of: AsOf = None, **filters) -> DataFrame:
-    """Growth from the first to the last week per category, with the weeks as a nested list."""
+def category_forecast(
+    orders: DataFrame, as_of: AsOf = None, k: int | None = None, **filters
+) -> DataFrame:
+    """Growth from the first to the last week per category, with the weeks as a nested list;
+    ``k`` keeps the categories that grow most."""
     weekly = weekly_category_revenue(orders, as_of, **filters)
     week = F.struct(
         F.to_date("week").alias("week"), F.col("revenue"), F.col("orders")
@@ -223,7 +226,7 @@ def category_forecast(orders: DataFrame, as_of: AsOf = None, **filters) -> DataF
         .when((F.col("first") > 0) & (change < -border), "falling")
         .otherwise("stable")
     )
-    return (
+    ranked = (
         per_category.filter(F.col("weeks") >= 2)
         .select(
             "category",
@@ -234,6 +237,7 @@ def category_forecast(orders: DataFrame, as_of: AsOf = None, **filters) -> DataF
         )
         .orderBy(F.desc("growth_pct"), F.asc_nulls_last("category"))
     )
+    return ranked.limit(k) if k else ranked
 
 
 def inventory_alert(
@@ -354,3 +358,16 @@ def churn_high_value(
         .orderBy(F.desc("total_spent"), F.asc_nulls_last("customer_id"), F.asc_nulls_last("customer_name"))
         .limit(k)
     )
+
+
+def reports(orders: DataFrame, as_of: AsOf = None, **filters) -> dict[str, DataFrame]:
+    """All figures of one dashboard refresh. They share the filtered orders: cache
+    ``dashboard_filter(orders, ...)`` and pass that if they are to be read only once."""
+    plain = (
+        summary, revenue_by_city, category_sales, order_status, monthly_revenue, top_products,
+    )
+    timed = (sales_prediction, category_forecast, inventory_alert, churn_summary, churn_high_value)
+    return {
+        **{f.__name__: f(orders, **filters) for f in plain},
+        **{f.__name__: f(orders, as_of, **filters) for f in timed},
+    }

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souk.functions.grouping import profile
+from souk.functions.grouping import always_one_row, profile
 from souk.functions.money import TOTAL, mean, ratio
 from souk.functions.times import AsOf, at, in_hour, on_day, whole_days
 
@@ -94,8 +94,10 @@ def daily_sales_summary(
         payments.withColumn("summary_date", F.to_date(TS)),
         keys,
     )
-    if day is not None:
-        report = _always_one_row(report, {"summary_date": F.lit(str(day)).cast("date")})
+    if day is None:
+        report = _defaults(report)
+    else:
+        report = _defaults(always_one_row(report, {"summary_date": F.lit(str(day)).cast("date")}))
     return report.select(
         "summary_date",
         "total_orders",
@@ -117,11 +119,12 @@ def hourly_stats(orders: DataFrame, payments: DataFrame, hour: str | None = None
         payments = payments.filter(in_hour(payments, TS, hour))
     keys = {"stat_date": F.to_date(TS), "stat_hour": F.hour(TS)}
     report = _sales_report(orders.withColumns(keys), payments.withColumns(keys), list(keys))
-    if hour is not None:
+    if hour is None:
+        report = _defaults(report)
+    else:
         start = F.lit(str(hour)).cast("timestamp_ntz")
-        report = _always_one_row(
-            report, {"stat_date": F.to_date(start), "stat_hour": F.hour(start)}
-        )
+        period = {"stat_date": F.to_date(start), "stat_hour": F.hour(start)}
+        report = _defaults(always_one_row(report, period))
     return report.select(
         *keys,
         "total_orders",
@@ -147,7 +150,7 @@ def _sales_report(orders: DataFrame, payments: DataFrame, keys: list[str]) -> Da
         F.count_if(F.col("status") == "failed").alias("failed_payments"),
     )
     # both sides hold one row per period here
-    return _defaults(sales.join(paid, keys, "full_outer"))
+    return sales.join(paid, keys, "full_outer")
 
 
 def _defaults(report: DataFrame) -> DataFrame:
@@ -168,12 +171,6 @@ def _defaults(report: DataFrame) -> DataFrame:
     return report.withColumns({**labels, **zeros})
 
 
-def _always_one_row(report: DataFrame, keys: dict) -> DataFrame:
-    """The report of a single period exists even if nothing happened in it."""
-    period = report.sparkSession.range(1).select(*[v.alias(k) for k, v in keys.items()])
-    return _defaults(period.join(report, list(keys), "left"))
-
-
 def delivery_analysis(deliveries: DataFrame, day: str | date | None = None) -> DataFrame:
     """Deliveries per day and city by state and speed, busiest city first."""
     if day is not None:

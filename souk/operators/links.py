@@ -10,19 +10,32 @@ from pyspark.sql import functions as F
 from souk.functions.times import on_day
 
 
+def paid_order_ids(payments: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """The distinct order ids that payments refer to; with ``orders``, only those among them.
+
+    A few orders are looked up in all payments that way without shuffling the payments. Ids are
+    made distinct before a join: an id that many payments share would otherwise end up in one
+    task.
+    """
+    paid = payments.filter(F.col("payment_id").isNotNull()).select("order_id")
+    if orders is not None:
+        paid = paid.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+    return paid.distinct()
+
+
 def orders_without_payment(
     orders: DataFrame, payments: DataFrame, day: str | date | None = None, ts: str = "timestamp"
 ) -> DataFrame:
     """Orders (of one day, or all) that no payment refers to."""
-    if day is not None:
-        orders = orders.filter(on_day(orders, ts, day))
-    paid = payments.filter(F.col("payment_id").isNotNull()).select("order_id")
-    return orders.join(paid, "order_id", "left_anti")
+    if day is None:
+        return orders.join(paid_order_ids(payments), "order_id", "left_anti")
+    some = orders.filter(on_day(orders, ts, day))
+    return some.join(paid_order_ids(payments, some), "order_id", "left_anti")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row."""
-    known = parent.select(F.col(parent_key or key).alias("_parent"))
+    known = parent.select(F.col(parent_key or key).alias("_parent")).distinct()
     return child.filter(F.col(key).isNotNull()).join(
         known, F.col(key) == F.col("_parent"), "left_anti"
     )

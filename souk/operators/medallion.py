@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from souk.functions.grouping import first_per_key, last_per_key
 from souk.operators.validate import (
     Rule,
     check_constraints,
+    constraint_rules,
     rejected_rows,
     unreadable,
     valid_rows,
     with_reason,
 )
-from souk.sources.schemas import DELIVERIES, EVENT_TOPIC, ORDERS, PAYMENTS, Table
+from souk.sources.schemas import (
+    DELIVERIES,
+    DELIVERIES_TOPIC,
+    DELIVERY_EVENT,
+    EVENT_TOPIC,
+    ORDER_EVENT,
+    ORDERS,
+    ORDERS_TOPIC,
+    PAYMENT_EVENT,
+    PAYMENTS,
+    PAYMENTS_TOPIC,
+    Table,
+)
 
 # fixed values
 PLACED = "order_placed"
@@ -22,7 +38,6 @@ CANCELLED = "order_cancelled"
 PAYMENT_TYPES = ("payment_success", "payment_failed")
 DELIVERY_TYPES = ("order_shipped", "order_delivered")
 POSITION = ("partition", "offset")
-CARRIED = ("topic", "value", *POSITION)  # of the message, for refusals and ordering
 
 
 def routed(events: DataFrame) -> DataFrame:
@@ -54,99 +69,106 @@ def bronze_events(parsed: DataFrame) -> DataFrame:
     return first_per_key(rows, ["event_id"], ["kafka_partition", "kafka_offset"])
 
 
-def silver_orders(parsed: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Silver:
+    """How the events of one topic become rows of a silver table."""
+
+    table: Table
+    topic: str
+    applies: Column  # which of the topic's events the table takes
+    columns: dict[str, Column]
+
+
+def silver_orders() -> Silver:
     """Placed orders with a key and a positive amount, typed."""
-    o = "order."
-    placed = parsed.filter(
-        (F.col("event_type") == PLACED)
-        & F.col(o + "order_id").isNotNull()
-        & (F.col(o + "total_amount") > 0)
-    )
-    return placed.select(
-        F.col(o + "order_id").alias("order_id"),
-        "event_id",
-        F.col(o + "user_id").alias("user_id"),
-        F.col(o + "session_id").alias("session_id"),
-        F.col(o + "product_id").alias("product_id"),
-        F.col(o + "product_category").alias("product_category"),
-        F.col(o + "quantity").alias("quantity"),
-        F.col(o + "unit_price").try_cast("decimal(10,2)").alias("unit_price"),
-        F.col(o + "total_amount").try_cast("decimal(12,2)").alias("total_amount"),
-        F.col(o + "payment_method").alias("payment_method"),
-        F.col(o + "city").alias("city"),
-        F.col(o + "state").alias("state"),
-        F.col(o + "device").alias("device"),
-        F.lit("placed").alias("order_status"),
-        "event_time",
-        F.lit(True).alias("is_valid"),
-        *CARRIED,
+    o = {c: F.col(f"order.{c}") for c in StructType.fromDDL(ORDER_EVENT).names}
+    same = ("user_id", "session_id", "product_id", "product_category", "quantity")
+    place = ("payment_method", "city", "state", "device")
+    return Silver(
+        ORDERS,
+        ORDERS_TOPIC,
+        (F.col("event_type") == PLACED) & o["order_id"].isNotNull() & (o["total_amount"] > 0),
+        {
+            "order_id": o["order_id"],
+            "event_id": F.col("event_id"),
+            **{c: o[c] for c in same},
+            "unit_price": o["unit_price"].try_cast("decimal(10,2)"),
+            "total_amount": o["total_amount"].try_cast("decimal(12,2)"),
+            **{c: o[c] for c in place},
+            "order_status": F.lit("placed"),
+            "event_time": F.col("event_time"),
+            "is_valid": F.lit(True),
+        },
     )
 
 
-def silver_payments(parsed: DataFrame) -> DataFrame:
+def silver_payments() -> Silver:
     """Payment results with a key, typed."""
-    p = "payment."
-    paid = parsed.filter(
-        F.col("event_type").isin(*PAYMENT_TYPES) & F.col(p + "payment_id").isNotNull()
-    )
-    return paid.select(
-        F.col(p + "payment_id").alias("payment_id"),
-        F.col(p + "order_id").alias("order_id"),
-        F.col(p + "user_id").alias("user_id"),
-        F.col(p + "amount").try_cast("decimal(12,2)").alias("amount"),
-        F.col(p + "payment_method").alias("payment_method"),
-        F.col(p + "payment_status").alias("payment_status"),
-        F.col(p + "failure_reason").alias("failure_reason"),
-        "event_time",
-        *CARRIED,
+    p = {c: F.col(f"payment.{c}") for c in StructType.fromDDL(PAYMENT_EVENT).names}
+    same = ("payment_method", "payment_status", "failure_reason")
+    return Silver(
+        PAYMENTS,
+        PAYMENTS_TOPIC,
+        F.col("event_type").isin(*PAYMENT_TYPES) & p["payment_id"].isNotNull(),
+        {
+            **{c: p[c] for c in ("payment_id", "order_id", "user_id")},
+            "amount": p["amount"].try_cast("decimal(12,2)"),
+            **{c: p[c] for c in same},
+            "event_time": F.col("event_time"),
+        },
     )
 
 
-def silver_deliveries(parsed: DataFrame) -> DataFrame:
-    """Shipping and delivery events with a key, typed, and whether they are late."""
-    d = "delivery."
-    moved = parsed.filter(
-        F.col("event_type").isin(*DELIVERY_TYPES) & F.col(d + "delivery_id").isNotNull()
-    )
-    return moved.select(
-        F.col(d + "delivery_id").alias("delivery_id"),
-        F.col(d + "order_id").alias("order_id"),
-        F.col(d + "user_id").alias("user_id"),
-        F.col(d + "delivery_status").alias("delivery_status"),
-        F.col(d + "city").alias("city"),
-        F.col(d + "estimated_days").alias("estimated_days"),
-        F.col(d + "actual_days").alias("actual_days"),
-        (F.col(d + "actual_days") > F.col(d + "estimated_days")).alias("is_delayed"),
-        "event_time",
-        *CARRIED,
+def silver_deliveries() -> Silver:
+    """Shipping and delivery events with a key, and whether they are late."""
+    d = {c: F.col(f"delivery.{c}") for c in StructType.fromDDL(DELIVERY_EVENT).names}
+    same = ("delivery_status", "city", "estimated_days", "actual_days")
+    return Silver(
+        DELIVERIES,
+        DELIVERIES_TOPIC,
+        F.col("event_type").isin(*DELIVERY_TYPES) & d["delivery_id"].isNotNull(),
+        {
+            **{c: d[c] for c in ("delivery_id", "order_id", "user_id")},
+            **{c: d[c] for c in same},
+            "is_delayed": d["actual_days"] > d["estimated_days"],
+            "event_time": F.col("event_time"),
+        },
     )
 
 
-SILVER: dict[str, tuple] = {
-    ORDERS.name: (ORDERS, silver_orders),
-    PAYMENTS.name: (PAYMENTS, silver_payments),
-    DELIVERIES.name: (DELIVERIES, silver_deliveries),
-}
+def silver_tables() -> list[Silver]:
+    return [silver_orders(), silver_payments(), silver_deliveries()]
 
 
-def silver_rows(parsed: DataFrame, table: Table) -> DataFrame:
+def silver_rows(parsed: DataFrame, silver: Silver) -> DataFrame:
     """Rows for one silver table that meet its constraints, one per key (lowest position)."""
-    _, build = SILVER[table.name]
-    good = valid_rows(check_constraints(build(parsed), table)).drop("topic", "value")
-    return first_per_key(good, table.keys, POSITION)
+    # the topic filter reaches the messages before they are parsed
+    taken = parsed.filter((F.col("topic") == silver.topic) & silver.applies)
+    rows = taken.select(*[c.alias(n) for n, c in silver.columns.items()], *POSITION)
+    good = valid_rows(check_constraints(rows, silver.table))
+    return first_per_key(good, silver.table.keys, POSITION)
 
 
 def refused_events(parsed: DataFrame) -> DataFrame:
     """Messages that the parser or a table's constraints refuse:
     ``topic, value, rejection_reason`` and the position."""
-    columns = [*CARRIED, "rejection_reason"]
-    checked = with_reason(parsed, bronze_rules())
-    readable = valid_rows(checked)
-    refused = rejected_rows(checked).select(*columns)
-    for table, build in SILVER.values():
-        refused = refused.unionByName(
-            rejected_rows(check_constraints(build(readable), table)).select(*columns)
+    carried = ("topic", "value", *POSITION)
+    needed = ("event_id", "event_type", "corrupt")
+    kinds = silver_tables()
+    # messages of other topics cannot be read
+    other = ~F.coalesce(F.col("topic").isin([s.topic for s in kinds]), F.lit(False))
+    refused = rejected_rows(with_reason(parsed.filter(other), bronze_rules()))
+    refused = refused.select(*carried, "rejection_reason")
+    for silver in kinds:
+        rows = parsed.filter(F.col("topic") == silver.topic).select(
+            *carried,
+            *[c for c in needed if c not in silver.columns],
+            *[c.alias(n) for n, c in silver.columns.items()],
+            F.coalesce(silver.applies, F.lit(False)).alias("_applies"),
         )
+        own = [(F.col("_applies") & fails, why) for fails, why in constraint_rules(silver.table)]
+        bad = rejected_rows(with_reason(rows, [*bronze_rules(), *own]))
+        refused = refused.unionByName(bad.select(*carried, "rejection_reason"))
     return refused
 
 

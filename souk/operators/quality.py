@@ -8,8 +8,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.grouping import always_one_row
 from souk.functions.money import RATE
 from souk.functions.times import AsOf, at, on_day, trailing
+from souk.operators.links import paid_order_ids
 from souk.sources.schemas import EVENT_TYPES
 
 # fixed values: periods and limits
@@ -210,12 +212,8 @@ def daily_quality_report(
         F.count_if(absent).alias("absent"),
         F.count_if(bad).alias("bad"),
     )
-    paid = (
-        payments.filter(F.col("payment_id").isNotNull())
-        .select("order_id")
-        .distinct()
-        .withColumn("_paid", F.lit(True))
-    )
+    looked_up = None if day is None else order_rows
+    paid = paid_order_ids(payments, looked_up).withColumn("_paid", F.lit(True))
     checked = (
         per_id.join(paid, "order_id", "left")
         .groupBy("check_date")
@@ -233,8 +231,7 @@ def daily_quality_report(
     )
     report = checked.join(rates, "check_date", "full_outer")
     if day is not None:
-        only = report.sparkSession.range(1).select(F.lit(str(day)).cast("date").alias("check_date"))
-        report = only.join(report, "check_date", "left")
+        report = always_one_row(report, {"check_date": F.lit(str(day)).cast("date")})
     counts = ("null_values", "negative_amounts", "duplicate_orders", "unmatched_payments")
     report = report.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in (*counts, "_n", "_f")}

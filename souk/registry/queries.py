@@ -375,23 +375,23 @@ def bronze_events(spark, sf):
 
 @query
 def silver_orders(spark, sf):
-    rows = medallion.silver_rows(parse_events(_messages(spark, sf)), ORDERS)
+    rows = medallion.silver_rows(parse_events(_messages(spark, sf)), medallion.silver_orders())
     return rows.drop("session_id", "state", "device")
 
 
 @query
 def silver_payments(spark, sf):
-    return medallion.silver_rows(parse_events(_messages(spark, sf)), PAYMENTS).drop("failure_reason")
+    return medallion.silver_rows(parse_events(_messages(spark, sf)), medallion.silver_payments()).drop("failure_reason")
 
 
 @query
 def silver_deliveries(spark, sf):
-    return medallion.silver_rows(parse_events(_messages(spark, sf)), DELIVERIES)
+    return medallion.silver_rows(parse_events(_messages(spark, sf)), medallion.silver_deliveries())
 
 
 @query
 def current_deliveries(spark, sf):
-    rows = medallion.silver_rows(parse_events(_messages(spark, sf)), DELIVERIES)
+    rows = medallion.silver_rows(parse_events(_messages(spark, sf)), medallion.silver_deliveries())
     return medallion.current_deliveries(rows)
 
 

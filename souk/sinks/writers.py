@@ -111,6 +111,15 @@ def encode_events(events: DataFrame) -> DataFrame:
     )
 
 
+def encode_records(records: DataFrame, topic: str) -> DataFrame:
+    """Flat records as messages of one topic, without a key."""
+    return records.select(
+        F.lit(topic).alias("topic"),
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(*records.columns)).alias("value"),
+    )
+
+
 KAFKA_SINK = {"kafka.acks": "all", "kafka.compression.type": "gzip", "kafka.retries": "3"}
 
 

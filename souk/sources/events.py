@@ -76,18 +76,24 @@ def text_messages(df: DataFrame) -> DataFrame:
 
 def parse_events(messages: DataFrame) -> DataFrame:
     """Adds the parsed struct of the message's own topic (``order``, ``payment``, ``delivery``)
-    and the fields all events share; malformed text sets ``corrupt``."""
+    and the fields all events share; ``corrupt`` holds text that is not a readable event.
+
+    A single field of the wrong type only becomes NULL.
+    """
     parts = {
         "order": (ORDERS_TOPIC, ORDER_EVENT),
         "payment": (PAYMENTS_TOPIC, PAYMENT_EVENT),
         "delivery": (DELIVERIES_TOPIC, DELIVERY_EVENT),
     }
-    parsed = messages.withColumns(
-        {
-            name: F.when(F.col("topic") == topic, F.from_json("value", schema, _JSON))
+    structs = F.struct(
+        *[
+            F.when(F.col("topic") == topic, F.from_json("value", schema, _JSON)).alias(name)
             for name, (topic, schema) in parts.items()
-        }
+        ]
     )
+    # inline() keeps the parser in one place: as a plain column, filters on parsed fields would be
+    # pushed below it and parse the text once more each
+    parsed = messages.select("*", F.inline(F.array(structs)))
 
     def shared(field: str):
         return F.coalesce(*[F.col(f"{name}.{field}") for name in parts])
@@ -97,7 +103,7 @@ def parse_events(messages: DataFrame) -> DataFrame:
             "event_id": shared("event_id"),
             "event_type": shared("event_type"),
             "event_time": F.try_to_timestamp(shared("timestamp")),
-            "corrupt": shared(CORRUPT),
+            "corrupt": F.when(shared("event_id").isNull(), shared(CORRUPT)),
         }
     )
 
@@ -107,7 +113,6 @@ def parse_flat(messages: DataFrame, topic: str) -> DataFrame:
     record = F.from_json("value", FLAT_BY_TOPIC[topic], _JSON)
     return (
         messages.filter(F.col("topic") == topic)
-        .select("value", "topic", "partition", "offset", record.alias("r"))
-        .select("value", "topic", "partition", "offset", "r.*")
+        .select("value", "topic", "partition", "offset", F.inline(F.array(record)))
         .withColumnRenamed(CORRUPT, "corrupt")
     )

@@ -288,12 +288,14 @@ FLAT_TABLES = {
     PAYMENTS_TOPIC: FLAT_PAYMENTS,
     DELIVERIES_TOPIC: FLAT_DELIVERIES,
 }
-# The message position makes a replayed batch harmless.
+# The message position makes a replayed batch harmless; its range limits the lookup.
 REJECTED = Table(
     "public.rejected_records",
     "topic STRING, record_data STRING, rejection_reason STRING, kafka_partition INT, "
     "kafka_offset LONG, rejected_at TIMESTAMP",
     keys=("topic", "kafka_partition", "kafka_offset"),
+    partition=("offset_range", "LONG", "kafka_offset div 10000000"),
+    key_fixes_partition=True,
     defaults={"rejected_at": "current_timestamp()"},
 )
 CUSTOMER_SEGMENTS = Table(

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from souk.operators.medallion import POSITION, SILVER, bronze_events, refused_events, silver_rows
+from souk.operators.medallion import (
+    POSITION,
+    Silver,
+    bronze_events,
+    refused_events,
+    silver_rows,
+    silver_tables,
+)
 from souk.sinks.writers import insert_ignore, write_rejected
 from souk.sources.events import parse_events
 from souk.sources.schemas import RAW_EVENTS
@@ -19,11 +29,22 @@ def write_batch(messages: DataFrame, root: str) -> None:
     failure changes nothing."""
     parsed = parse_events(messages).persist()  # parsed once for the five writes
     try:
+        # raw events first: silver rows refer to them
         insert_ignore(bronze_events(parsed), RAW_EVENTS, root, ["kafka_partition", "kafka_offset"])
-        for table, _ in SILVER.values():
-            insert_ignore(silver_rows(parsed, table), table, root, POSITION)
-        refused = refused_events(parsed)
-        write_rejected(refused, root, topic=refused["topic"], record=refused["value"])
+
+        def write_silver(silver: Silver) -> None:
+            insert_ignore(silver_rows(parsed, silver), silver.table, root, POSITION)
+
+        def write_refused() -> None:
+            refused = refused_events(parsed)
+            write_rejected(refused, root, topic=F.col("topic"), record=F.col("value"))
+
+        # the other tables are independent; side by side they fill the cluster better
+        with ThreadPoolExecutor(4) as pool:
+            writes = [pool.submit(write_silver, s) for s in silver_tables()]
+            writes.append(pool.submit(write_refused))
+        for write in writes:
+            write.result()
     finally:
         parsed.unpersist()
 

@@ -235,3 +235,19 @@ def test_cancellations_and_orphans(spark):
     cancelled = spark.createDataFrame([("a",), ("a",), ("z",)], "order_id STRING")
     assert sorted(map(tuple, medallion.apply_cancellations(orders, cancelled).collect())) == [("a", "cancelled"), ("b", "placed")]
     assert [r.order_id for r in links.orphans(cancelled, orders, "order_id").collect()] == ["z"]
+
+
+def test_dashboard_reports(spark):
+    orders = spends(spark, [("c", "5", "2024-01-01"), ("c", "7", "2024-01-09"), ("d", "7", "2024-01-17")])
+    all_reports = dashboard.reports(orders, "2024-01-31", city="x")
+    assert len(all_reports) == 11
+    counts = {name: df.count() for name, df in all_reports.items()}
+    assert counts["sales_prediction"] == 7 and counts["category_forecast"] == 1 and counts["summary"] == 1
+    assert dashboard.category_forecast(orders, "2024-01-31", k=1).count() == 1
+
+
+def test_orders_without_payment_one_day(spark):
+    orders = spends(spark, [("c", "5", "2024-01-01"), ("c", "7", "2024-01-02"), ("d", "7", "2024-01-02")])
+    paid = payments(spark, [("p", "1", "failed", "2024-02-01"), ("q", "1", "success", "2024-02-01"), (None, "2", "x", "2024-01-02")])
+    assert [r.order_id for r in links.orders_without_payment(orders, paid, "2024-01-02").collect()] == ["2"]
+    assert sorted(r.order_id for r in links.orders_without_payment(orders, paid).collect()) == ["0", "2"]
