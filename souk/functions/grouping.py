@@ -35,6 +35,17 @@ def _extreme(df, keys, order_by, pick) -> DataFrame:
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def lookup_ids(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of ``column``, to be joined with rows among which a value may be hot.
+
+    Distinct takes the repeats out of this side. The values are then computed anew (to the same
+    value): Spark no longer sees them as partitioned by ``column`` and shuffles them to the join,
+    and adaptive execution splits a hot key only if both sides come straight from a shuffle.
+    """
+    unique = df.select(column).distinct()
+    return unique.select(F.greatest(column, column).alias(column))
+
+
 _STEPS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 

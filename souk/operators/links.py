@@ -7,20 +7,19 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souk.functions.grouping import lookup_ids
 from souk.functions.times import on_day
 
 
 def paid_order_ids(payments: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """The distinct order ids that payments refer to; with ``orders``, only those among them.
 
-    A few orders are looked up in all payments that way without shuffling the payments. Ids are
-    made distinct before a join: an id that many payments share would otherwise end up in one
-    task.
+    A few orders are looked up in all payments that way without shuffling the payments.
     """
     paid = payments.filter(F.col("payment_id").isNotNull()).select("order_id")
     if orders is not None:
-        paid = paid.join(orders.select("order_id").distinct(), "order_id", "left_semi")
-    return paid.distinct()
+        paid = paid.join(lookup_ids(orders, "order_id"), "order_id", "left_semi")
+    return lookup_ids(paid, "order_id")
 
 
 def orders_without_payment(
@@ -35,7 +34,7 @@ def orders_without_payment(
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row."""
-    known = parent.select(F.col(parent_key or key).alias("_parent")).distinct()
+    known = lookup_ids(parent.select(F.col(parent_key or key).alias("_parent")), "_parent")
     return child.filter(F.col(key).isNotNull()).join(
         known, F.col(key) == F.col("_parent"), "left_anti"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from souk.functions.grouping import first_per_key, last_per_key
+from souk.functions.grouping import first_per_key, last_per_key, lookup_ids
 from souk.operators.validate import (
     Rule,
     check_constraints,
@@ -187,7 +187,7 @@ def cancellations(parsed: DataFrame) -> DataFrame:
 def apply_cancellations(orders: DataFrame, cancelled: DataFrame) -> DataFrame:
     """Orders with status ``cancelled`` where a cancellation event exists."""
     # one row per order, so that repeated cancellations do not multiply orders
-    hits = cancelled.select("order_id").distinct().withColumn("_hit", F.lit(True))
+    hits = lookup_ids(cancelled, "order_id").withColumn("_hit", F.lit(True))
     status = F.when(F.col("_hit"), F.lit("cancelled")).otherwise(F.col("order_status"))
     return (
         orders.join(hits, "order_id", "left")
