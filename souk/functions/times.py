@@ -51,3 +51,15 @@ def truncated(df: DataFrame, unit: str, column: str) -> Column:
 def whole_days(later: Column, earlier: Column) -> Column:
     """Full 24-hour periods between two timestamps."""
     return F.extract(F.lit("DAY"), later - earlier)
+
+
+def moment(as_of: AsOf = None) -> Column:
+    """``as_of`` (None = now) as a timestamp."""
+    if isinstance(as_of, Column):
+        return as_of
+    return F.current_timestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp")
+
+
+def before(as_of: AsOf, period: str) -> Column:
+    """The moment ``period`` before ``as_of``."""
+    return moment(as_of) - F.expr(f"INTERVAL {period}")

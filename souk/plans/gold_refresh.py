@@ -8,9 +8,8 @@ time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from souk.functions.times import AsOf
+from souk.functions.times import AsOf, before, moment
 from souk.operators import gold
 from souk.operators.medallion import current_deliveries
 from souk.sinks.writers import upsert
@@ -28,26 +27,26 @@ from souk.sources.schemas import (
 from souk.sources.tables import read_table
 
 
-def since_day(silver: DataFrame, since: str | None) -> DataFrame:
-    """Only whole days from ``since`` on: prunes the date partitions."""
-    return silver if since is None else silver.filter(F.col("event_date") >= F.lit(since).cast("date"))
-
-
 def refresh_gold(spark: SparkSession, root: str, as_of: AsOf = None, since: str | None = None) -> None:
     """Refresh all KPI tables.
 
     ``since`` limits the per-day tables to days from that date on; the trailing tables have their
-    own period and customer metrics always cover all orders.
+    own period and customer metrics always cover all orders. Only the day partitions needed are
+    read.
     """
+    first_day = None if since is None else moment(since)
+    recent = before(as_of, gold.REFRESH_PERIOD)
     orders = read_table(spark, ORDERS, root)
-    payments = read_table(spark, PAYMENTS, root)
+    changed = read_table(spark, ORDERS, root, since=first_day)
     # a delivery counts once, in the state of its latest event, so a changed day cannot be
     # recomputed from that day's events alone
     deliveries = current_deliveries(read_table(spark, DELIVERIES, root))
-    upsert(gold.hourly_revenue(orders, as_of), HOURLY_REVENUE, root)
-    upsert(gold.daily_revenue(since_day(orders, since)), DAILY_REVENUE, root)
-    upsert(gold.revenue_by_city(since_day(orders, since)), REVENUE_BY_CITY, root)
-    upsert(gold.payment_failure_metrics(payments, as_of), PAYMENT_FAILURES, root)
+    recent_orders = read_table(spark, ORDERS, root, since=recent)
+    recent_payments = read_table(spark, PAYMENTS, root, since=recent)
+    upsert(gold.hourly_revenue(recent_orders, as_of), HOURLY_REVENUE, root)
+    upsert(gold.daily_revenue(changed), DAILY_REVENUE, root)
+    upsert(gold.revenue_by_city(changed), REVENUE_BY_CITY, root)
+    upsert(gold.payment_failure_metrics(recent_payments, as_of), PAYMENT_FAILURES, root)
     upsert(gold.delayed_shipments(deliveries), DELAYED_SHIPMENTS, root)
     upsert(gold.customer_metrics(orders, as_of), CUSTOMER_METRICS, root)
 

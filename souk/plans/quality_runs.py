@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from souk.functions.times import AsOf
+from souk.functions.times import AsOf, moment
 from souk.operators import quality
 from souk.sinks.writers import append
 from souk.sources.schemas import (
@@ -41,7 +41,9 @@ def run_layer_checks(
 def report_day(spark: SparkSession, root: str, day: str, raise_failures: bool = True) -> DataFrame:
     """Log one day's report; a failed day is logged as well, then raised."""
     report = quality.daily_quality_report(
-        read_table(spark, FLAT_ORDERS, root), read_table(spark, FLAT_PAYMENTS, root), day
+        read_table(spark, FLAT_ORDERS, root, since=moment(day), until=moment(day)),
+        read_table(spark, FLAT_PAYMENTS, root),  # an order may be paid on another day
+        day,
     ).persist()
     append(report, DATA_QUALITY_LOG, root)
     if raise_failures and report.filter("status = 'FAILED'").count():

@@ -36,6 +36,7 @@ from souk.sources.schemas import (
     REJECTED,
     TOPIC_THROUGHPUT,
     Table,
+    key_bucket,
 )
 from souk.sources.tables import conform, read_table
 from souk.streaming import event_tables, flat_tables, windows
@@ -48,7 +49,7 @@ LINES = Table(
     "public.order_lines",
     "order_id LONG, line_no INT, product_id LONG, quantity INT, total_amount DECIMAL(12,2)",
     keys=("order_id", "line_no"),
-    partition=("key_bucket", "INT", "pmod(xxhash64(order_id, line_no), 16)"),
+    partition=key_bucket("order_id", "line_no", buckets=16),
     key_fixes_partition=True,
 )
 LINE_COLUMNS = ("order_id", "line_no", "product_id", "quantity", "total_amount")

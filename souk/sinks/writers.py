@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.grouping import first_per_key, last_per_key
-from souk.sources.schemas import EVENT_TOPIC, REJECTED, Table
+from souk.sources.schemas import EVENT_TOPIC, REJECTED, Table, TimePartition
 from souk.sources.tables import conform, create_if_absent, read_table
 
 
@@ -163,12 +163,17 @@ def jdbc_writer(
 
 
 def _write(df: DataFrame, table: Table, root: str, mode: str) -> None:
-    if table.partition:
-        name = table.partition[0]
-        writer = df.hint("rebalance", name).write.partitionBy(name)
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    part = table.partition
+    if part is None:
+        df.hint("rebalance").write.mode(mode).parquet(table.path(root))
+        return
+    if isinstance(part, TimePartition):
+        # keep days together and rows in time order: readers skip row groups by their time range
+        spread = df.withColumn("_day", F.to_date(part.column)).hint("rebalance", part.name, "_day")
+        df = spread.sortWithinPartitions(part.name, part.column).drop("_day")
     else:
-        writer = df.hint("rebalance").write
+        df = df.hint("rebalance", part.name)
+    writer = df.write.partitionBy(part.name).option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).parquet(table.path(root))
 
 
@@ -177,7 +182,7 @@ def _in_partitions_of(rows: DataFrame, table: Table) -> Column:
 
     The list has one entry per partition the write touches anyway.
     """
-    name = table.partition[0]
+    name = table.partition.name
     touched = [r[0] for r in rows.select(name).distinct().collect()]
     predicate = F.col(name).isin([v for v in touched if v is not None])
     return predicate | F.col(name).isNull() if None in touched else predicate

@@ -83,19 +83,52 @@ MESSAGE = "key STRING, value STRING, topic STRING, partition INT, offset LONG, t
 KEY_BUCKETS = 64
 
 
+@dataclass(frozen=True)
+class TimePartition:
+    """Rows are stored by the day or month of a time column."""
+
+    name: str
+    column: str
+    unit: str = "day"
+    dtype: str = "DATE"
+
+    def of(self, moment: Column) -> Column:
+        """The partition a moment belongs to."""
+        day = F.to_date(moment)
+        return day if self.unit == "day" else F.trunc(day, self.unit)
+
+    def value(self) -> Column:
+        return self.of(F.col(self.column)).alias(self.name)
+
+
+@dataclass(frozen=True)
+class KeyPartition:
+    """Rows are stored by an expression of their key."""
+
+    name: str
+    expression: str
+    dtype: str = "INT"
+
+    def value(self) -> Column:
+        return F.expr(self.expression).cast(self.dtype).alias(self.name)
+
+
+def key_bucket(*keys: str, buckets: int = KEY_BUCKETS) -> KeyPartition:
+    return KeyPartition("key_bucket", f"pmod(xxhash64({', '.join(keys)}), {buckets})")
+
+
 @dataclass(frozen=True)
 class Table:
     """A table's contract.
 
-    ``partition`` is the stored partition column and the expression that fills it. For keyed
-    tables it must follow from the key (``key_fixes_partition``) or writers look the key up in
-    all partitions.
+    ``key_fixes_partition``: rows of one key always fall into one partition, so writers look a key
+    up in the partitions of the new rows only.
     """
 
     name: str
     columns: str
     keys: tuple[str, ...] = ()
-    partition: tuple[str, str, str] | None = None  # (name, type, SQL expression)
+    partition: TimePartition | KeyPartition | None = None
     key_fixes_partition: bool = False
     defaults: dict[str, str] = field(default_factory=dict)
     not_null: tuple[str, ...] = ()
@@ -104,24 +137,12 @@ class Table:
     @property
     def schema(self) -> StructType:
         """Columns as stored, the partition column last."""
-        extra = f", {self.partition[0]} {self.partition[1]}" if self.partition else ""
+        extra = f", {self.partition.name} {self.partition.dtype}" if self.partition else ""
         return StructType.fromDDL(self.columns + extra)
 
-    @property
-    def field_names(self) -> list[str]:
-        return StructType.fromDDL(self.columns).names
-
     def path(self, root: str) -> str:
         return f"{root}/{self.name.replace('.', '/')}"
 
-    def partition_value(self) -> Column:
-        name, dtype, expression = self.partition
-        return F.expr(expression).cast(dtype).alias(name)
-
-
-def _bucket(*keys: str) -> tuple[str, str, str]:
-    return ("key_bucket", "INT", f"pmod(xxhash64({', '.join(keys)}), {KEY_BUCKETS})")
-
 
 NOW = {"processed_at": "current_timestamp()"}
 REFRESHED = {"refreshed_at": "current_timestamp()"}
@@ -133,7 +154,7 @@ RAW_EVENTS = Table(
     "event_id STRING, event_type STRING, raw_payload STRING, kafka_topic STRING, "
     "kafka_partition INT, kafka_offset LONG, event_time TIMESTAMP, ingested_at TIMESTAMP",
     keys=("event_id",),
-    partition=("event_date", "DATE", "to_date(event_time)"),
+    partition=TimePartition("event_date", "event_time"),
     key_fixes_partition=True,  # a redelivered event carries the same payload
     defaults={"ingested_at": "current_timestamp()"},
     not_null=("event_id", "event_type", "raw_payload"),
@@ -145,7 +166,7 @@ ORDERS = Table(
     "payment_method STRING, city STRING, state STRING, device STRING, order_status STRING, "
     "event_time TIMESTAMP, processed_at TIMESTAMP, is_valid BOOLEAN",
     keys=("order_id",),
-    partition=("event_date", "DATE", "to_date(event_time)"),
+    partition=TimePartition("event_date", "event_time"),
     key_fixes_partition=True,  # the id is minted with its one "placed" event
     defaults={"order_status": "'placed'", "is_valid": "true", **NOW},
     not_null=("order_id", "user_id", "product_id", "event_time"),
@@ -161,7 +182,7 @@ PAYMENTS = Table(
     "payment_method STRING, payment_status STRING, failure_reason STRING, "
     "event_time TIMESTAMP, processed_at TIMESTAMP",
     keys=("payment_id",),
-    partition=("event_date", "DATE", "to_date(event_time)"),
+    partition=TimePartition("event_date", "event_time"),
     key_fixes_partition=True,  # the id is minted with its one event
     defaults=NOW,
     not_null=("payment_id", "user_id", "event_time"),
@@ -175,7 +196,7 @@ DELIVERIES = Table(
     "estimated_days INT, actual_days INT, is_delayed BOOLEAN, event_time TIMESTAMP, "
     "processed_at TIMESTAMP",
     keys=("delivery_id", "event_time"),
-    partition=("event_date", "DATE", "to_date(event_time)"),
+    partition=TimePartition("event_date", "event_time"),
     key_fixes_partition=True,
     defaults=NOW,
     not_null=("delivery_id", "user_id", "event_time"),
@@ -185,7 +206,7 @@ HOURLY_REVENUE = Table(
     "hour_bucket TIMESTAMP, product_category STRING, total_revenue DECIMAL(22,2), "
     "order_count LONG, avg_order_value DECIMAL(12,2), refreshed_at TIMESTAMP",
     keys=("hour_bucket", "product_category"),
-    partition=("bucket_date", "DATE", "to_date(hour_bucket)"),
+    partition=TimePartition("bucket_date", "hour_bucket"),
     key_fixes_partition=True,
     defaults={"total_revenue": "0", "order_count": "0", "avg_order_value": "0", **REFRESHED},
 )
@@ -194,7 +215,7 @@ DAILY_REVENUE = Table(
     "date_bucket DATE, total_revenue DECIMAL(22,2), order_count LONG, unique_customers LONG, "
     "avg_order_value DECIMAL(12,2), top_category STRING, refreshed_at TIMESTAMP",
     keys=("date_bucket",),
-    partition=("bucket_month", "DATE", "trunc(date_bucket, 'MM')"),
+    partition=TimePartition("bucket_month", "date_bucket", "month"),
     key_fixes_partition=True,
     defaults={
         "total_revenue": "0", "order_count": "0", "unique_customers": "0",
@@ -206,7 +227,7 @@ REVENUE_BY_CITY = Table(
     "date_bucket DATE, city STRING, total_revenue DECIMAL(22,2), order_count LONG, "
     "refreshed_at TIMESTAMP",
     keys=("date_bucket", "city"),
-    partition=("bucket_month", "DATE", "trunc(date_bucket, 'MM')"),
+    partition=TimePartition("bucket_month", "date_bucket", "month"),
     key_fixes_partition=True,
     defaults={"total_revenue": "0", "order_count": "0", **REFRESHED},
 )
@@ -215,7 +236,7 @@ PAYMENT_FAILURES = Table(
     "hour_bucket TIMESTAMP, payment_method STRING, total_attempts LONG, failed_count LONG, "
     "failure_rate DECIMAL(5,2), refreshed_at TIMESTAMP",
     keys=("hour_bucket", "payment_method"),
-    partition=("bucket_date", "DATE", "to_date(hour_bucket)"),
+    partition=TimePartition("bucket_date", "hour_bucket"),
     key_fixes_partition=True,
     defaults={"total_attempts": "0", "failed_count": "0", "failure_rate": "0", **REFRESHED},
 )
@@ -226,7 +247,7 @@ CUSTOMER_METRICS = Table(
     "favourite_category STRING, favourite_payment STRING, churn_risk_flag BOOLEAN, "
     "refreshed_at TIMESTAMP",
     keys=("user_id",),
-    partition=_bucket("user_id"),
+    partition=key_bucket("user_id"),
     key_fixes_partition=True,
     defaults={
         "total_orders": "0", "total_spend": "0", "avg_order_value": "0",
@@ -238,7 +259,7 @@ DELAYED_SHIPMENTS = Table(
     "date_bucket DATE, city STRING, delayed_count LONG, total_shipments LONG, "
     "delay_rate DECIMAL(5,2), refreshed_at TIMESTAMP",
     keys=("date_bucket", "city"),
-    partition=("bucket_month", "DATE", "trunc(date_bucket, 'MM')"),
+    partition=TimePartition("bucket_month", "date_bucket", "month"),
     key_fixes_partition=True,
     defaults={"delayed_count": "0", "total_shipments": "0", "delay_rate": "0", **REFRESHED},
 )
@@ -259,29 +280,29 @@ PRODUCTS = Table(
     "product_id STRING, product_name STRING, category STRING, base_price DECIMAL(10,2)",
     keys=("product_id",),
 )
-# Flat ids are short numbers that may come back on another day, so the day does not follow from
-# the key and writers look conflicts up in the whole table.
+# Flat ids are short numbers that may come back later, so the month does not follow from the key
+# and writers look conflicts up in the whole table.
 FLAT_ORDERS = Table(
     "public.orders",
     "order_id STRING, customer_id STRING, customer_name STRING, product_id STRING, "
     "product_name STRING, category STRING, quantity INT, price DECIMAL(12,2), "
     "total_amount DECIMAL(12,2), city STRING, status STRING, timestamp TIMESTAMP",
     keys=("order_id",),
-    partition=("order_date", "DATE", "to_date(timestamp)"),
+    partition=TimePartition("order_month", "timestamp", "month"),
 )
 FLAT_PAYMENTS = Table(
     "public.payments",
     "payment_id STRING, order_id STRING, amount DECIMAL(12,2), method STRING, status STRING, "
     "timestamp TIMESTAMP",
     keys=("payment_id",),
-    partition=("payment_date", "DATE", "to_date(timestamp)"),
+    partition=TimePartition("payment_month", "timestamp", "month"),
 )
 FLAT_DELIVERIES = Table(
     "public.deliveries",
     "delivery_id STRING, order_id STRING, city STRING, status STRING, estimated_days INT, "
     "timestamp TIMESTAMP",
     keys=("delivery_id",),
-    partition=("delivery_date", "DATE", "to_date(timestamp)"),
+    partition=TimePartition("delivery_month", "timestamp", "month"),
 )
 FLAT_TABLES = {
     ORDERS_TOPIC: FLAT_ORDERS,
@@ -294,7 +315,7 @@ REJECTED = Table(
     "topic STRING, record_data STRING, rejection_reason STRING, kafka_partition INT, "
     "kafka_offset LONG, rejected_at TIMESTAMP",
     keys=("topic", "kafka_partition", "kafka_offset"),
-    partition=("offset_range", "LONG", "kafka_offset div 10000000"),
+    partition=KeyPartition("offset_range", "kafka_offset div 10000000", "LONG"),
     key_fixes_partition=True,
     defaults={"rejected_at": "current_timestamp()"},
 )
@@ -304,7 +325,7 @@ CUSTOMER_SEGMENTS = Table(
     "avg_order_value DECIMAL(12,2), last_order_date TIMESTAMP, days_since_last_order INT, "
     "segment STRING, created_at TIMESTAMP",
     keys=("customer_id",),
-    partition=_bucket("customer_id"),
+    partition=key_bucket("customer_id"),
     key_fixes_partition=True,
     defaults={"created_at": "current_timestamp()"},
 )
@@ -313,7 +334,7 @@ REVENUE_FORECAST = Table(
     "forecast_date DATE, predicted_revenue DECIMAL(24,2), avg_last_7_days DECIMAL(22,2), "
     "std_revenue DOUBLE, actual_revenue DECIMAL(22,2), accuracy_pct DECIMAL(24,2)",
     keys=("forecast_date",),
-    partition=("forecast_month", "DATE", "trunc(forecast_date, 'MM')"),
+    partition=TimePartition("forecast_month", "forecast_date", "month"),
     key_fixes_partition=True,
 )
 DAILY_SUMMARY = Table(
@@ -322,7 +343,7 @@ DAILY_SUMMARY = Table(
     "avg_order_value DECIMAL(12,2), top_product STRING, top_city STRING, "
     "successful_payments LONG, failed_payments LONG",
     keys=("summary_date",),
-    partition=("summary_month", "DATE", "trunc(summary_date, 'MM')"),
+    partition=TimePartition("summary_month", "summary_date", "month"),
     key_fixes_partition=True,
 )
 HOURLY_STATS = Table(
@@ -331,7 +352,7 @@ HOURLY_STATS = Table(
     "successful_payments LONG, failed_payments LONG, top_product STRING, top_city STRING, "
     "created_at TIMESTAMP",
     keys=("stat_date", "stat_hour"),
-    partition=("stat_month", "DATE", "trunc(stat_date, 'MM')"),
+    partition=TimePartition("stat_month", "stat_date", "month"),
     key_fixes_partition=True,
     defaults={"created_at": "current_timestamp()"},
 )
@@ -341,14 +362,14 @@ DELIVERY_ANALYSIS = Table(
     "in_transit_count LONG, out_for_delivery_count LONG, avg_estimated_days DECIMAL(12,2), "
     "fast_deliveries LONG, slow_deliveries LONG",
     keys=("analysis_date", "city"),
-    partition=("analysis_month", "DATE", "trunc(analysis_date, 'MM')"),
+    partition=TimePartition("analysis_month", "analysis_date", "month"),
     key_fixes_partition=True,
 )
 TOPIC_THROUGHPUT = Table(
     "public.topic_throughput",
     "slot_start TIMESTAMP, topic STRING, messages LONG",
     keys=("slot_start", "topic"),
-    partition=("slot_date", "DATE", "to_date(slot_start)"),
+    partition=TimePartition("slot_date", "slot_start"),
     key_fixes_partition=True,
 )
 

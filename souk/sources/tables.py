@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from souk.sources.schemas import TABLES, Table
@@ -12,14 +12,14 @@ def conform(df: DataFrame, table: Table) -> DataFrame:
     """``df`` with exactly the table's columns: cast, defaults filled, partition column last."""
     columns = []
     for f in table.schema.fields:
-        if table.partition and f.name == table.partition[0]:
+        if table.partition and f.name == table.partition.name:
             continue
         value = F.col(f.name) if f.name in df.columns else F.lit(None)
         if f.name in table.defaults:
             value = F.coalesce(value, F.expr(table.defaults[f.name]))
         columns.append(value.cast(f.dataType).alias(f.name))
     shaped = df.select(*columns)
-    return shaped.select("*", table.partition_value()) if table.partition else shaped
+    return shaped.select("*", table.partition.value()) if table.partition else shaped
 
 
 def create_if_absent(spark: SparkSession, table: Table, root: str) -> None:
@@ -27,7 +27,7 @@ def create_if_absent(spark: SparkSession, table: Table, root: str) -> None:
     empty = spark.createDataFrame([], table.schema)
     writer = empty.write.mode("ignore")
     if table.partition:
-        writer = writer.partitionBy(table.partition[0])
+        writer = writer.partitionBy(table.partition.name)
     writer.parquet(table.path(root))
 
 
@@ -36,9 +36,24 @@ def create_all(spark: SparkSession, root: str) -> None:
         create_if_absent(spark, table, root)
 
 
-def read_table(spark: SparkSession, table: Table, root: str) -> DataFrame:
-    """The table with its declared schema (no inference, partition column last)."""
-    return spark.read.schema(table.schema).parquet(table.path(root))
+def read_table(
+    spark: SparkSession,
+    table: Table,
+    root: str,
+    since: Column | None = None,
+    until: Column | None = None,
+) -> DataFrame:
+    """The table with its declared schema (no inference, partition column last).
+
+    ``since`` / ``until`` leave out the time partitions before and after these moments; rows of
+    the first and last partition are all kept, so the exact filter stays with the reader.
+    """
+    df = spark.read.schema(table.schema).parquet(table.path(root))
+    if since is not None:
+        df = df.filter(F.col(table.partition.name) >= table.partition.of(since))
+    if until is not None:
+        df = df.filter(F.col(table.partition.name) <= table.partition.of(until))
+    return df
 
 
 def jdbc_reader(
