@@ -173,8 +173,9 @@ def refused_events(parsed: DataFrame) -> DataFrame:
 
 
 def current_deliveries(deliveries: DataFrame) -> DataFrame:
-    """The latest state of each delivery."""
-    return last_per_key(deliveries, ["delivery_id"], ["event_time"])
+    """The latest state of each delivery; of two at the same time, the delivered one."""
+    ranked = deliveries.withColumn("_done", F.col("delivery_status") == "delivered")
+    return last_per_key(ranked, ["delivery_id"], ["event_time", "_done"]).drop("_done")
 
 
 def cancellations(parsed: DataFrame) -> DataFrame:

@@ -672,6 +672,15 @@ ORACLE: dict[str, str] = {
     "stream_validated_orders": sql(
         "v_orders", f"SELECT order_id, COALESCE({ORDER_REASON}, 'accepted') AS outcome FROM v_orders"
     ),
+    "stream_validated_payments": sql(
+        "v_payments",
+        """SELECT payment_id, CASE WHEN amount <= 0 THEN 'Invalid amount — must be > 0'
+                                   WHEN user_id % 6 = 5 THEN 'Invalid payment method: EMI' ELSE 'accepted' END AS outcome
+           FROM v_payments""",
+    ),
+    "stream_validated_deliveries": sql(
+        "v_deliveries", f"SELECT DISTINCT delivery_id, COALESCE({DELIVERY_REASON}, 'accepted') AS outcome FROM v_deliveries"
+    ),
     "stream_insert_ignore": sql(
         "v_orders",
         f"""SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, status, {stamp('ts')} AS "timestamp" FROM v_orders""",

@@ -27,6 +27,7 @@ from souk.sources.schemas import (
     DELIVERIES,
     DELIVERIES_TOPIC,
     FLAT_ORDERS,
+    FLAT_TABLES,
     HOURLY_REVENUE,
     ORDERS,
     ORDERS_TOPIC,
@@ -58,7 +59,12 @@ REDELIVERY = 1_000_000_000_000  # offset distance of redelivered copies
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = lambda spark, sf_dir: portable(function(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # the tables hold times without a zone; the pipeline reads them as UTC
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return portable(function(spark, sf_dir))
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -665,18 +671,35 @@ def stream_medallion(spark, sf):
     )
 
 
-@query
-def stream_validated_orders(spark, sf):
+def _outcomes(spark, messages, topic, key):
+    """Runs the validated stream of a topic; accepted and refused keys of the written tables."""
     root = run_dir(spark, "validated")
-    messages = b.flat_order_messages(b.order_stream(spark, sf))
-    _finish(flat_tables.run(messages, ORDERS_TOPIC, root, f"{root}/checkpoint", trigger=None))
-    good = read_table(spark, FLAT_ORDERS, root).select("order_id", F.lit("accepted").alias("outcome"))
+    _finish(flat_tables.run(messages, topic, root, f"{root}/checkpoint", trigger=None))
+    good = read_table(spark, FLAT_TABLES[topic], root).select(key, F.lit("accepted").alias("outcome"))
     bad = read_table(spark, REJECTED, root).select(
-        F.get_json_object("record_data", "$.order_id").alias("order_id"), F.col("rejection_reason").alias("outcome")
+        F.get_json_object("record_data", f"$.{key}").alias(key), F.col("rejection_reason").alias("outcome")
     )
     return good.unionByName(bad)
 
 
+@query
+def stream_validated_orders(spark, sf):
+    messages = b.flat_order_messages(b.order_stream(spark, sf))
+    return _outcomes(spark, messages, ORDERS_TOPIC, "order_id")
+
+
+@query
+def stream_validated_payments(spark, sf):
+    messages = b.flat_payment_messages(b.event_stream(spark, sf))
+    return _outcomes(spark, messages, PAYMENTS_TOPIC, "payment_id")
+
+
+@query
+def stream_validated_deliveries(spark, sf):
+    messages = b.flat_delivery_messages(b.line_stream(spark, sf))
+    return _outcomes(spark, messages, DELIVERIES_TOPIC, "delivery_id").distinct()
+
+
 @query
 def stream_insert_ignore(spark, sf):
     root = run_dir(spark, "flat")

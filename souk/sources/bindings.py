@@ -34,9 +34,23 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table as a file stream."""
-    schema: StructType = table(spark, sf_dir, "orders").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
-    return reader.parquet(sf_dir)
+    return _table_stream(spark, sf_dir, "orders")
+
+
+def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines, each with the city of its supplier (a stream joined with tables)."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    return (
+        _table_stream(spark, sf_dir, "lineitem")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    )
+
+
+def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema: StructType = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def _choice(selector: Column, labels: list[str]) -> Column:
@@ -309,3 +323,50 @@ def flat_order_messages(order_rows: DataFrame) -> DataFrame:
         F.col("o_orderkey").alias("offset"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
     )
+
+
+def flat_payment_messages(events: DataFrame) -> DataFrame:
+    """Purchase and error events (batch or stream) as flat JSON payment messages."""
+    paid = events.filter(F.col("event_type").isin("purchase", "error"))
+    record = F.struct(
+        F.col("event_id").cast("string").alias("payment_id"),
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("value").alias("amount"),
+        _choice(F.col("user_id") % 6, [*METHODS, "EMI"]).alias("method"),
+        F.when(F.col("event_type") == "purchase", "success").otherwise("failed").alias("status"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+    )
+    return paid.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(record).alias("value"),
+        F.lit(PAYMENTS_TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+def flat_delivery_messages(lines: DataFrame) -> DataFrame:
+    """Order lines with a city (batch or stream) as flat JSON delivery messages.
+
+    Line numbers repeat within an order, so a hash of the line's content takes the part of the
+    partition and keeps the positions apart.
+    """
+    flag = F.col("l_returnflag")
+    line = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    record = F.struct(
+        line.alias("delivery_id"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("city"),
+        F.when(flag == "A", "dispatched").when(flag == "N", "in_transit").otherwise("out_for_delivery").alias("status"),
+        (F.col("l_quantity").cast("int") % 10).alias("estimated_days"),
+        F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+    )
+    return lines.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(record).alias("value"),
+        F.lit(DELIVERIES_TOPIC).alias("topic"),
+        F.hash("l_partkey", "l_suppkey", "l_shipdate", "l_quantity").alias("partition"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+    )

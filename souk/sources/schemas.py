@@ -195,7 +195,7 @@ DELIVERIES = Table(
     "delivery_id STRING, order_id STRING, user_id STRING, delivery_status STRING, city STRING, "
     "estimated_days INT, actual_days INT, is_delayed BOOLEAN, event_time TIMESTAMP, "
     "processed_at TIMESTAMP",
-    keys=("delivery_id", "event_time"),
+    keys=("delivery_id", "event_time", "delivery_status"),
     partition=TimePartition("event_date", "event_time"),
     key_fixes_partition=True,
     defaults=NOW,
