@@ -10,12 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.grouping import first_per_key, last_per_key
 from souk.sources.schemas import EVENT_TOPIC, REJECTED, Table, TimePartition
-from souk.sources.tables import conform, create_if_absent, read_table
+from souk.sources.tables import conform, create_if_absent, read_partitions, read_table
+
+# new rows are read two or three times per write; on disk they take no memory from the joins,
+# however many they are, and a lost executor's part is computed again
+REUSE = StorageLevel.DISK_ONLY
 
 
 def append(df: DataFrame, table: Table, root: str) -> None:
@@ -37,12 +42,13 @@ def insert_ignore(
     """
     spark = df.sparkSession
     create_if_absent(spark, table, root)
-    rows = conform(first_per_key(df, table.keys, order_by), table).persist()
+    rows = conform(first_per_key(df, table.keys, order_by), table).persist(REUSE)
     try:
-        current = read_table(spark, table, root)
         search_all = not table.key_fixes_partition if everywhere is None else everywhere
-        if table.partition and not search_all:
-            current = current.filter(_in_partitions_of(rows, table))
+        if table.partition is None or search_all:
+            current = read_table(spark, table, root)
+        else:
+            current = read_partitions(spark, table, root, _touched(rows, table))
         fresh = fresh_rows(rows, current, table.keys)
         _write(fresh, table, root, mode="append")
     finally:
@@ -77,9 +83,9 @@ def upsert(df: DataFrame, table: Table, root: str, order_by: Sequence[str] = ())
         raise ValueError(f"{table.name}: upsert needs a partition column that follows from the key")
     spark = df.sparkSession
     create_if_absent(spark, table, root)
-    updates = conform(last_per_key(df, table.keys, order_by), table).persist()
+    updates = conform(last_per_key(df, table.keys, order_by), table).persist(REUSE)
     try:
-        current = read_table(spark, table, root).filter(_in_partitions_of(updates, table))
+        current = read_partitions(spark, table, root, _touched(updates, table))
         merged = merged_rows(updates, current, table.keys).select(*table.schema.names)
         _write(merged, table, root, mode="overwrite")
     finally:
@@ -177,15 +183,9 @@ def _write(df: DataFrame, table: Table, root: str, mode: str) -> None:
     writer.mode(mode).parquet(table.path(root))
 
 
-def _in_partitions_of(rows: DataFrame, table: Table) -> Column:
-    """A static predicate on the partition column: the values ``rows`` fall into.
-
-    The list has one entry per partition the write touches anyway.
-    """
-    name = table.partition.name
-    touched = [r[0] for r in rows.select(name).distinct().collect()]
-    predicate = F.col(name).isin([v for v in touched if v is not None])
-    return predicate | F.col(name).isNull() if None in touched else predicate
+def _touched(rows: DataFrame, table: Table) -> list:
+    """The partitions ``rows`` fall into: one value per partition the write touches anyway."""
+    return [r[0] for r in rows.select(table.partition.name).distinct().collect()]
 
 
 def _keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

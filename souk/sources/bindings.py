@@ -15,21 +15,13 @@ from pyspark.sql.types import StructType
 
 from souk.sources.schemas import DELIVERIES_TOPIC, ORDERS_TOPIC, PAYMENTS_TOPIC
 
-EVENT_COLUMNS = (
-    "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
-)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The events table as a file stream, with a zoned time as streams need it."""
-    reader = spark.readStream.schema(EVENT_COLUMNS).option("pathGlobFilter", "events.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(sf_dir)
+    """The events table as a file stream."""
+    return _table_stream(spark, sf_dir, "events", max_files)
 
 
 def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +40,15 @@ def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table_stream(
+    spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None
+) -> DataFrame:
     schema: StructType = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # as a pattern the path may be one file or a folder of files
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _choice(selector: Column, labels: list[str]) -> Column:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from souk.sources.schemas import TABLES, Table
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # where Spark stores rows without a partition value
+
 
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """``df`` with exactly the table's columns: cast, defaults filled, partition column last."""
@@ -56,6 +61,24 @@ def read_table(
     return df
 
 
+def read_partitions(
+    spark: SparkSession, table: Table, root: str, values: Sequence[object]
+) -> DataFrame:
+    """The rows of the given partitions. Only their folders are listed, which matters to frequent
+    small writes on a table with many files."""
+    if not values:
+        return spark.createDataFrame([], table.schema)
+    folder, name = table.path(root), table.partition.name
+    wanted = [f"{name}={NULL_FOLDER if v is None else v}" for v in values]
+    reader = spark.read.schema(table.schema).option("basePath", folder)
+    try:
+        return reader.parquet(f"{folder}/{{{','.join(wanted)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], table.schema)  # none of them exists yet
+
+
 def jdbc_reader(
     spark: SparkSession,
     *,

@@ -14,7 +14,7 @@ from souk.operators.validate import (
     valid_rows,
     with_reason,
 )
-from souk.sinks.writers import insert_ignore, write_rejected
+from souk.sinks.writers import REUSE, insert_ignore, write_rejected
 from souk.sources.events import parse_flat
 from souk.sources.schemas import FLAT_TABLES, Table
 from souk.streaming.triggers import start
@@ -45,7 +45,7 @@ def write_batch(messages: DataFrame, topic: str, root: str, validate: bool = Tru
     """
     table = FLAT_TABLES[topic]
     rules = [unreadable(), *(rules_for(topic) if validate else map(missing, table.keys))]
-    checked = with_reason(parse_flat(messages, topic), rules).persist()
+    checked = with_reason(parse_flat(messages, topic), rules).persist(REUSE)
     try:
         insert_ignore(typed(valid_rows(checked), table), table, root, POSITION)
         write_rejected(rejected_rows(checked), root, topic=topic, record=F.col("value"))

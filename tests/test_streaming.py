@@ -132,3 +132,11 @@ def test_dedupe_across_batches(spark, tmp_path, position):
     got = [r.event_id for r in spark.read.parquet(f"{tmp_path}/out").collect()]
     expected = events.select(F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("event_id")).alias("e")).distinct()
     assert sorted(got) == sorted(r.e for r in expected.collect())
+
+
+def test_table_stream_reads_a_folder_of_files(spark, tmp_path):
+    folder = f"{tmp_path}/sf"
+    b.table(spark, SF_DIR, "events").repartition(3).write.parquet(f"{folder}/events.parquet")
+    stream = b.event_stream(spark, folder, max_files=1).select("event_id")
+    windows.to_files(stream, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=None).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").distinct().count() == b.table(spark, SF_DIR, "events").count()

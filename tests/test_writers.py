@@ -132,3 +132,24 @@ def test_encode_events(spark):
         ("ecom.payments", "unknown", '{"event_id":"e1","event_type":"payment_failed"}'),
         ("ecom.orders", "u", '{"event_id":"e2","event_type":"order_placed","user_id":"u"}'),
     }
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_writes_agree_with_a_dictionary(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    root = f"file://{tmp_path}/tables"
+    kept, replaced = {}, {}
+    for step in range(3):
+        rows = []
+        for i in range(30):
+            hour, category = rng.randrange(60), rng.choice(["A", "B", None])
+            rows.append((f"2024-01-0{1 + hour // 24} {hour % 24:02d}:00", category, str(rng.randrange(1, 1000)), step * 100 + i))
+        df = hours(spark, rows).repartition(rng.randrange(1, 5))
+        insert_ignore(df, HOURLY_REVENUE, root + "/ignore", ["order_count"])
+        upsert(df, HOURLY_REVENUE, root + "/upsert", ["order_count"])
+        for hour, category, amount, _ in rows:
+            key = (hour + ":00", category or "-")
+            kept.setdefault(key, float(amount))
+            replaced[key] = float(amount)
+    assert content(spark, root + "/ignore") == sorted((*k, v) for k, v in kept.items())
+    assert content(spark, root + "/upsert") == sorted((*k, v) for k, v in replaced.items())
