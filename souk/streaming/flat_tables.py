@@ -38,7 +38,13 @@ def typed(records: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def write_batch(messages: DataFrame, topic: str, root: str, validate: bool = True) -> None:
+def write_batch(
+    messages: DataFrame,
+    topic: str,
+    root: str,
+    validate: bool = True,
+    everywhere: bool | None = None,
+) -> None:
     """Insert the good records (first of a key wins) and keep the refused ones with a reason.
 
     Without ``validate`` only unreadable text and records without a key are refused.
@@ -47,7 +53,7 @@ def write_batch(messages: DataFrame, topic: str, root: str, validate: bool = Tru
     rules = [unreadable(), *(rules_for(topic) if validate else map(missing, table.keys))]
     checked = with_reason(parse_flat(messages, topic), rules).persist(REUSE)
     try:
-        insert_ignore(typed(valid_rows(checked), table), table, root, POSITION)
+        insert_ignore(typed(valid_rows(checked), table), table, root, POSITION, everywhere)
         write_rejected(rejected_rows(checked), root, topic=topic, record=F.col("value"))
     finally:
         checked.unpersist()
@@ -60,9 +66,15 @@ def run(
     checkpoint: str,
     validate: bool = True,
     trigger: str | None = "10 seconds",
+    everywhere: bool | None = None,
 ) -> StreamingQuery:
-    """Start the stream of one topic; ``trigger=None`` handles what is there and stops."""
+    """Start the stream of one topic; ``trigger=None`` handles what is there and stops.
+
+    By default known ids are searched in the whole table, which reads its key column once per
+    batch: take a long trigger on a large table, or ``everywhere=False`` where an id does not come
+    back in another month.
+    """
     writer = messages.writeStream.foreachBatch(
-        lambda batch, _: write_batch(batch, topic, root, validate)
+        lambda batch, _: write_batch(batch, topic, root, validate, everywhere)
     )
     return start(writer, checkpoint, trigger)
