@@ -33,13 +33,13 @@ def trailing(df: DataFrame, column: str, period: str, as_of: AsOf = None) -> Col
 
 def on_day(df: DataFrame, column: str, day: str | date) -> Column:
     """Rows of one calendar day, as a half-open range."""
-    start = at(df, column, str(day))
+    start = F.to_date(at(df, column, str(day))).cast(df.schema[column].dataType)
     return (F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 DAY"))
 
 
 def in_hour(df: DataFrame, column: str, hour: str | datetime) -> Column:
-    """Rows of the hour that starts at ``hour``."""
-    start = at(df, column, str(hour))
+    """Rows of the hour that contains ``hour``."""
+    start = F.date_trunc("hour", at(df, column, str(hour))).cast(df.schema[column].dataType)
     return (F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 HOUR"))
 
 

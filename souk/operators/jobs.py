@@ -113,7 +113,7 @@ def daily_sales_summary(
 
 
 def hourly_stats(orders: DataFrame, payments: DataFrame, hour: str | None = None) -> DataFrame:
-    """Sales and payment figures per (date, hour): the hour that starts at ``hour``, or all."""
+    """Sales and payment figures per (date, hour): the hour that contains ``hour``, or all."""
     if hour is not None:
         orders = orders.filter(in_hour(orders, TS, hour))
         payments = payments.filter(in_hour(payments, TS, hour))
