@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from souk.functions.grouping import first_per_key, last_per_key
 from souk.sinks.writers import append, encode_events, insert_ignore, upsert
 from souk.sources.schemas import FLAT_ORDERS, FLAT_PAYMENTS, HOURLY_REVENUE, PRODUCTS, RAW_EVENTS, TABLES
-from souk.sources.tables import conform, create_all, create_if_absent, read_table
+from souk.sources.tables import conform, create_all, read_table
 
 
 def hours(spark, rows):
