@@ -7,7 +7,10 @@ number of rows. Null texts count as empty ones.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,7 @@ BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
+_shipped: dict[str, str] = {}
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
@@ -38,6 +42,20 @@ def shards(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application."""
+    context = spark.sparkContext
+    if _shipped.get("to") != context.applicationId:
+        root = Path(__file__).resolve().parents[2]
+        if not root.is_dir():
+            return  # this already runs from a shipped archive
+        with tempfile.TemporaryDirectory() as folder:
+            copy = Path(folder, "code")
+            shutil.copytree(root / "souk", copy / "souk", ignore=shutil.ignore_patterns("__pycache__"))
+            context.addPyFile(shutil.make_archive(str(Path(tempfile.mkdtemp(), "souk-code")), "zip", copy))
+        _shipped["to"] = context.applicationId
+
+
 def corpus(docs: DataFrame, *extra: str) -> DataFrame:
     """Only the columns an operator reads, whatever else the table has."""
     return docs.select("doc_id", "text", *extra)
@@ -123,3 +141,10 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans, equal for equal bytes wherever they stand."""
     return mixed((sums[ends] - sums[starts]) * powers(len(sums))[1][starts])
+
+
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """``n`` keys, one for each of ``n`` hash partitions, so that shards are dealt evenly."""
+    found = spark.range(30 * n + 100).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("key"))
+    keys = sorted(r["key"] for r in found.collect())
+    return keys if len(keys) == n else list(range(n))

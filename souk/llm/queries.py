@@ -4,18 +4,53 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souk.llm import bpe, packing, quality_rules, secrets
+from souk.llm import (
+    bpe, embeddings, langid, minhash, packing, quality_model, quality_rules, scoring, secrets, suffix,
+)
+from souk.llm.common import ship
+
+
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return given(spark, sf_dir, "documents")
+
+
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(documents(spark, sf_dir))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(given(spark, sf_dir, "embeddings"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_documents(documents(spark, sf_dir))
+
+
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = given(spark, sf_dir, "labels")
+    return quality_model.sample_by_importance(documents(spark, sf_dir), labels)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,7 +67,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op2_language_id": op2_language_id,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_quality_model": op7_quality_model,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
