@@ -52,30 +52,36 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) >= 3, covered).otherwise(F.lit(0).cast("long"))
 
 
-def measures(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per document: id, host and the measures of its whole text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def measure(text: Column) -> Column:
+    """All measures of a text as one struct."""
+    text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    of_words = _let(
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    dup_lines = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    symbols = F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))
+    return _let(
         words,
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
+            dup_lines.cast("long").alias("n_dup_lines"),
             _repeat_words(w).alias("n_repeat_words"),
         ),
     )
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    dup_lines = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    symbols = F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))
-    return docs.select(
-        "doc_id", F.col(host).alias("host"), of_words.alias("of_words"),
-        symbols.cast("long").alias("n_symbols"), dup_lines.cast("long").alias("n_dup_lines"),
-    ).select("doc_id", "host", "of_words.*", "n_symbols", "n_dup_lines")
+
+
+def measures(docs: DataFrame, host: str = "source") -> DataFrame:
+    """One row per document: id, host and the measures of its whole text."""
+    return docs.select("doc_id", F.col(host).alias("host"), measure(F.col("text")).alias("of")).select("doc_id", "host", "of.*")
+
+
+def fails(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
 def with_base_verdict(measured: DataFrame) -> DataFrame:
-    repetitive = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    return measured.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | repetitive)
+    return measured.withColumn("base_failed", fails(F.col("n_words"), F.col("n_repeat_words")))
 
 
 def host_rates(judged: DataFrame) -> DataFrame:
@@ -104,3 +110,16 @@ def quality_verdicts(docs: DataFrame, host: str = "source", max_host_rate: float
     hosts = host_rates(judged).select("host", F.col("rate").alias("host_rate"))
     condemned = F.coalesce(F.col("host_rate") > max_host_rate, F.lit(False))
     return judged.join(hosts, "host", "left").withColumn("kept", ~F.col("base_failed") & ~condemned)
+
+
+def keep_good(docs: DataFrame, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The documents that pass, all columns as they are.
+
+    The measures are taken twice, for the hosts and for the documents: that costs no shuffle of
+    texts, and each row is judged by its own text even where ids repeat.
+    """
+    condemned = host_rates(with_base_verdict(measures(docs, host))).where(F.col("rate") > max_host_rate)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), measure(F.col("text")).alias("of"))
+    good = rows.where(~fails(F.col("of.n_words"), F.col("of.n_repeat_words"))).select("row")
+    hosts = condemned.select(F.col("host").alias("condemned"))
+    return good.join(hosts, F.col(f"row.{host}") == F.col("condemned"), "left_anti").select("row.*")
