@@ -31,6 +31,11 @@ def trailing(df: DataFrame, column: str, period: str, as_of: AsOf = None) -> Col
     return F.col(column) >= at(df, column, as_of) - F.expr(f"INTERVAL {period}")
 
 
+def whole_hours_since(df: DataFrame, column: str, period: str, as_of: AsOf = None) -> Column:
+    """Start of the hour in which the trailing period begins."""
+    return F.date_trunc("hour", at(df, column, as_of) - F.expr(f"INTERVAL {period}")).cast(df.schema[column].dataType)
+
+
 def on_day(df: DataFrame, column: str, day: str | date) -> Column:
     """Rows of one calendar day, as a half-open range."""
     start = F.to_date(at(df, column, str(day))).cast(df.schema[column].dataType)

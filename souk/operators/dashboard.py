@@ -126,18 +126,21 @@ def _recent(orders: DataFrame, as_of: AsOf, period: str, filters: dict) -> DataF
     return dashboard_filter(orders.filter(trailing(orders, TS, period, as_of)), **filters)
 
 
-def daily_revenue_series(
-    orders: DataFrame, as_of: AsOf = None, period: str = LOOKBACK, **filters
-) -> DataFrame:
-    """Revenue per day that has orders; gaps are not filled."""
+def _revenue_by_day(orders: DataFrame, as_of: AsOf, period: str, filters: dict) -> DataFrame:
     return (
         _recent(orders, as_of, period, filters)
         .groupBy(F.to_date(TS).alias("day"))
         .agg(F.sum("total_amount").alias("revenue"))
-        .orderBy("day")
     )
 
 
+def daily_revenue_series(
+    orders: DataFrame, as_of: AsOf = None, period: str = LOOKBACK, **filters
+) -> DataFrame:
+    """Revenue per day that has orders; gaps are not filled."""
+    return _revenue_by_day(orders, as_of, period, filters).orderBy("day")
+
+
 def sales_prediction(
     orders: DataFrame,
     as_of: AsOf = None,
@@ -150,7 +153,11 @@ def sales_prediction(
     The trend per day is the difference between the mean of the later and of the earlier half of
     the series, divided by the length of the earlier half. No rows on fewer than three days.
     """
-    series = daily_revenue_series(orders, as_of, period, **filters)
+    return _predicted(orders, as_of, period, days, filters).orderBy("day")
+
+
+def _predicted(orders: DataFrame, as_of: AsOf, period: str, days: int, filters: dict) -> DataFrame:
+    series = _revenue_by_day(orders, as_of, period, filters)
     # the window runs over one row per day of the period
     placed = series.select(
         "day",
@@ -179,34 +186,38 @@ def sales_prediction(
     return steps.select(
         F.date_add("last_day", F.col("i")).alias("day"),
         F.greatest(F.lit(0), value).cast(TOTAL).alias("predicted"),
-    ).orderBy("day")
+    )
 
 
 def forecast_series(orders: DataFrame, as_of: AsOf = None, **filters) -> DataFrame:
     """Actual and predicted revenue as one series, the missing side NULL."""
-    actual = daily_revenue_series(orders, as_of, **filters)
-    predicted = sales_prediction(orders, as_of, **filters)
+    actual = _revenue_by_day(orders, as_of, LOOKBACK, filters)
+    predicted = _predicted(orders, as_of, LOOKBACK, FORECAST_DAYS, filters)
     return actual.unionByName(predicted, allowMissingColumns=True).orderBy("day")
 
 
-def weekly_category_revenue(
-    orders: DataFrame, as_of: AsOf = None, period: str = LOOKBACK, **filters
-) -> DataFrame:
-    """Revenue and orders per category and week (weeks start on Monday)."""
+def _revenue_by_week(orders: DataFrame, as_of: AsOf, period: str, filters: dict) -> DataFrame:
     return (
         _recent(orders, as_of, period, filters)
         .groupBy("category", truncated(orders, "week", TS).alias("week"))
         .agg(F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("orders"))
-        .orderBy(F.asc_nulls_last("category"), "week")
     )
 
 
+def weekly_category_revenue(
+    orders: DataFrame, as_of: AsOf = None, period: str = LOOKBACK, **filters
+) -> DataFrame:
+    """Revenue and orders per category and week (weeks start on Monday)."""
+    weekly = _revenue_by_week(orders, as_of, period, filters)
+    return weekly.orderBy(F.asc_nulls_last("category"), "week")
+
+
 def category_forecast(
     orders: DataFrame, as_of: AsOf = None, k: int | None = None, **filters
 ) -> DataFrame:
     """Growth from the first to the last week per category, with the weeks as a nested list;
     ``k`` keeps the categories that grow most."""
-    weekly = weekly_category_revenue(orders, as_of, **filters)
+    weekly = _revenue_by_week(orders, as_of, LOOKBACK, filters)
     week = F.struct(
         F.to_date("week").alias("week"), F.col("revenue"), F.col("orders")
     )

@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from souk.functions.filters import not_cancelled
 from souk.functions.grouping import profile
 from souk.functions.money import mean, percent, ratio
-from souk.functions.times import AsOf, at, trailing, truncated
+from souk.functions.times import AsOf, at, trailing, truncated, whole_hours_since
 
 # fixed values
 REFRESH_PERIOD = "48 hours"
 CHURN_RISK_AFTER_DAYS = 30
 
 
+def _in_period(rows: DataFrame, as_of: AsOf, period: str | None, whole_hours: bool) -> DataFrame:
+    if not period:
+        return rows
+    if whole_hours:
+        return rows.filter(F.col("event_time") >= whole_hours_since(rows, "event_time", period, as_of))
+    return rows.filter(trailing(rows, "event_time", period, as_of))
+
+
 def hourly_revenue(
-    orders: DataFrame, as_of: AsOf = None, period: str | None = REFRESH_PERIOD
+    orders: DataFrame, as_of: AsOf = None, period: str | None = REFRESH_PERIOD, whole_hours: bool = False
 ) -> DataFrame:
-    """Revenue per hour and category over the trailing period (None = all history)."""
-    live = not_cancelled(orders)
-    if period:
-        live = live.filter(trailing(live, "event_time", period, as_of))
+    """Revenue per hour and category over the trailing period (None = all history).
+
+    ``whole_hours`` starts at a full hour, as a result that replaces stored hours must.
+    """
+    live = _in_period(not_cancelled(orders), as_of, period, whole_hours)
     return live.groupBy(
         truncated(live, "hour", "event_time").alias("hour_bucket"), "product_category"
     ).agg(
@@ -67,11 +76,11 @@ def revenue_by_city(orders: DataFrame) -> DataFrame:
 
 
 def payment_failure_metrics(
-    payments: DataFrame, as_of: AsOf = None, period: str | None = REFRESH_PERIOD
+    payments: DataFrame, as_of: AsOf = None, period: str | None = REFRESH_PERIOD, whole_hours: bool = False
 ) -> DataFrame:
-    """Attempts, failures and failure rate per hour and payment method."""
-    if period:
-        payments = payments.filter(trailing(payments, "event_time", period, as_of))
+    """Attempts, failures and failure rate per hour and payment method; periods as in
+    :func:`hourly_revenue`."""
+    payments = _in_period(payments, as_of, period, whole_hours)
     attempts, failed = F.count(F.lit(1)), F.count_if(F.col("payment_status") == "failed")
     return payments.groupBy(
         truncated(payments, "hour", "event_time").alias("hour_bucket"), "payment_method"

@@ -173,6 +173,12 @@ def _defaults(report: DataFrame) -> DataFrame:
 
 def delivery_analysis(deliveries: DataFrame, day: str | date | None = None) -> DataFrame:
     """Deliveries per day and city by state and speed, busiest city first."""
+    counts = delivery_counts(deliveries, day)
+    return counts.orderBy("analysis_date", F.desc("total_deliveries"), F.asc_nulls_last("city"))
+
+
+def delivery_counts(deliveries: DataFrame, day: str | date | None = None) -> DataFrame:
+    """The figures of :func:`delivery_analysis` in no order, for tables and further aggregates."""
     if day is not None:
         deliveries = deliveries.filter(on_day(deliveries, TS, day))
     status, days = F.col("status"), F.col("estimated_days")
@@ -187,7 +193,6 @@ def delivery_analysis(deliveries: DataFrame, day: str | date | None = None) -> D
             F.count_if(days <= FAST_DAYS).alias("fast_deliveries"),
             F.count_if(days >= SLOW_DAYS).alias("slow_deliveries"),
         )
-        .orderBy("analysis_date", F.desc("total_deliveries"), F.asc_nulls_last("city"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +11,9 @@ from pyspark.sql.types import StructType
 from souk.functions.grouping import first_per_key, last_per_key, lookup_ids
 from souk.operators.validate import (
     Rule,
-    check_constraints,
     constraint_rules,
     rejected_rows,
+    unfit,
     unreadable,
     valid_rows,
     with_reason,
@@ -38,6 +38,7 @@ CANCELLED = "order_cancelled"
 PAYMENT_TYPES = ("payment_success", "payment_failed")
 DELIVERY_TYPES = ("order_shipped", "order_delivered")
 POSITION = ("partition", "offset")
+NEEDED = ("event_id", "event_type", "corrupt")  # what the raw table's rules look at
 
 
 def routed(events: DataFrame) -> DataFrame:
@@ -77,13 +78,29 @@ class Silver:
     topic: str
     applies: Column  # which of the topic's events the table takes
     columns: dict[str, Column]
+    amounts: dict[str, Column] = field(default_factory=dict)  # as given, before they are typed
+
+    def rules(self) -> list[Rule]:
+        """What keeps an event out of the table: it must be a raw event, fit and meet the
+        constraints."""
+        types = {f.name: f.dataType.simpleString() for f in self.table.schema.fields}
+        fit = [unfit(name, types[name], F.col(f"_given_{name}")) for name in self.amounts]
+        return [*bronze_rules(), *fit, *constraint_rules(self.table)]
+
+    def typed(self) -> list[Column]:
+        return [
+            *[c.alias(n) for n, c in self.columns.items()],
+            *[c.alias(f"_given_{n}") for n, c in self.amounts.items()],
+        ]
 
 
 def silver_orders() -> Silver:
     """Placed orders with a key and a positive amount, typed."""
     o = {c: F.col(f"order.{c}") for c in StructType.fromDDL(ORDER_EVENT).names}
-    same = ("user_id", "session_id", "product_id", "product_category", "quantity")
-    place = ("payment_method", "city", "state", "device")
+    same = (
+        "user_id", "session_id", "product_id", "product_category", "quantity", "payment_method", "city", "state",
+        "device",
+    )
     return Silver(
         ORDERS,
         ORDERS_TOPIC,
@@ -94,11 +111,11 @@ def silver_orders() -> Silver:
             **{c: o[c] for c in same},
             "unit_price": o["unit_price"].try_cast("decimal(10,2)"),
             "total_amount": o["total_amount"].try_cast("decimal(12,2)"),
-            **{c: o[c] for c in place},
             "order_status": F.lit("placed"),
             "event_time": F.col("event_time"),
             "is_valid": F.lit(True),
         },
+        {c: o[c] for c in ("unit_price", "total_amount")},
     )
 
 
@@ -116,6 +133,7 @@ def silver_payments() -> Silver:
             **{c: p[c] for c in same},
             "event_time": F.col("event_time"),
         },
+        {"amount": p["amount"]},
     )
 
 
@@ -144,16 +162,16 @@ def silver_rows(parsed: DataFrame, silver: Silver) -> DataFrame:
     """Rows for one silver table that meet its constraints, one per key (lowest position)."""
     # the topic filter reaches the messages before they are parsed
     taken = parsed.filter((F.col("topic") == silver.topic) & silver.applies)
-    rows = taken.select(*[c.alias(n) for n, c in silver.columns.items()], *POSITION)
-    good = valid_rows(check_constraints(rows, silver.table))
-    return first_per_key(good, silver.table.keys, POSITION)
+    carried = [c for c in NEEDED if c not in silver.columns]
+    rows = taken.select(*silver.typed(), *carried, *POSITION)
+    good = valid_rows(with_reason(rows, silver.rules()))
+    return first_per_key(good.select(*silver.columns, *POSITION), silver.table.keys, POSITION)
 
 
 def refused_events(parsed: DataFrame) -> DataFrame:
     """Messages that the parser or a table's constraints refuse:
     ``topic, value, rejection_reason`` and the position."""
     carried = ("topic", "value", *POSITION)
-    needed = ("event_id", "event_type", "corrupt")
     kinds = silver_tables()
     # messages of other topics cannot be read
     other = ~F.coalesce(F.col("topic").isin([s.topic for s in kinds]), F.lit(False))
@@ -162,11 +180,12 @@ def refused_events(parsed: DataFrame) -> DataFrame:
     for silver in kinds:
         rows = parsed.filter(F.col("topic") == silver.topic).select(
             *carried,
-            *[c for c in needed if c not in silver.columns],
-            *[c.alias(n) for n, c in silver.columns.items()],
+            *[c for c in NEEDED if c not in silver.columns],
+            *silver.typed(),
             F.coalesce(silver.applies, F.lit(False)).alias("_applies"),
         )
-        own = [(F.col("_applies") & fails, why) for fails, why in constraint_rules(silver.table)]
+        n = len(bronze_rules())
+        own = [(F.col("_applies") & fails, why) for fails, why in silver.rules()[n:]]
         bad = rejected_rows(with_reason(rows, [*bronze_rules(), *own]))
         refused = refused.unionByName(bad.select(*carried, "rejection_reason"))
     return refused

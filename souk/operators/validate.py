@@ -30,6 +30,7 @@ MISSING = "Missing {}"
 NOT_POSITIVE = "Invalid {} — must be > 0"
 UNKNOWN = "Invalid {}: "
 ABSENT = "None"
+UNFIT = "Invalid {} — not a {}"
 
 
 def missing(column: str) -> Rule:
@@ -46,6 +47,16 @@ def not_positive(column: str, whole: bool = False) -> Rule:
     return ~F.coalesce(number > 0, F.lit(False)), F.lit(NOT_POSITIVE.format(column))
 
 
+def unfit(column: str, dtype: str, value: Column | None = None) -> Rule:
+    """A value that is there but cannot be stored as ``dtype``: too wide, not finite, or no such
+    thing. It is refused, as storing it would silently make it NULL."""
+    given = F.col(column) if value is None else value
+    stored = F.try_to_timestamp(given) if dtype == "timestamp" else given.try_cast(dtype)
+    if dtype == "int":  # "1.9" counts as 1, like a number in the message
+        stored = given.try_cast("double").try_cast("int")
+    return given.isNotNull() & stored.isNull(), F.lit(UNFIT.format(column, dtype))
+
+
 def not_among(column: str, allowed: Sequence[str], label: str) -> Rule:
     """Not one of the accepted values; an absent one is named in the reason as ``None``."""
     value = F.col(column)

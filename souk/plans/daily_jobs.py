@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from souk.functions.times import AsOf, before, moment
 from souk.operators import jobs
-from souk.sinks.writers import insert_ignore, upsert
+from souk.sinks.writers import insert_ignore, replace_range, upsert
 from souk.sources.schemas import (
     CUSTOMER_SEGMENTS,
     DAILY_SUMMARY,
@@ -30,7 +30,7 @@ def _days(spark: SparkSession, table: Table, root: str, day: str | None, back: i
 
 def segment_customers(spark: SparkSession, root: str, as_of: AsOf = None) -> DataFrame:
     """Refresh the segments and return their summary."""
-    upsert(jobs.customer_segments(read_table(spark, FLAT_ORDERS, root), as_of), CUSTOMER_SEGMENTS, root)
+    replace_range(jobs.customer_segments(read_table(spark, FLAT_ORDERS, root), as_of), CUSTOMER_SEGMENTS, root)
     return jobs.segment_summary(read_table(spark, CUSTOMER_SEGMENTS, root))
 
 
@@ -52,7 +52,7 @@ def summarize_hour(spark: SparkSession, root: str, hour: str | None = None) -> N
 
 def analyze_deliveries(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
     """Keep the first analysis of each day and city; returns the day's insights."""
-    report = jobs.delivery_analysis(_days(spark, FLAT_DELIVERIES, root, day), day)
+    report = jobs.delivery_counts(_days(spark, FLAT_DELIVERIES, root, day), day)
     insert_ignore(report, DELIVERY_ANALYSIS, root)
     return jobs.delivery_insights(_days(spark, DELIVERY_ANALYSIS, root, day), day)
 

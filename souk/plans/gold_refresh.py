@@ -1,18 +1,19 @@
 """The nightly KPI refresh: silver tables into gold tables.
 
 The tables are independent of each other except that customer metrics come last. Each refresh is
-one Catalyst plan followed by a keyed upsert, so a repeated run changes nothing but the refresh
-time.
+one Catalyst plan whose result replaces the range it covers, so a repeated run changes nothing but
+the refresh time, and a group that no longer exists goes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from souk.functions.times import AsOf, before, moment
 from souk.operators import gold
-from souk.operators.medallion import current_deliveries
-from souk.sinks.writers import upsert
+from souk.operators.medallion import apply_cancellations, current_deliveries
+from souk.sinks.writers import replace_range
 from souk.sources.schemas import (
     CUSTOMER_METRICS,
     DAILY_REVENUE,
@@ -27,28 +28,40 @@ from souk.sources.schemas import (
 from souk.sources.tables import read_table
 
 
-def refresh_gold(spark: SparkSession, root: str, as_of: AsOf = None, since: str | None = None) -> None:
+def refresh_gold(
+    spark: SparkSession,
+    root: str,
+    as_of: AsOf = None,
+    since: str | None = None,
+    cancelled: DataFrame | None = None,
+) -> None:
     """Refresh all KPI tables.
 
-    ``since`` limits the per-day tables to days from that date on; the trailing tables have their
-    own period and customer metrics always cover all orders. Only the day partitions needed are
-    read.
+    ``since`` limits the per-day order tables to days from that date on; the trailing tables start at
+    the full hour in which their period begins; deliveries and customer metrics cover all history.
+    Only the day partitions needed are read. ``cancelled`` (``order_id``) takes orders out.
     """
-    first_day = None if since is None else moment(since)
-    recent = before(as_of, gold.REFRESH_PERIOD)
-    orders = read_table(spark, ORDERS, root)
-    changed = read_table(spark, ORDERS, root, since=first_day)
+    first_day = None if since is None else F.to_date(moment(since))
+    recent = F.date_trunc("hour", before(as_of, gold.REFRESH_PERIOD))
+
+    def orders(start: Column | None = None) -> DataFrame:
+        rows = read_table(spark, ORDERS, root, since=start)
+        if start is not None:
+            rows = rows.filter(F.col("event_time") >= start.cast("timestamp"))
+        return rows if cancelled is None else apply_cancellations(rows, cancelled)
+
     # a delivery counts once, in the state of its latest event, so a changed day cannot be
     # recomputed from that day's events alone
     deliveries = current_deliveries(read_table(spark, DELIVERIES, root))
-    recent_orders = read_table(spark, ORDERS, root, since=recent)
     recent_payments = read_table(spark, PAYMENTS, root, since=recent)
-    upsert(gold.hourly_revenue(recent_orders, as_of), HOURLY_REVENUE, root)
-    upsert(gold.daily_revenue(changed), DAILY_REVENUE, root)
-    upsert(gold.revenue_by_city(changed), REVENUE_BY_CITY, root)
-    upsert(gold.payment_failure_metrics(recent_payments, as_of), PAYMENT_FAILURES, root)
-    upsert(gold.delayed_shipments(deliveries), DELAYED_SHIPMENTS, root)
-    upsert(gold.customer_metrics(orders, as_of), CUSTOMER_METRICS, root)
+    replace_range(gold.hourly_revenue(orders(recent), as_of, whole_hours=True), HOURLY_REVENUE, root, recent)
+    replace_range(gold.daily_revenue(orders(first_day)), DAILY_REVENUE, root, first_day)
+    replace_range(gold.revenue_by_city(orders(first_day)), REVENUE_BY_CITY, root, first_day)
+    replace_range(
+        gold.payment_failure_metrics(recent_payments, as_of, whole_hours=True), PAYMENT_FAILURES, root, recent
+    )
+    replace_range(gold.delayed_shipments(deliveries), DELAYED_SHIPMENTS, root)
+    replace_range(gold.customer_metrics(orders(), as_of), CUSTOMER_METRICS, root)
 
 
 def churn_risk_customers(spark: SparkSession, root: str) -> DataFrame:

@@ -45,7 +45,10 @@ def report_day(spark: SparkSession, root: str, day: str, raise_failures: bool =
         read_table(spark, FLAT_PAYMENTS, root),  # an order may be paid on another day
         day,
     ).persist()
-    append(report, DATA_QUALITY_LOG, root)
-    if raise_failures and report.filter("status = 'FAILED'").count():
-        raise quality.QualityFailure(f"quality report of {day} failed")
+    try:
+        append(report, DATA_QUALITY_LOG, root)
+        if raise_failures and report.filter("status = 'FAILED'").count():
+            raise quality.QualityFailure(f"quality report of {day} failed")
+    finally:
+        report.unpersist()
     return report

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from souk.registry import reference_time as now
 
+# fixed values in the queries below: event types, accepted states, topics, table names, reason texts and
+# the seed products are the wire format and must be spelled as they are
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
 VIEWS = {
@@ -105,6 +107,8 @@ TOP_PRODUCTS = """
 
 EVENT_DAYS = "SELECT CAST(ts AS DATE) AS d, SUM(total_amount) AS revenue FROM v_event_orders GROUP BY 1"
 
+FILTERED_DAYS = "SELECT CAST(ts AS DATE) AS d, SUM(total_amount) AS revenue FROM v_event_orders WHERE city = 'Delhi' GROUP BY 1"
+
 # the prediction as one exact fraction: last + i * (late/(n-h) - early/h) / h, all in cents
 PREDICTION = dict(
     days=EVENT_DAYS,
@@ -139,12 +143,17 @@ ACTIVITY = f"""
     FROM v_orders GROUP BY 1, 2"""
 
 SEGMENTS = f"""
-    SELECT *, CASE WHEN n >= 5 AND spent >= 100000 THEN 'Champion' WHEN n >= 3 AND spent >= 50000 THEN 'Loyal'
-                   WHEN n >= 2 AND days <= 1 THEN 'Promising' WHEN n = 1 AND days <= 1 THEN 'New'
-                   WHEN days > 2 THEN 'At Risk' ELSE 'Regular' END AS segment
+    SELECT *, CASE WHEN n >= 15 AND spent >= 4000000 THEN 'Champion' WHEN n >= 12 AND spent >= 2000000 THEN 'Loyal'
+                   WHEN n >= 8 AND days <= 60 THEN 'Promising' WHEN n = 6 AND days <= 400 THEN 'New'
+                   WHEN days > 120 THEN 'At Risk' ELSE 'Regular' END AS segment
     FROM (SELECT customer_id, COUNT(*) AS n, SUM(total_amount) AS spent, MAX(ts) AS last_ts,
                  {mean('total_amount')} AS avg_spent, date_sub('day', MAX(ts), TIMESTAMP '{now.SEGMENTS}') AS days
-          FROM v_orders WHERE ts >= TIMESTAMP '{now.SEGMENTS_FROM}' GROUP BY 1)"""
+          FROM v_orders GROUP BY 1)"""
+
+
+SEGMENTS_OUT = f"""
+    SELECT customer_id, n AS total_orders, CAST(spent AS DOUBLE) AS total_spent, avg_spent AS avg_order_value,
+           {stamp('last_ts')} AS last_order_date, days AS days_since_last_order, segment FROM segments"""
 
 
 def daily_gold(rows: str) -> str:
@@ -293,6 +302,11 @@ LINE_KEYS = "order_id, line_no"
 LINE_OUT = f"SELECT {LINE_KEYS}, product_id, quantity, CAST(total_amount AS DOUBLE) AS total_amount"
 LINE_RANK = "total_amount, product_id, quantity"
 
+# the purchase that the replayed streams deliver last, behind the watermark
+ON_TIME = """id <> (SELECT event_id FROM events WHERE event_type = 'purchase' ORDER BY ts, event_id LIMIT 1)"""
+CANCELLED_LATER = "event_type = 'order_placed' AND id % 5 = 0"
+DELAYED = """COUNT(*) FILTER (actual_days > estimated_days)"""
+
 HOURLY = f"""
     SELECT {stamp("date_trunc('hour', ts)")} AS hour_bucket, category AS product_category,
            CAST(SUM(total_amount) AS DOUBLE) AS total_revenue, COUNT(*) AS order_count,
@@ -306,6 +320,9 @@ FAILURES = f"""
 THROUGHPUT = f"""
     SELECT {stamp("date_trunc('minute', ts)")} AS slot_start, topic, COUNT(*) AS messages
     FROM v_messages GROUP BY date_trunc('minute', ts), topic"""
+REFRESHED = (
+    f"ts >= date_trunc('hour', TIMESTAMP '{now.REFRESHES[0]}' - INTERVAL 48 HOUR) AND ts <= TIMESTAMP '{now.REFRESHES[1]}'"
+)
 TWO_DAYS = f"ts >= TIMESTAMP '{now.EVENTS}' - INTERVAL 48 HOUR"
 
 ORACLE: dict[str, str] = {
@@ -335,6 +352,16 @@ ORACLE: dict[str, str] = {
     ),
     "top_products": sql("v_lines", TOP_PRODUCTS.format(where="")),
     "product_name_contains": sql("v_lines", TOP_PRODUCTS.format(where="WHERE contains(lower(product_name), 'red')")),
+    "revenue_by_city_in_order": sql(
+        "v_orders",
+        """SELECT city, CAST(SUM(total_amount) AS DOUBLE) AS revenue,
+                  row_number() OVER (ORDER BY SUM(total_amount) DESC, city) AS place FROM v_orders GROUP BY city""",
+    ),
+    "top_products_in_order": sql(
+        "v_lines",
+        f"""SELECT *, row_number() OVER (ORDER BY total_revenue DESC, product_name) AS place
+            FROM ({TOP_PRODUCTS.format(where='')})""",
+    ),
     "top_products_share": sql(
         "v_lines",
         f"""SELECT row_number() OVER (ORDER BY total_revenue DESC, product_name) AS rank, product_name, total_quantity,
@@ -352,6 +379,9 @@ ORACLE: dict[str, str] = {
             WHERE ts >= TIMESTAMP '{now.ORDERS}' - INTERVAL 90 DAY GROUP BY 1""",
     ),
     "sales_prediction": sql("v_event_orders", f"SELECT {day('d')} AS day, predicted FROM predicted", **PREDICTION),
+    "sales_prediction_filtered": sql(
+        "v_event_orders", f"SELECT {day('d')} AS day, predicted FROM predicted", **{**PREDICTION, "days": FILTERED_DAYS}
+    ),
     "forecast_series": sql(
         "v_event_orders",
         f"""SELECT {day('d')} AS day, CAST(revenue AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS predicted FROM days
@@ -371,6 +401,14 @@ ORACLE: dict[str, str] = {
                         ELSE 'stable' END AS trend FROM ends""",
         **GROWTH,
     ),
+    "category_forecast_filtered": sql(
+        "v_lines",
+        f"""SELECT category, CAST(total AS DOUBLE) AS total_revenue,
+                   CASE WHEN a > 0 THEN sign(z - a) * {half_up('ABS(z - a) * 10000', 'a * 100', 1)} ELSE 0.0 END AS growth_pct,
+                   CASE WHEN a > 0 AND (z - a) * 100 > 5 * a THEN 'rising' WHEN a > 0 AND (z - a) * 100 < -5 * a THEN 'falling'
+                        ELSE 'stable' END AS trend FROM ends""",
+        **{**GROWTH, "weeks": WEEKS.replace("GROUP BY", "AND city = 'NATION_7' AND ts >= TIMESTAMP '2000-01-01' GROUP BY")},
+    ),
     "category_weekly_nested": sql(
         "v_lines",
         f"""SELECT category, string_agg({day('week')} || '/' || CAST(revenue AS VARCHAR) || '/' || orders, ' ' ORDER BY week) AS weeks
@@ -395,6 +433,12 @@ ORACLE: dict[str, str] = {
                   COUNT(*) FILTER (days > 30) AS churned, COUNT(*) AS total FROM activity""",
         activity=ACTIVITY,
     ),
+    "churn_summary_filtered": sql(
+        "v_orders",
+        """SELECT COUNT(*) FILTER (days <= 10) AS active, COUNT(*) FILTER (days > 10 AND days <= 30) AS at_risk,
+                  COUNT(*) FILTER (days > 30) AS churned, COUNT(*) AS total FROM activity""",
+        activity=ACTIVITY.replace("GROUP BY", "WHERE city = 'NATION_7' GROUP BY"),
+    ),
     "churn_high_value": sql(
         "v_orders",
         """SELECT customer_id, customer_name, n AS total_orders, days AS days_since_last, CAST(spent AS DOUBLE) AS total_spent,
@@ -428,6 +472,15 @@ ORACLE: dict[str, str] = {
                    date_diff('day', CAST(MAX(ts) AS DATE), DATE '{now.EVENTS}') > 30 AS churn_risk_flag
             FROM v_event_orders WHERE status <> 'cancelled' GROUP BY user_id""",
     ),
+    "refresh_customer_metrics": sql(
+        "v_event_orders",
+        f"""SELECT user_id, COUNT(*) AS total_orders, CAST(SUM(total_amount) AS DOUBLE) AS total_spend,
+                   {mean('total_amount')} AS avg_order_value, {day('MIN(ts)')} AS first_order_date, {day('MAX(ts)')} AS last_order_date,
+                   date_diff('day', CAST(MAX(ts) AS DATE), DATE '{now.EVENTS}') AS days_since_last_order,
+                   mode(category ORDER BY category) AS favourite_category, mode(method ORDER BY method) AS favourite_payment,
+                   date_diff('day', CAST(MAX(ts) AS DATE), DATE '{now.EVENTS}') > 30 AS churn_risk_flag
+            FROM v_event_orders WHERE status <> 'cancelled' GROUP BY user_id""",
+    ),
     "churn_risk_count": sql(
         "v_orders",
         f"""SELECT COUNT(*) AS churn_risk_customers FROM (
@@ -435,10 +488,12 @@ ORACLE: dict[str, str] = {
                 HAVING date_diff('day', CAST(MAX(ts) AS DATE), DATE '{now.ORDERS}') > 30)""",
     ),
     # scheduled jobs
-    "customer_segments": sql(
+    "customer_segments": sql("v_orders", SEGMENTS_OUT, segments=SEGMENTS),
+    "segment_summary_in_order": sql(
         "v_orders",
-        f"""SELECT customer_id, n AS total_orders, CAST(spent AS DOUBLE) AS total_spent, avg_spent AS avg_order_value,
-                   {stamp('last_ts')} AS last_order_date, days AS days_since_last_order, segment FROM segments""",
+        f"""SELECT segment, COUNT(*) AS customers, {half_up('SUM(spent) * 100', 'COUNT(*) * 100')} AS avg_spent,
+                   CAST(SUM(spent) AS DOUBLE) AS total_revenue, row_number() OVER (ORDER BY SUM(spent) DESC, segment) AS place
+            FROM segments GROUP BY segment""",
         segments=SEGMENTS,
     ),
     "segment_summary": sql(
@@ -582,6 +637,44 @@ ORACLE: dict[str, str] = {
         everything=daily_gold(""),
         corrected=daily_gold("WHERE status <> 'cancelled'"),
     ),
+    # writes that are repeated
+    "insert_ignore_across_days": sql(
+        "v_messages",
+        f"""SELECT 'bronze.raw_events' AS table_name, 'EVT-' || id AS id, {stamp('ts')} AS event_time FROM v_messages
+            UNION ALL SELECT 'silver.orders', 'ORD-' || id, {stamp('ts')} FROM v_messages WHERE {SILVER_ORDER_ROWS}
+            UNION ALL SELECT 'silver.payments', 'PAY-' || id, {stamp('ts')} FROM v_messages WHERE topic = 'ecom.payments'""",
+    ),
+    "message_outcomes": sql(
+        "v_messages",
+        """SELECT id, CASE WHEN id % 50 = 7 THEN 'event_id is null'
+                           WHEN event_type = 'order_placed' AND id % 50 = 8 THEN 'Invalid total_amount — not a decimal(12,2)'
+                           WHEN event_type = 'order_placed' AND value > 0 AND id % 4 = 0 THEN 'quantity violates quantity > 0'
+                           WHEN event_type = 'order_placed' AND value > 0 OR topic <> 'ecom.orders' THEN 'stored'
+                           ELSE 'raw' END AS outcome FROM v_messages""",
+    ),
+    "refresh_hourly_revenue": sql("v_event_orders", HOURLY.format(period=f"AND {REFRESHED}")),
+    "refresh_payment_failures": sql("v_payments", FAILURES.format(period=f"WHERE {REFRESHED}")),
+    "refresh_delayed_shipments": sql(
+        "v_messages",
+        f"""SELECT strftime(CAST(event_time AS TIMESTAMP), '%Y-%m-%d') AS date_bucket, city, {DELAYED} AS delayed_count,
+                   COUNT(*) AS total_shipments, {half_up(f'100 * {DELAYED}', 'COUNT(*)')} AS delay_rate
+            FROM (SELECT *, row_number() OVER (PARTITION BY delivery_id ORDER BY event_time DESC, delivery_status) AS r FROM moved)
+            WHERE r = 1 GROUP BY 1, 2""",
+        moved=f"{SILVER_DELIVERY} AND ts <= TIMESTAMP '{now.REFRESHES[1]}'",
+    ),
+    "refresh_city_revenue": sql(
+        "v_event_orders",
+        f"""SELECT {day('ts')} AS date_bucket, city, CAST(SUM(total_amount) AS DOUBLE) AS total_revenue, COUNT(*) AS order_count
+            FROM v_event_orders WHERE ts < DATE '2024-01-16' OR status <> 'cancelled' GROUP BY 1, 2""",
+    ),
+    "refresh_segments": sql("v_orders", SEGMENTS_OUT, segments=SEGMENTS),
+    "gold_with_cancellations": sql(
+        "v_messages",
+        f"""SELECT {day('CAST(ts AS DATE)')} AS date_bucket, CAST(SUM(amount) AS DOUBLE) AS total_revenue, COUNT(*) AS order_count,
+                   COUNT(DISTINCT user_id) AS unique_customers, {mean('amount')} AS avg_order_value,
+                   mode(category ORDER BY category) AS top_category
+            FROM v_messages WHERE {SILVER_ORDER_ROWS} AND NOT ({CANCELLED_LATER}) GROUP BY CAST(ts AS DATE)""",
+    ),
     # validation
     "validated_orders": sql(
         "v_orders",
@@ -679,13 +772,17 @@ ORACLE: dict[str, str] = {
            FROM v_payments""",
     ),
     "stream_validated_deliveries": sql(
-        "v_deliveries", f"SELECT DISTINCT delivery_id, COALESCE({DELIVERY_REASON}, 'accepted') AS outcome FROM v_deliveries"
+        "v_deliveries",
+        f"""SELECT DISTINCT delivery_id, 'accepted' AS outcome FROM v_deliveries WHERE {DELIVERY_REASON} IS NULL
+            UNION ALL SELECT delivery_id, {DELIVERY_REASON} FROM v_deliveries WHERE {DELIVERY_REASON} IS NOT NULL""",
     ),
     "stream_insert_ignore": sql(
         "v_orders",
         f"""SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, status, {stamp('ts')} AS "timestamp" FROM v_orders""",
     ),
-    "stream_dedupe": f"SELECT event_id, {stamp('ts')} AS event_time FROM events",
-    "stream_hourly_revenue": sql("v_event_orders", HOURLY.format(period="")),
-    "stream_topic_throughput": sql("v_messages", THROUGHPUT),
+    "stream_dedupe": sql(
+        "v_messages", f"""SELECT id AS event_id, {stamp('ts')} AS event_time, id AS "offset" FROM v_messages WHERE {ON_TIME}"""
+    ),
+    "stream_hourly_revenue": sql("v_event_orders", HOURLY.format(period=f"AND order_{ON_TIME}")),
+    "stream_topic_throughput": sql("v_messages", THROUGHPUT.replace("GROUP BY", f"WHERE {ON_TIME} GROUP BY")),
 }

@@ -9,21 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from souk.functions.filters import date_preset, name_contains
 from souk.functions.grouping import first_per_key
+from souk.functions.times import before
 from souk.operators import dashboard, gold, jobs, links, medallion, quality, validate
 from souk.registry import reference_time as now
 from souk.session import run_dir
-from souk.sinks.writers import encode_events, insert_ignore, upsert
+from souk.plans.gold_refresh import refresh_gold
+from souk.sinks.writers import encode_events, insert_ignore, replace_range, upsert
 from souk.sources import bindings as b
 from souk.sources.catalogue import with_seed
 from souk.sources.events import parse_events
 from souk.sources.schemas import (
+    CUSTOMER_METRICS,
+    CUSTOMER_SEGMENTS,
     DAILY_REVENUE,
+    DELAYED_SHIPMENTS,
     DELIVERIES,
     DELIVERIES_TOPIC,
     FLAT_ORDERS,
@@ -31,10 +36,12 @@ from souk.sources.schemas import (
     HOURLY_REVENUE,
     ORDERS,
     ORDERS_TOPIC,
+    PAYMENT_FAILURES,
     PAYMENTS,
     PAYMENTS_TOPIC,
     RAW_EVENTS,
     REJECTED,
+    REVENUE_BY_CITY,
     TOPIC_THROUGHPUT,
     Table,
     key_bucket,
@@ -55,7 +62,6 @@ LINES = Table(
 )
 LINE_COLUMNS = ("order_id", "line_no", "product_id", "quantity", "total_amount")
 RUN = "check"  # run id of the quality checks, fixed so that results compare
-REDELIVERY = 1_000_000_000_000  # offset distance of redelivered copies
 
 
 def query(function: Query) -> Query:
@@ -214,6 +220,49 @@ def churn_high_value(spark, sf):
     return dashboard.churn_high_value(rows, now.ORDERS)
 
 
+FILTERED = {"city": "NATION_7", "date_from": "2000-01-01"}
+
+
+@query
+def sales_prediction_filtered(spark, sf):
+    rows = b.event_orders(spark, sf, "total_amount", "timestamp", "city")
+    return dashboard.sales_prediction(rows, now.EVENTS, city="Delhi")
+
+
+@query
+def category_forecast_filtered(spark, sf):
+    rows = b.order_lines(spark, sf, "category", "total_amount", "timestamp", "city")
+    return dashboard.category_forecast(rows, now.ORDERS, **FILTERED).drop("weekly_data")
+
+
+@query
+def churn_summary_filtered(spark, sf):
+    rows = b.orders(spark, sf, "customer_id", "customer_name", "total_amount", "timestamp", "city")
+    return dashboard.churn_summary(rows, now.ORDERS, city="NATION_7")
+
+
+def _in_order(report):
+    """A report of few rows with the place of each, so that its order is compared too."""
+    placed = report.withColumn("_place", F.monotonically_increasing_id())
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("_place"))).drop("_place")
+
+
+@query
+def revenue_by_city_in_order(spark, sf):
+    return _in_order(dashboard.revenue_by_city(b.orders(spark, sf, "city", "total_amount")))
+
+
+@query
+def top_products_in_order(spark, sf):
+    rows = b.order_lines(spark, sf, "product_name", "quantity", "total_amount")
+    return _in_order(dashboard.top_products(rows))
+
+
+@query
+def segment_summary_in_order(spark, sf):
+    return _in_order(jobs.segment_summary(_segments(spark, sf)))
+
+
 # --- gold -------------------------------------------------------------------------------
 
 SILVER_COLUMNS = ("user_id", "product_category", "payment_method", "city", "order_status", "total_amount", "event_time")
@@ -276,12 +325,12 @@ def churn_risk_count(spark, sf):
 
 @query
 def customer_segments(spark, sf):
-    return jobs.customer_segments(_recent_orders(spark, sf), now.SEGMENTS)
+    return _segments(spark, sf)
 
 
 @query
 def segment_summary(spark, sf):
-    return jobs.segment_summary(jobs.customer_segments(_recent_orders(spark, sf), now.SEGMENTS))
+    return jobs.segment_summary(_segments(spark, sf))
 
 
 @query
@@ -290,10 +339,18 @@ def segmented_customers(spark, sf):
     return jobs.segmented_customers(jobs.customer_segments(rows, now.ORDERS))
 
 
-def _recent_orders(spark, sf):
-    """A year of orders, in which all segments occur."""
+def _segments(spark, sf):
+    """All orders, with limits that fit these customers' longer histories: each label occurs."""
     rows = b.orders(spark, sf, "customer_id", "total_amount", "timestamp")
-    return dashboard.dashboard_filter(rows, date_from=now.SEGMENTS_FROM)
+    return jobs.customer_segments(
+        rows,
+        now.SEGMENTS,
+        champion={"orders": 15, "spent": 4_000_000},
+        loyal={"orders": 12, "spent": 2_000_000},
+        promising={"orders": 8, "days": 60},
+        new={"orders": 6, "days": 400},
+        at_risk_after=120,
+    )
 
 
 @query
@@ -329,7 +386,7 @@ def delivery_analysis(spark, sf):
 @query
 def delivery_insights(spark, sf):
     rows = b.deliveries(spark, sf, "city", "status", "estimated_days", "timestamp")
-    return jobs.delivery_insights(jobs.delivery_analysis(rows))
+    return jobs.delivery_insights(jobs.delivery_counts(rows))
 
 
 @query
@@ -357,7 +414,7 @@ def forecast_report(spark, sf):
 def _messages(spark, sf):
     """All events as messages, each delivered twice."""
     first = b.messages(b.table(spark, sf, "events"))
-    return first.unionByName(first.withColumn("offset", F.col("offset") + REDELIVERY))
+    return first.unionByName(first.withColumn("offset", F.col("offset") + b.REDELIVERY))
 
 
 @query
@@ -632,6 +689,140 @@ def dq_daily_report(spark, sf):
     )
 
 
+# --- writes that are repeated ------------------------------------------------------------------------
+
+
+@query
+def insert_ignore_across_days(spark, sf):
+    """The second delivery of every message says another day; the stored rows stay."""
+    root = run_dir(spark, "days")
+    events = b.table(spark, sf, "events")
+    event_tables.write_batch(b.messages(events), root)
+    moved = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn("copy", F.lit(1))
+    event_tables.write_batch(b.messages(moved), root)
+    keys = ((RAW_EVENTS, "event_id"), (ORDERS, "order_id"), (PAYMENTS, "payment_id"))
+    parts = [
+        read_table(spark, t, root).select(F.lit(t.name).alias("table_name"), F.col(k).alias("id"), "event_time")
+        for t, k in keys
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def message_outcomes(spark, sf):
+    """Each message is stored, kept raw or refused, and only one of them."""
+    root = run_dir(spark, "outcomes")
+    value, n = F.col("value"), F.col("offset") % 50
+    broken = F.when(n == 7, F.regexp_replace(value, '"event_id":"[^"]*",', "")).when(
+        n == 8, F.regexp_replace(value, '"total_amount":[^,]*,', '"total_amount":1.0E15,')
+    )
+    messages = b.messages(b.table(spark, sf, "events"))
+    event_tables.write_batch(messages.withColumn("value", F.coalesce(broken, value)), root)
+    number = lambda c: F.regexp_extract(c, "(\\d+)", 1).cast("long").alias("id")
+    stored = [read_table(spark, t, root).select(number("order_id")) for t in (ORDERS, PAYMENTS, DELIVERIES)]
+    stored = stored[0].unionByName(stored[1]).unionByName(stored[2])
+    refused = read_table(spark, REJECTED, root).select(
+        F.col("kafka_offset").alias("id"), F.col("rejection_reason").alias("outcome")
+    )
+    raw = read_table(spark, RAW_EVENTS, root).select(number("event_id"))
+    raw = raw.join(stored, "id", "left_anti").join(refused, "id", "left_anti")
+    return (
+        stored.withColumn("outcome", F.lit("stored"))
+        .unionByName(raw.withColumn("outcome", F.lit("raw")))
+        .unionByName(refused)
+    )
+
+
+def _twice(refresh):
+    """Two refreshes of one table, off the hour and a day apart."""
+    for as_of in now.REFRESHES:
+        refresh(as_of)
+
+
+@query
+def refresh_hourly_revenue(spark, sf):
+    root = run_dir(spark, "refresh")
+
+    def refresh(as_of):
+        rows = b.event_orders(spark, sf, *SILVER_COLUMNS).filter(F.col("event_time") <= F.lit(as_of))
+        since = F.date_trunc("hour", before(as_of, gold.REFRESH_PERIOD))
+        replace_range(gold.hourly_revenue(rows, as_of, whole_hours=True), HOURLY_REVENUE, root, since)
+
+    _twice(refresh)
+    return read_table(spark, HOURLY_REVENUE, root).drop("refreshed_at", "bucket_date")
+
+
+@query
+def refresh_payment_failures(spark, sf):
+    root = run_dir(spark, "refresh")
+
+    def refresh(as_of):
+        rows = b.payments(spark, sf, "payment_method", "payment_status", "event_time")
+        rows = rows.filter(F.col("event_time") <= F.lit(as_of))
+        since = F.date_trunc("hour", before(as_of, gold.REFRESH_PERIOD))
+        replace_range(gold.payment_failure_metrics(rows, as_of, whole_hours=True), PAYMENT_FAILURES, root, since)
+
+    _twice(refresh)
+    return read_table(spark, PAYMENT_FAILURES, root).drop("refreshed_at", "bucket_date")
+
+
+@query
+def refresh_delayed_shipments(spark, sf):
+    """A delivery moves from the day it was shipped to the day it arrived."""
+    root = run_dir(spark, "refresh")
+
+    def refresh(as_of):
+        events = b.table(spark, sf, "events").filter(F.col("ts") <= F.lit(as_of))
+        rows = medallion.silver_rows(parse_events(b.messages(events)), medallion.silver_deliveries())
+        replace_range(gold.delayed_shipments(medallion.current_deliveries(rows)), DELAYED_SHIPMENTS, root)
+
+    _twice(refresh)
+    return read_table(spark, DELAYED_SHIPMENTS, root).drop("refreshed_at", "bucket_month")
+
+
+@query
+def refresh_city_revenue(spark, sf):
+    """Cancellations become known after the first refresh; the second covers the later half."""
+    root = run_dir(spark, "refresh")
+    rows = b.event_orders(spark, sf, "city", "order_status", "total_amount", "event_time")
+    replace_range(gold.revenue_by_city(rows.withColumn("order_status", F.lit("placed"))), REVENUE_BY_CITY, root)
+    since = F.lit("2024-01-16").cast("date")
+    replace_range(gold.revenue_by_city(rows), REVENUE_BY_CITY, root, since)
+    return read_table(spark, REVENUE_BY_CITY, root).drop("refreshed_at", "bucket_month")
+
+
+@query
+def refresh_customer_metrics(spark, sf):
+    """Customers whose orders were all cancelled after the first refresh go."""
+    root = run_dir(spark, "refresh")
+    rows = b.event_orders(spark, sf, *SILVER_COLUMNS)
+    for known in (rows.withColumn("order_status", F.lit("placed")), rows):
+        replace_range(gold.customer_metrics(known, now.EVENTS), CUSTOMER_METRICS, root)
+    return read_table(spark, CUSTOMER_METRICS, root).drop("refreshed_at", "key_bucket")
+
+
+@query
+def refresh_segments(spark, sf):
+    root = run_dir(spark, "refresh")
+    rows = _segments(spark, sf)
+    replace_range(rows.withColumn("segment", F.lit("Old")), CUSTOMER_SEGMENTS, root)
+    replace_range(rows, CUSTOMER_SEGMENTS, root)
+    return read_table(spark, CUSTOMER_SEGMENTS, root).drop("created_at", "key_bucket")
+
+
+@query
+def gold_with_cancellations(spark, sf):
+    """From messages to the daily figures, without the orders cancelled later."""
+    root = run_dir(spark, "cancelled")
+    events = b.table(spark, sf, "events")
+    event_tables.write_batch(b.messages(events).unionByName(b.cancel_messages(events)), root)
+    raw = read_table(spark, RAW_EVENTS, root).select(
+        F.col("raw_payload").alias("value"), F.col("kafka_topic").alias("topic")
+    )
+    refresh_gold(spark, root, now.EVENTS, cancelled=medallion.cancellations(parse_events(raw)))
+    return read_table(spark, DAILY_REVENUE, root).drop("refreshed_at", "bucket_month")
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
@@ -639,10 +830,21 @@ def _finish(stream_query) -> None:
     stream_query.awaitTermination()
 
 
+def _events(spark, sf, again=False, late=None):
+    return b.replay(spark, sf, "events", "ts", late, again)
+
+
+def _late(spark, sf):
+    """The first purchase, which the replay delivers last."""
+    bought = b.table(spark, sf, "events").filter("event_type = 'purchase'")
+    first = bought.agg(F.min(F.struct("ts", "event_id")).alias("first")).select("first.event_id").first()[0]
+    return F.col("event_id") == first
+
+
 @query
 def stream_events_bronze(spark, sf):
     root = run_dir(spark, "bronze")
-    parsed = parse_events(b.messages(b.event_stream(spark, sf)))
+    parsed = parse_events(b.messages(_events(spark, sf)))
     rows = parsed.select(
         "event_id", "event_type", F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), "event_time",
@@ -653,8 +855,9 @@ def stream_events_bronze(spark, sf):
 
 @query
 def stream_medallion(spark, sf):
+    """Every message comes again in the next batch."""
     root = run_dir(spark, "events")
-    messages = b.messages(b.event_stream(spark, sf))
+    messages = b.messages(_events(spark, sf, again=True))
     _finish(event_tables.run(messages, root, f"{root}/checkpoint", trigger=None))
 
     def counted(table, amount):
@@ -684,61 +887,58 @@ def _outcomes(spark, messages, topic, key):
 
 @query
 def stream_validated_orders(spark, sf):
-    messages = b.flat_order_messages(b.order_stream(spark, sf))
+    messages = b.flat_order_messages(b.replay(spark, sf, "orders", "o_orderdate"))
     return _outcomes(spark, messages, ORDERS_TOPIC, "order_id")
 
 
 @query
 def stream_validated_payments(spark, sf):
-    messages = b.flat_payment_messages(b.event_stream(spark, sf))
-    return _outcomes(spark, messages, PAYMENTS_TOPIC, "payment_id")
+    return _outcomes(spark, b.flat_payment_messages(_events(spark, sf)), PAYMENTS_TOPIC, "payment_id")
 
 
 @query
 def stream_validated_deliveries(spark, sf):
-    messages = b.flat_delivery_messages(b.line_stream(spark, sf))
-    return _outcomes(spark, messages, DELIVERIES_TOPIC, "delivery_id").distinct()
+    lines = b.with_city(b.replay(spark, sf, "lineitem", "l_shipdate"), spark, sf)
+    return _outcomes(spark, b.flat_delivery_messages(lines), DELIVERIES_TOPIC, "delivery_id")
 
 
 @query
 def stream_insert_ignore(spark, sf):
+    """Every order comes again in the next batch."""
     root = run_dir(spark, "flat")
-    messages = b.flat_order_messages(b.order_stream(spark, sf))
-    again = messages.withColumn("offset", F.col("offset") + REDELIVERY)
-    _finish(
-        flat_tables.run(
-            messages.unionByName(again), ORDERS_TOPIC, root, f"{root}/checkpoint", validate=False, trigger=None
-        )
-    )
+    messages = b.flat_order_messages(b.replay(spark, sf, "orders", "o_orderdate", again=True))
+    _finish(flat_tables.run(messages, ORDERS_TOPIC, root, f"{root}/checkpoint", validate=False, trigger=None))
     return read_table(spark, FLAT_ORDERS, root).select("order_id", "total_amount", "status", "timestamp")
 
 
 @query
 def stream_dedupe(spark, sf):
+    """Each event comes twice in a batch and twice in the next one; the late one is left out."""
     root = run_dir(spark, "dedupe")
-    events = b.event_stream(spark, sf).select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_time"), F.col("event_id").alias("offset")
+    events = _events(spark, sf, again=True, late=_late(spark, sf)).select(
+        "event_id", F.col("ts").cast("timestamp").alias("event_time"),
+        (F.col("event_id") + F.col("copy") * b.REDELIVERY).alias("offset"),
     )
-    twice = events.unionByName(events.withColumn("offset", F.col("offset") + REDELIVERY))
-    # a replay reads files in any order, so the delay covers the whole history
-    rows = windows.deduplicated(twice, delay="3650 days", position="offset").select("event_id", "event_time")
+    twice = events.withColumn("offset", F.col("offset") + 2 * b.REDELIVERY).unionByName(events)
+    rows = windows.deduplicated(twice, delay="12 hours", position="offset")
     _finish(windows.to_files(rows, f"{root}/table", f"{root}/checkpoint", trigger=None))
     return spark.read.schema(rows.schema).parquet(f"{root}/table")
 
 
 @query
 def stream_hourly_revenue(spark, sf):
+    """The late purchase is left to the batch refresh."""
     root = run_dir(spark, "hourly")
-    events = b.event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _events(spark, sf, late=_late(spark, sf)).withColumn("ts", F.col("ts").cast("timestamp"))
     orders = b.event_orders_from(events, "product_category", "order_status", "total_amount", "event_time")
-    _finish(windows.run_hourly_revenue(orders, root, f"{root}/checkpoint", "3650 days", trigger=None))
+    _finish(windows.run_hourly_revenue(orders, root, f"{root}/checkpoint", "12 hours", trigger=None))
     return read_table(spark, HOURLY_REVENUE, root).drop("refreshed_at", "bucket_date")
 
 
 @query
 def stream_topic_throughput(spark, sf):
     root = run_dir(spark, "throughput")
-    messages = b.messages(b.event_stream(spark, sf)).withWatermark("timestamp", "3650 days")
+    messages = b.messages(_events(spark, sf, late=_late(spark, sf))).withWatermark("timestamp", "12 hours")
     counts = links.topic_throughput(messages)
     _finish(windows.keep_table(counts, TOPIC_THROUGHPUT, root, f"{root}/checkpoint", trigger=None))
     return read_table(spark, TOPIC_THROUGHPUT, root).drop("slot_date")

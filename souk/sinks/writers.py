@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from souk.functions.grouping import first_per_key, last_per_key
 from souk.sources.schemas import EVENT_TOPIC, REJECTED, Table, TimePartition
-from souk.sources.tables import conform, create_if_absent, read_partitions, read_table
+from souk.sources.tables import (
+    conform,
+    create_if_absent,
+    drop_partitions,
+    read_partitions,
+    read_table,
+    stored_partitions,
+)
 
 # new rows are read two or three times per write; on disk they take no memory from the joins,
 # however many they are, and a lost executor's part is computed again
@@ -34,15 +41,20 @@ def insert_ignore(
     root: str,
     order_by: Sequence[str] = (),
     everywhere: bool | None = None,
+    spread: int | None = None,
+    unique: bool = False,
 ) -> None:
     """Add the rows whose key is not in the table yet; the first of several new rows wins.
 
     ``everywhere`` decides whether known keys are searched in all partitions or only in those the
-    new rows fall into; by default the table's contract says whether the latter is enough.
+    new rows fall into; by default the latter if the key holds the partition value. A stream that
+    keeps the keys it has seen in its state passes False: the lookup then only makes a repeated
+    batch harmless. ``spread``: see :func:`_write`. ``unique``: ``df`` has one row per key already.
     """
     spark = df.sparkSession
     create_if_absent(spark, table, root)
-    rows = conform(first_per_key(df, table.keys, order_by), table).persist(REUSE)
+    firsts = df if unique else first_per_key(df, table.keys, order_by)
+    rows = conform(firsts, table).persist(REUSE)
     try:
         search_all = not table.key_fixes_partition if everywhere is None else everywhere
         if table.partition is None or search_all:
@@ -50,7 +62,7 @@ def insert_ignore(
         else:
             current = read_partitions(spark, table, root, _touched(rows, table))
         fresh = fresh_rows(rows, current, table.keys)
-        _write(fresh, table, root, mode="append")
+        _write(fresh, table, root, mode="append", spread=spread)
     finally:
         rows.unpersist()
 
@@ -72,7 +84,9 @@ def merged_rows(updates: DataFrame, current: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(updates)
 
 
-def upsert(df: DataFrame, table: Table, root: str, order_by: Sequence[str] = ()) -> None:
+def upsert(
+    df: DataFrame, table: Table, root: str, order_by: Sequence[str] = (), spread: int | None = None
+) -> None:
     """Replace or add rows by key. Only the partitions that hold an updated key are rewritten.
 
     Spark writes the new partitions to a staging folder and swaps them in when the job commits, so
@@ -87,13 +101,45 @@ def upsert(df: DataFrame, table: Table, root: str, order_by: Sequence[str] = ())
     try:
         current = read_partitions(spark, table, root, _touched(updates, table))
         merged = merged_rows(updates, current, table.keys).select(*table.schema.names)
-        _write(merged, table, root, mode="overwrite")
+        _write(merged, table, root, mode="overwrite", spread=spread)
     finally:
         updates.unpersist()
 
 
+def replace_range(df: DataFrame, table: Table, root: str, since: Column | None = None) -> None:
+    """Replace all rows whose partition time is not before ``since`` (None: all rows) by ``df``.
+
+    For refreshes that recompute a whole range: groups that no longer exist go, which an upsert would
+    keep. Rows before ``since`` in its partition are carried over. New partitions are staged
+    until the job commits, so a failed job leaves the old rows; partitions without rows any more are
+    removed after that.
+    """
+    spark = df.sparkSession
+    create_if_absent(spark, table, root)
+    rows = conform(last_per_key(df, table.keys), table)
+    if since is not None:
+        time = F.col(table.partition.column)
+        since = since.cast(table.schema[table.partition.column].dataType)
+        rows = rows.filter(time >= since)
+        older = read_table(spark, table, root, since=since).filter(time < since)
+        rows = rows.unionByName(older)
+    rows = rows.select(*table.schema.names).persist(REUSE)
+    try:
+        stale = set(stored_partitions(spark, table, root, since)) - set(_touched(rows, table))
+        _write(rows, table, root, mode="overwrite")
+        drop_partitions(spark, table, root, sorted(stale, key=str))
+    finally:
+        rows.unpersist()
+
+
 def write_rejected(
-    df: DataFrame, root: str, *, topic: str | Column, record: Column, reason: str = "rejection_reason"
+    df: DataFrame,
+    root: str,
+    *,
+    topic: str | Column,
+    record: Column,
+    reason: str = "rejection_reason",
+    spread: int | None = None,
 ) -> None:
     """Keep refused records with their topic, text and reason; needs the message position in
     ``partition`` and ``offset``, which makes a repeated write harmless."""
@@ -104,7 +150,7 @@ def write_rejected(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
     )
-    insert_ignore(rows, REJECTED, root)
+    insert_ignore(rows, REJECTED, root, spread=spread)
 
 
 def encode_events(events: DataFrame) -> DataFrame:
@@ -117,15 +163,6 @@ def encode_events(events: DataFrame) -> DataFrame:
     )
 
 
-def encode_records(records: DataFrame, topic: str) -> DataFrame:
-    """Flat records as messages of one topic, without a key."""
-    return records.select(
-        F.lit(topic).alias("topic"),
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*records.columns)).alias("value"),
-    )
-
-
 KAFKA_SINK = {"kafka.acks": "all", "kafka.compression.type": "gzip", "kafka.retries": "3"}
 
 
@@ -168,17 +205,25 @@ def jdbc_writer(
     )
 
 
-def _write(df: DataFrame, table: Table, root: str, mode: str) -> None:
+def _write(df: DataFrame, table: Table, root: str, mode: str, spread: int | None = None) -> None:
+    """Without ``spread`` adaptive execution evens out the files. It does not run in the batches of a
+    stateful stream: there ``spread`` deals each partition's rows over so many tasks."""
     part = table.partition
     if part is None:
         df.hint("rebalance").write.mode(mode).parquet(table.path(root))
         return
+    extra = []
     if isinstance(part, TimePartition):
         # keep days together and rows in time order: readers skip row groups by their time range
-        spread = df.withColumn("_day", F.to_date(part.column)).hint("rebalance", part.name, "_day")
-        df = spread.sortWithinPartitions(part.name, part.column).drop("_day")
+        df = df.withColumn("_day", F.to_date(part.column))
+        extra = ["_day"]
+    if spread:
+        salt = F.pmod(F.xxhash64(*table.keys), F.lit(spread))
+        df = df.repartition(part.name, *extra, salt)
     else:
-        df = df.hint("rebalance", part.name)
+        df = df.hint("rebalance", part.name, *extra)
+    if extra:
+        df = df.sortWithinPartitions(part.name, part.column).drop("_day")
     writer = df.write.partitionBy(part.name).option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).parquet(table.path(root))
 

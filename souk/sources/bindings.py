@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from souk.session import run_dir
 from souk.sources.schemas import DELIVERIES_TOPIC, ORDERS_TOPIC, PAYMENTS_TOPIC
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,19 +26,12 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return _table_stream(spark, sf_dir, "events", max_files)
 
 
-def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders table as a file stream."""
-    return _table_stream(spark, sf_dir, "orders")
-
-
-def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order lines, each with the city of its supplier (a stream joined with tables)."""
+def with_city(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines (batch or stream), each with the city of its supplier."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    return (
-        _table_stream(spark, sf_dir, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
 
 
@@ -51,6 +46,42 @@ def _table_stream(
     return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+BATCHES = 4
+REDELIVERY = 1_000_000_000_000  # offset distance of redelivered copies
+
+
+def replay(
+    spark: SparkSession, sf_dir: str, name: str, time: str, late: Column | None = None, again: bool = False
+) -> DataFrame:
+    """A table as a stream of several micro-batches in the order of ``time``.
+
+    Rows get a ``position`` of their own and ``copy`` = 0. ``late`` marks rows that come with the last
+    batch; with ``again`` every row is delivered once more in the batch after its own, as ``copy`` 1.
+    """
+    rows = table(spark, sf_dir, name).withColumn("position", F.monotonically_increasing_id())
+    seconds = F.col(time).cast("timestamp").cast("double")
+    shares = [i / BATCHES for i in range(1, BATCHES)]
+    edges = rows.select(seconds.alias("t")).approxQuantile("t", shares, 0.001)
+    part = sum((F.when(seconds >= edge, 1).otherwise(0) for edge in edges), F.lit(0))
+    if late is not None:
+        part = F.when(late, BATCHES - 1).otherwise(part)
+    rows = rows.withColumn("_part", part)
+    files = max(1, rows.rdd.getNumPartitions() // BATCHES)
+    folder = run_dir(spark, name)
+    for k in range(BATCHES + again):  # files are streamed in the order they were written
+        batch = rows.filter(F.col("_part") == k).withColumn("copy", F.lit(0))
+        if again:
+            batch = batch.unionByName(rows.filter(F.col("_part") == k - 1).withColumn("copy", F.lit(1)))
+        batch.drop("_part").repartition(files).write.mode("append").parquet(folder)
+    schema = rows.drop("_part").withColumn("copy", F.lit(0)).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def _offset(rows: DataFrame, own: Column) -> Column:
+    """The position of a message; redelivered copies come after everything."""
+    return own + F.col("copy") * F.lit(REDELIVERY) if "copy" in rows.columns else own
+
+
 def _choice(selector: Column, labels: list[str]) -> Column:
     """``labels`` by number; the last one for all higher numbers."""
     choice = F.when(selector == 0, labels[0])
@@ -294,11 +325,33 @@ def messages(events: DataFrame) -> DataFrame:
         value.alias("value"),
         topic.alias("topic"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
+        _offset(events, F.col("event_id")).alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
 
+def cancel_messages(events: DataFrame) -> DataFrame:
+    """Every fifth purchase is cancelled an hour later."""
+    text = F.col("event_id").cast("string")
+    at = F.col("ts").cast("timestamp") + F.expr("INTERVAL 1 HOUR")
+    record = F.struct(
+        F.concat(F.lit("CAN-"), text).alias("event_id"),
+        F.lit("order_cancelled").alias("event_type"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
+        F.concat(F.lit("USR-"), F.col("user_id").cast("string")).alias("user_id"),
+        F.concat(F.lit("ORD-"), text).alias("order_id"),
+    )
+    chosen = events.filter((F.col("event_type") == "purchase") & (F.col("event_id") % 5 == 0))
+    return chosen.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(record).alias("value"),
+        F.lit(ORDERS_TOPIC).alias("topic"),
+        F.lit(3).alias("partition"),
+        F.col("event_id").alias("offset"),
+        at.alias("timestamp"),
+    )
+
+
 def flat_order_messages(order_rows: DataFrame) -> DataFrame:
     """Orders (batch or stream) as flat JSON messages."""
     status = F.col("o_orderstatus")
@@ -318,7 +371,7 @@ def flat_order_messages(order_rows: DataFrame) -> DataFrame:
         F.to_json(record).alias("value"),
         F.lit(ORDERS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
-        F.col("o_orderkey").alias("offset"),
+        _offset(order_rows, F.col("o_orderkey")).alias("offset"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
     )
 
@@ -339,17 +392,13 @@ def flat_payment_messages(events: DataFrame) -> DataFrame:
         F.to_json(record).alias("value"),
         F.lit(PAYMENTS_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
+        _offset(events, F.col("event_id")).alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
 
 def flat_delivery_messages(lines: DataFrame) -> DataFrame:
-    """Order lines with a city (batch or stream) as flat JSON delivery messages.
-
-    Line numbers repeat within an order, so a hash of the line's content takes the part of the
-    partition and keeps the positions apart.
-    """
+    """Order lines with a city and a position (batch or stream) as flat JSON delivery messages."""
     flag = F.col("l_returnflag")
     line = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     record = F.struct(
@@ -364,7 +413,7 @@ def flat_delivery_messages(lines: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("key"),
         F.to_json(record).alias("value"),
         F.lit(DELIVERIES_TOPIC).alias("topic"),
-        F.hash("l_partkey", "l_suppkey", "l_shipdate", "l_quantity").alias("partition"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        F.lit(0).alias("partition"),
+        _offset(lines, F.col("position")).alias("offset"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
     )

@@ -121,8 +121,8 @@ def key_bucket(*keys: str, buckets: int = KEY_BUCKETS) -> KeyPartition:
 class Table:
     """A table's contract.
 
-    ``key_fixes_partition``: rows of one key always fall into one partition, so writers look a key
-    up in the partitions of the new rows only.
+    ``key_fixes_partition``: the key holds the partition value, so rows of one key always fall into
+    one partition and writers look a key up in the partitions of the new rows only.
     """
 
     name: str
@@ -155,7 +155,6 @@ RAW_EVENTS = Table(
     "kafka_partition INT, kafka_offset LONG, event_time TIMESTAMP, ingested_at TIMESTAMP",
     keys=("event_id",),
     partition=TimePartition("event_date", "event_time"),
-    key_fixes_partition=True,  # a redelivered event carries the same payload
     defaults={"ingested_at": "current_timestamp()"},
     not_null=("event_id", "event_type", "raw_payload"),
 )
@@ -167,7 +166,6 @@ ORDERS = Table(
     "event_time TIMESTAMP, processed_at TIMESTAMP, is_valid BOOLEAN",
     keys=("order_id",),
     partition=TimePartition("event_date", "event_time"),
-    key_fixes_partition=True,  # the id is minted with its one "placed" event
     defaults={"order_status": "'placed'", "is_valid": "true", **NOW},
     not_null=("order_id", "user_id", "product_id", "event_time"),
     checks={
@@ -183,7 +181,6 @@ PAYMENTS = Table(
     "event_time TIMESTAMP, processed_at TIMESTAMP",
     keys=("payment_id",),
     partition=TimePartition("event_date", "event_time"),
-    key_fixes_partition=True,  # the id is minted with its one event
     defaults=NOW,
     not_null=("payment_id", "user_id", "event_time"),
     checks={"amount": "amount >= 0"},

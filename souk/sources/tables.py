@@ -79,6 +79,21 @@ def read_partitions(
         return spark.createDataFrame([], table.schema)  # none of them exists yet
 
 
+def stored_partitions(spark: SparkSession, table: Table, root: str, since: Column | None = None) -> list:
+    """The partition values that have a folder, from ``since`` on; no data file is read for it."""
+    df = read_table(spark, table, root, since=since)
+    return [r[0] for r in df.select(table.partition.name).distinct().collect()]
+
+
+def drop_partitions(spark: SparkSession, table: Table, root: str, values: Sequence[object]) -> None:
+    """Remove the folders of the given partitions."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        folder = f"{table.path(root)}/{table.partition.name}={NULL_FOLDER if value is None else value}"
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def jdbc_reader(
     spark: SparkSession,
     *,

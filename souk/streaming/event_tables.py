@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from souk.operators.medallion import (
-    POSITION,
     Silver,
     bronze_events,
     refused_events,
@@ -30,10 +29,10 @@ def write_batch(messages: DataFrame, root: str) -> None:
     parsed = parse_events(messages).persist(REUSE)  # parsed once for the five writes
     try:
         # raw events first: silver rows refer to them
-        insert_ignore(bronze_events(parsed), RAW_EVENTS, root, ["kafka_partition", "kafka_offset"])
+        insert_ignore(bronze_events(parsed), RAW_EVENTS, root, unique=True)
 
         def write_silver(silver: Silver) -> None:
-            insert_ignore(silver_rows(parsed, silver), silver.table, root, POSITION)
+            insert_ignore(silver_rows(parsed, silver), silver.table, root, unique=True)
 
         def write_refused() -> None:
             refused = refused_events(parsed)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from souk.operators.validate import (
+    Rule,
     missing,
     rejected_rows,
     rules_for,
+    unfit,
     unreadable,
     valid_rows,
     with_reason,
@@ -18,6 +20,7 @@ from souk.sinks.writers import REUSE, insert_ignore, write_rejected
 from souk.sources.events import parse_flat
 from souk.sources.schemas import FLAT_TABLES, Table
 from souk.streaming.triggers import start
+from souk.streaming.windows import SPREAD, first_copies
 
 POSITION = ("partition", "offset")
 
@@ -38,27 +41,42 @@ def typed(records: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def write_batch(
-    messages: DataFrame,
-    topic: str,
-    root: str,
-    validate: bool = True,
-    everywhere: bool | None = None,
-) -> None:
-    """Insert the good records (first of a key wins) and keep the refused ones with a reason.
+def storage_rules(table: Table, columns: list[str]) -> list[Rule]:
+    """Values the table's types cannot take; empty text counts as absent."""
+    types = {f.name: f.dataType.simpleString() for f in table.schema.fields if f.name in columns}
+    typed_columns = {n: t for n, t in types.items() if t != "string"}
+    return [unfit(n, t, F.when(F.col(n) != "", F.col(n))) for n, t in typed_columns.items()]
 
-    Without ``validate`` only unreadable text and records without a key are refused.
-    """
-    table = FLAT_TABLES[topic]
+
+def checked_rows(messages: DataFrame, topic: str, validate: bool = True) -> DataFrame:
+    """The records of a topic (batch or stream) with the reason to refuse them."""
+    records, table = parse_flat(messages, topic), FLAT_TABLES[topic]
     rules = [unreadable(), *(rules_for(topic) if validate else map(missing, table.keys))]
-    checked = with_reason(parse_flat(messages, topic), rules).persist(REUSE)
+    return with_reason(records, [*rules, *storage_rules(table, records.columns)])
+
+
+def write_checked(
+    checked: DataFrame, topic: str, root: str, everywhere: bool | None = None, spread: int | None = None
+) -> None:
+    """Insert the good records (first of a key wins) and keep the refused ones with a reason."""
+    table = FLAT_TABLES[topic]
+    checked = checked.persist(REUSE)
     try:
-        insert_ignore(typed(valid_rows(checked), table), table, root, POSITION, everywhere)
-        write_rejected(rejected_rows(checked), root, topic=topic, record=F.col("value"))
+        insert_ignore(typed(valid_rows(checked), table), table, root, POSITION, everywhere, spread)
+        write_rejected(rejected_rows(checked), root, topic=topic, record=F.col("value"), spread=spread)
     finally:
         checked.unpersist()
 
 
+def write_batch(messages: DataFrame, topic: str, root: str, validate: bool = True) -> None:
+    """One bounded set of messages; known ids are searched in the whole table.
+
+    Without ``validate`` only unreadable text, records without a key and values that the table
+    cannot hold are refused.
+    """
+    write_checked(checked_rows(messages, topic, validate), topic, root)
+
+
 def run(
     messages: DataFrame,
     topic: str,
@@ -66,15 +84,20 @@ def run(
     checkpoint: str,
     validate: bool = True,
     trigger: str | None = "10 seconds",
-    everywhere: bool | None = None,
 ) -> StreamingQuery:
     """Start the stream of one topic; ``trigger=None`` handles what is there and stops.
 
-    By default known ids are searched in the whole table, which reads its key column once per
-    batch: take a long trigger on a large table, or ``everywhere=False`` where an id does not come
-    back in another month.
+    Ids seen before are kept in the stream's own state, so a batch costs what its own ids cost
+    however large the table is. The table is searched only in the months of the batch, which makes a
+    repeated batch harmless. One stream fills the table from its start; a table that others fill as
+    well takes :func:`write_batch`.
     """
-    writer = messages.writeStream.foreachBatch(
-        lambda batch, _: write_batch(batch, topic, root, validate, everywhere)
+    checked = checked_rows(messages, topic, validate)
+    place = F.concat_ws("/", "partition", "offset")
+    own_key = F.to_json(F.struct(*FLAT_TABLES[topic].keys))
+    keyed = checked.withColumn("_id", F.when(F.col("rejection_reason").isNull(), own_key).otherwise(place))
+    firsts = first_copies(keyed, ["_id"], POSITION).drop("_id")
+    writer = firsts.writeStream.foreachBatch(
+        lambda batch, _: write_checked(batch, topic, root, everywhere=False, spread=SPREAD)
     )
     return start(writer, checkpoint, trigger)

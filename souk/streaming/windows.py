@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from souk.functions.filters import not_cancelled
 from souk.functions.money import ratio
@@ -12,7 +16,49 @@ from souk.sinks.writers import upsert
 from souk.sources.schemas import HOURLY_REVENUE, Table
 from souk.streaming.triggers import start
 
-SPREAD = 16
+SPREAD = 16  # tasks that share one day's rows in a write of a stateful stream
+
+
+def first_copies(
+    rows: DataFrame,
+    keys: Sequence[str],
+    position: Sequence[str],
+    event_time: str | None = None,
+    delay: str | None = None,
+) -> DataFrame:
+    """The first row of each key, over all batches of a stream; of the copies in one batch, the one
+    with the lowest ``position``.
+
+    The state holds one small entry per key, not the rows, so a batch costs what its own keys
+    cost. With ``delay`` an entry goes once the watermark is that far past its event time, and rows that
+    arrive later than ``delay`` are dropped; without it keys are remembered for good. A key's rows
+    are read piece by piece and never gathered.
+    """
+    order = list(position)
+    lasts = 0 if delay is None else pd.Timedelta(delay) // pd.Timedelta(milliseconds=1)
+
+    def first(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for part in parts:
+            top = part if best is None else pd.concat([best, part])
+            best = top.sort_values(order, kind="stable").head(1)
+        known = state.exists
+        if delay is not None:
+            until = state.get[0] if known else int(best[event_time].iloc[0].timestamp() * 1000) + lasts
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        else:
+            until = 0
+        if not known:
+            state.update((until,))
+            yield best
+
+    if delay is not None:
+        rows = rows.withWatermark(event_time, delay)
+    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy(*keys).applyInPandasWithState(first, rows.schema, "until LONG", "append", timeout)
 
 
 def deduplicated(
@@ -24,22 +70,12 @@ def deduplicated(
 ) -> DataFrame:
     """The first copy of each event, as long as copies lie within ``delay``.
 
-    State is dropped behind the watermark, and so are rows that arrive later than ``delay``: a
-    replay that reads history in any order needs a ``delay`` that covers it.
-
-    With ``position`` (a column that differs between copies, such as the message offset) copies are
-    first reduced in ``SPREAD`` independent slots: a key that makes up a large share of the
-    stream is then not handled by one task.
+    State is dropped behind the watermark, and so are rows that arrive later than ``delay``. With
+    ``position`` the copy with the lowest one stays, else any of those that arrive together.
     """
-    marked = events.withWatermark(event_time, delay)
     if position is None:
-        return marked.dropDuplicatesWithinWatermark([key])
-    slotted = marked.withColumn("_slot", F.pmod(F.xxhash64(position), F.lit(SPREAD)))
-    return (
-        slotted.dropDuplicatesWithinWatermark([key, "_slot"])
-        .drop("_slot")
-        .dropDuplicatesWithinWatermark([key])
-    )
+        return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    return first_copies(events, [key], [position], event_time, delay)
 
 
 def hourly_revenue(orders: DataFrame, delay: str = "2 days") -> DataFrame:
@@ -64,7 +100,7 @@ def keep_table(
 ) -> StreamingQuery:
     """Keep a keyed table up to date with a stream of changed groups."""
     writer = updates.writeStream.outputMode("update").foreachBatch(
-        lambda batch, _: upsert(batch, table, root)
+        lambda batch, _: upsert(batch, table, root, spread=SPREAD)
     )
     return start(writer, checkpoint, trigger)
 

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from souk.functions.grouping import first_per_key
 from souk.operators import links, medallion
 from souk.registry.queries import QUERIES
+from souk.sinks import writers
+from souk.sources.schemas import TOPIC_THROUGHPUT
+from souk.sources.tables import conform
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITERS = {"insert_ignore_orders", "upsert_daily_revenue"}
-READERS = [n for n in QUERIES if not n.startswith("stream_") and n not in WRITERS]
+WRITERS = {"insert_ignore_orders", "upsert_daily_revenue", "insert_ignore_across_days", "message_outcomes", "gold_with_cancellations"}
+READERS = [n for n in QUERIES if not n.startswith(("stream_", "refresh_")) and n not in WRITERS]
 
 
 def plan(df) -> str:
@@ -98,3 +101,20 @@ def test_hot_key_is_split_in_joins(spark, small_limits):
 def test_copies_are_reduced_before_the_shuffle(spark, small_limits):
     text = plan(first_per_key(hot_orders(spark), ["order_id"], ["text"]))
     assert text.index("partial_min") > text.index("Exchange")  # printed top down: below the exchange
+
+
+@pytest.mark.parametrize("name", ["category_forecast", "delivery_insights"])
+def test_no_sort_of_all_rows_below_an_aggregate(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    below = text[text.index("HashAggregate") if "HashAggregate" in text else text.index("Aggregate"):]
+    assert "rangepartitioning" not in below
+
+
+def test_spread_deals_a_day_over_tasks(spark, tmp_path, monkeypatch):
+    seen = []
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: seen.append(plan(self._df)))
+    rows = spark.range(10).select(F.current_timestamp().alias("slot_start"), F.lit("t").alias("topic"), F.col("id").alias("messages"))
+    writers._write(conform(rows, TOPIC_THROUGHPUT), TOPIC_THROUGHPUT, f"file://{tmp_path}", "append", spread=16)
+    assert re.search(r"hashpartitioning\(slot_date.*pmod\(xxhash64\(slot_start.*topic", seen[0])

@@ -102,6 +102,54 @@ def test_flat_orders(spark, root, validate):
         assert refused == {3: "Missing order_id", 4: "Malformed JSON"}
 
 
+@pytest.mark.parametrize("field, value, reason", [
+    ("total_amount", "12345678901.5", "Invalid total_amount — not a decimal(12,2)"),
+    ("total_amount", "NaN", "Invalid total_amount — not a decimal(12,2)"),
+    ("price", "Infinity", "Invalid price — not a decimal(12,2)"),
+    ("timestamp", "yesterday", "Invalid timestamp — not a timestamp"),
+])
+def test_values_that_do_not_fit_are_refused(spark, root, field, value, reason):
+    good = {"order_id": "a", "customer_id": "c", "product_name": "p", "price": 2, "total_amount": 4, "quantity": 2, "status": "placed", "timestamp": "2024-01-01T09:00:00"}
+    texts = [(ORDERS_TOPIC, json.dumps({**good, field: value})), (ORDERS_TOPIC, json.dumps({**good, "order_id": "b"}))]
+    flat_tables.write_batch(messages(spark, texts), ORDERS_TOPIC, root)
+    assert [r.order_id for r in read_table(spark, FLAT_ORDERS, root).collect()] == ["b"]
+    assert [r.rejection_reason for r in read_table(spark, REJECTED, root).collect()] == [reason]
+
+
+def test_silver_takes_only_raw_events(spark, root):
+    rows = [(ORDERS_TOPIC, order("e1", "o1")), (ORDERS_TOPIC, order("e2", "o2", total_amount=1e15))]
+    rows += [(ORDERS_TOPIC, json.dumps({k: v for k, v in json.loads(order("e3", "o3")).items() if k != "event_id"}))]
+    event_tables.write_batch(messages(spark, rows), root)
+    assert [r.order_id for r in read_table(spark, ORDERS, root).collect()] == ["o1"]
+    refused = {r.kafka_offset: r.rejection_reason for r in read_table(spark, REJECTED, root).collect()}
+    assert refused == {1: "Invalid total_amount — not a decimal(12,2)", 2: "event_id is null"}
+
+
+def test_interval_trigger(spark, tmp_path):
+    source, root = f"{tmp_path}/source", f"file://{tmp_path}/tables"
+    texts = [(ORDERS_TOPIC, order(f"e{i}", f"o{i}")) for i in range(5)]
+    messages(spark, texts).select(*[c.split()[0] for c in MESSAGE.split(", ")]).write.parquet(source)
+    run = event_tables.run(read_message_files(spark, source), root, f"{root}/checkpoint", trigger="1 second")
+    try:
+        run.processAllAvailable()
+        assert read_table(spark, ORDERS, root).count() == 5
+    finally:
+        run.stop()
+
+
+def test_flat_stream_keeps_the_first_of_all_batches(spark, tmp_path):
+    source, root = f"{tmp_path}/source", f"file://{tmp_path}/tables"
+    good = {"order_id": "a", "customer_id": "c", "product_name": "p", "price": 2, "quantity": 2, "status": "placed"}
+    record = lambda amount, day: (ORDERS_TOPIC, json.dumps({**good, "total_amount": amount, "timestamp": day}))
+    for texts in ([record(4, "2024-01-31T23:00:00"), record(9, "2024-01-01")], [record(5, "2024-03-01")], [(ORDERS_TOPIC, "x")]):
+        batch = messages(spark, texts).select(*[c.split()[0] for c in MESSAGE.split(", ")])
+        batch.coalesce(1).write.mode("append").parquet(source)
+    stream = read_message_files(spark, source, max_files_per_trigger=1)
+    flat_tables.run(stream, ORDERS_TOPIC, root, f"{root}/checkpoint", trigger=None).awaitTermination()
+    assert [float(r.total_amount) for r in read_table(spark, FLAT_ORDERS, root).collect()] == [4.0]
+    assert [r.rejection_reason for r in read_table(spark, REJECTED, root).collect()] == ["Malformed JSON"]
+
+
 def event_files(spark, tmp_path, n):
     folder = f"{tmp_path}/events"
     events = b.table(spark, SF_DIR, "events").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from souk.functions.grouping import first_per_key, last_per_key
-from souk.sinks.writers import append, encode_events, insert_ignore, upsert
+from souk.sinks.writers import append, encode_events, insert_ignore, kafka_writer, replace_range, upsert
 from souk.sources.schemas import FLAT_ORDERS, FLAT_PAYMENTS, HOURLY_REVENUE, PRODUCTS, RAW_EVENTS, TABLES
 from souk.sources.tables import conform, create_all, read_table
 
@@ -50,6 +50,42 @@ def test_upsert_refuses_partition_that_moves_with_the_row(spark, root):
         upsert(spark.range(1), FLAT_ORDERS, root)
 
 
+def test_replace_range_drops_what_is_gone(spark, root, tmp_path):
+    upsert(hours(spark, FIRST), HOURLY_REVENUE, root)
+    since = F.lit("2024-01-01 11:00").cast("timestamp")
+    replace_range(hours(spark, [("2024-01-01 12:00", "B", "4", 1)]), HOURLY_REVENUE, root, since)
+    # the older hour of the first partition stays, its other hours and the next day go
+    assert content(spark, root) == [("2024-01-01 10:00:00", "A", 1.0), ("2024-01-01 12:00:00", "B", 4.0)]
+    assert not (tmp_path / "tables/gold/hourly_revenue/bucket_date=2024-01-02").exists()
+    replace_range(hours(spark, FIRST).limit(0), HOURLY_REVENUE, root)
+    assert content(spark, root) == []
+
+
+def test_failed_replace_leaves_the_old_rows(spark, root):
+    upsert(hours(spark, FIRST), HOURLY_REVENUE, root)
+    before = content(spark, root)
+    failing = hours(spark, SECOND).withColumn("order_count", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        replace_range(failing, HOURLY_REVENUE, root)
+    assert content(spark, root) == before
+
+
+def test_spread_writes_the_same_rows(spark, root):
+    upsert(hours(spark, FIRST), HOURLY_REVENUE, root, spread=4)
+    upsert(hours(spark, SECOND), HOURLY_REVENUE, root, spread=4)
+    assert len(content(spark, root)) == 4
+
+
+def test_insert_ignore_finds_keys_on_other_days(spark, root):
+    def event(day):
+        rows = spark.createDataFrame([("e1", "order_placed", "{}", day)], "event_id STRING, event_type STRING, raw_payload STRING, t STRING")
+        return rows.withColumn("event_time", F.col("t").cast("timestamp"))
+
+    for day in ("2024-01-01 23:59:59", "2024-01-02 00:00:01"):
+        insert_ignore(event(day), RAW_EVENTS, root)
+    assert [str(r.event_date) for r in read_table(spark, RAW_EVENTS, root).collect()] == ["2024-01-01"]
+
+
 def flat(spark, rows):
     df = spark.createDataFrame(rows, "order_id STRING, total_amount STRING, ts STRING, offset LONG")
     return df.withColumn("timestamp", F.col("ts").cast("timestamp"))
@@ -77,7 +113,7 @@ def test_insert_ignore_does_not_depend_on_row_order(spark, tmp_path):
     assert results[0] == results[1] and len(results[0]) == 4
 
 
-def test_partition_lookup_is_enough_where_the_key_fixes_it(spark, root):
+def test_repeated_insert_changes_nothing(spark, root):
     event = spark.createDataFrame([("e1", "order_placed", "{}", "2024-01-01 10:00")], "event_id STRING, event_type STRING, raw_payload STRING, t STRING")
     event = event.withColumn("event_time", F.col("t").cast("timestamp"))
     for _ in range(3):
