@@ -206,7 +206,7 @@ def pack_documents(docs: DataFrame, path: str, size: int = SIZE, step: int = STE
     pieces = stored(
         cut_pieces(docs, path, size, end_id)
         .withColumn("class", F.ceil(F.col("length") / step).cast("int"))
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(8 * shards(spark))).cast("int")),
+        .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(2 * shards(spark))).cast("int")),
         "pieces",
     )
     counts = pieces.groupBy(*group).count()
