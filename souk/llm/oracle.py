@@ -43,4 +43,28 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLE = {"op9_quality_rules": OP9}
+OP4 = """
+with recursive good as (
+    select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+    select a.vec_id as one, b.vec_id as other from good a
+    join good b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach as (
+    select vec_id, vec_id as found from good
+    union
+    select vec_id, other from reach join links on found = one
+),
+least as (select vec_id, min(found) as component_id from reach group by vec_id),
+counts as (select one as vec_id, count(*) as n from links group by one)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+    coalesce(component_id, vec_id) = vec_id as kept
+from embeddings left join least using (vec_id) left join counts using (vec_id)
+"""
+
+ORACLE = {"op4_embedding_dedup": OP4, "op9_quality_rules": OP9}

@@ -100,3 +100,27 @@ def repeat_words(text):
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     count = Counter(grams)
     return len({i + k for i, g in enumerate(grams) if count[g] > 1 for k in range(3)})
+
+
+def removed_texts(rows, span=50):
+    """The characters that lost no byte."""
+    first = {}
+    for doc, text, *_ in rows:
+        data = text.encode()
+        for i in range(len(data) - span + 1):
+            first[data[i : i + span]] = min(first.get(data[i : i + span], doc), doc)
+    out = {}
+    for doc, text, *_ in rows:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - span + 1):
+            if first[data[i : i + span]] < doc:
+                gone[i : i + span] = b"\1" * span
+        kept, at = [], 0
+        for c in text:
+            size = len(c.encode())
+            if not any(gone[at : at + size]):
+                kept.append(c)
+            at += size
+        out[doc] = "".join(kept)
+    return out

@@ -41,7 +41,7 @@ def token(header, payload={"sub": "1"}):
     ("key " + b64(RSA[:-1]), ""),  # a length that does not fit
     ("ssh-ed25519 " + b64(SSH), f"ssh:12:{12 + len(b64(SSH))}"),
     (b64(b"just some ordinary bytes, quite long ones"), ""),
-    (RSA.hex().upper(), f"der:0:{2 * len(RSA)}"),
+    (RSA.hex().upper(), f"hex:0:{2 * len(RSA)},der:0:{2 * len(RSA)}"),  # digits only: long hex as well
     ("a " + token({"alg": "HS256"}), f"jwt:2:{2 + len(token({'alg': 'HS256'}))}"),
     ("a " + token({"typ": "x"}), ""),
     ("eyJhbGciOi.notjson.signature12", ""),
