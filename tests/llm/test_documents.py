@@ -64,8 +64,11 @@ def test_near_duplicates(docs, rows, empty):
     assert minhash.near_duplicates(empty).collect() == []
 
 
-def test_near_duplicates_in_one_large_group(spark):
-    """Members of one bucket that pass with different hubs still meet each other."""
+@pytest.mark.parametrize("block", [6, 128])
+def test_near_duplicates_in_one_large_group(spark, monkeypatch, block):
+    """Members of one cluster that pass with different hubs, or stand in different blocks, still meet."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash.block_links, "__defaults__", (block,))
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
     rows = []
