@@ -38,7 +38,8 @@ SPAN = 50
 PIECE = 20
 PIECES = SPAN - PIECE + 1
 KEY_BITS = U64(24)  # minimizers are counted by the upper 40 bits of their hash; collisions only cost time
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
+SHARDS = 6  # per shuffle partition: a shard sorts a few megabytes at a time
 SLICE = 1 << 20
 
 
@@ -457,7 +458,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     bytes ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes, which replace columns of
     these names."""
     spark = docs.sparkSession
-    keys = even_keys(spark, shards(spark))
+    keys = even_keys(spark, SHARDS * shards(spark))
     names = np.array(keys)
     table = stored(group_documents(docs, keys), "text-groups")
     rows = table.where("rows is not null").select("group", "rows")
