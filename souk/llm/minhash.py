@@ -6,12 +6,19 @@ arrives first, so two documents agree in a register with their probability Jacca
 shingle stops once its next arrival is later than all registers' (early termination).
 
 Equal texts are one representative, the smallest id. Representatives that agree in a band share a
-bucket. In a bucket all members are compared with one hub, by exact similarity; what the triangle
-inequality of the distance cannot rule out after that goes to the next round with another hub. So
-all links that matter for the classes are found without listing the pairs of a bucket.
+bucket, and buckets that share a member form a cluster; only its members can be linked. Links are
+decided by exact similarity, and only those that span a class are kept:
+
+* A large cluster first compares all its members with one hub, a few times. What the triangle
+  inequality of the distance rules out after that is done.
+* What is left, and all smaller clusters, are compared in blocks of bounded size, pairs of blocks in
+  tasks of their own. A pair that already is of one class, or shares no band, is skipped.
+
+So no link between classes is lost, and the pairs of a cluster are never listed.
 
 Defined results: a text of one to four words is one shingle; null and word-free texts are never
-linked, not even with each other; equal rows are copies; an empty table gives an empty result.
+linked, not even with each other; equal rows are copies; rows without an id are left out; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.common import (
-    U64, byte_column, corpus, mixed, prefix_sums, slices, span_hashes, stored, word_spans,
+    U64, byte_column, corpus, mixed, numbers, prefix_sums, slices, span_hashes, stored, word_spans,
 )
 from souk.llm.components import components
 
@@ -33,6 +40,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
+BLOCK = 128
+HUB_ROUNDS = 2
 SIGNATURES = "doc_id long, digest binary, bands array<long>"
 
 
@@ -137,85 +146,153 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if memo[0] != hub:
                 memo = (hub, shingles(np.frombuffer(hub, np.uint8), np.array([0, len(hub)]))[1:])
             text = right[right_ends[i] : right_ends[i + 1]]
-            found.append(probability_jaccard(memo[1], shingles(text, np.array([0, len(text)]))[1:]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["hub", "rep", "similarity"])
+            found.append(1.0 - probability_jaccard(memo[1], shingles(text, np.array([0, len(text)]))[1:]))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(k) for k in range(4)), pa.array(found, pa.float64())], ["cluster", "hub", "rep", "class", "d"]
+        )
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact similarity of each (hub, rep)."""
+def distances(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cluster, hub, rep, class) with the exact distance of hub and rep."""
     named = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"{side}_text"))
-    with_texts = pairs.join(named("rep"), "rep").join(named("hub"), "hub").select("hub", "rep", "hub_text", "rep_text")
-    return with_texts.mapInArrow(_verify, "hub long, rep long, similarity double")
+    with_texts = pairs.join(named("rep"), "rep").join(named("hub"), "hub")
+    with_texts = with_texts.select("cluster", "hub", "rep", "class", "hub_text", "rep_text")
+    return with_texts.mapInArrow(_verify, "cluster long, hub long, rep long, class long, d double")
 
 
-def near_links(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
-    """Links that span the classes: ``members`` are (key, rep) of buckets with two or more.
+def hub_rounds(members: DataFrame, texts: DataFrame, similarity: float, rounds: int = HUB_ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Links of large clusters to their hubs, and the (cluster, rep, class) that stay open.
 
-    In each round a bucket compares all its members with one hub of the class that has fewest members
-    there, and loses the hub. It is done when its members are all of one class. With d the distance
-    to the hub, two members are at least the difference of their d apart: a member stays
-    only while a member of another class can still be near it.
+    In a round all members of a cluster are compared with one hub, a member no hub was near to yet. The
+    class of a member is the first hub it links to. With d the distance to the hub, two members are at
+    least the difference of their d apart: a member stays only while a member of another class
+    can still be near it.
     """
     far = 1.0 - similarity
-    known: DataFrame | None = None
-    state = members.withColumn("class", F.col("rep"))
-    while True:
-        sizes = state.groupBy("key", "class").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
-        hubs = stored(
-            sizes.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("least"), F.count("*").alias("classes"))
-            .where("classes > 1").select("key", F.col("least.rep").alias("hub")),
-            "hubs",
-        )
-        if hubs.isEmpty():
-            return None if known is None else known.where(F.col("similarity") >= similarity)
-        at_hub = stored(state.join(hubs, "key").where("rep <> hub").select("key", "rep", "hub"), "at-hub")
-        pairs = at_hub.select("hub", "rep").distinct()
-        if known is not None:
-            pairs = pairs.join(known.select("hub", "rep"), ["hub", "rep"], "left_anti")
-        measured = stored(verified(stored(pairs, "pairs"), texts), "verified")
-        known = measured if known is None else known.union(measured)
-        distant = at_hub.join(known, ["hub", "rep"]).select("key", "rep", (1 - F.col("similarity")).alias("d"))
-        distant = distant.join(_open_keys(at_hub), "key")
-        found = components(known.where(F.col("similarity") >= similarity), "hub", "rep")
-        named = found.select(F.col("vertex").alias("rep"), "component")
-        judged = stored(
-            distant.join(named, "rep", "left").select("key", "rep", "d", F.coalesce("component", "rep").alias("class")),
-            "judged",
-        )
-        nearest = judged.groupBy("key", "class").agg(F.min("d").alias("d"))
-        first = nearest.groupBy("key").agg(F.min(F.struct("d", "class")).alias("first"))
-        other = nearest.join(first, "key").where(F.col("class") != F.col("first.class"))
-        other = stored(other.groupBy("key").agg(F.first("first").alias("first"), F.min("d").alias("second")), "nearest")
+    links: DataFrame | None = None
+    state = members.select("cluster", "rep", F.col("rep").alias("class"))
+    for _ in range(rounds):
+        alone = F.when(F.col("class") == F.col("rep"), F.col("rep"))
+        hubs = state.groupBy("cluster").agg(F.min(alone).alias("hub"), F.count("*").alias("n"))
+        hubs = stored(hubs.where("n > 1 and hub is not null").select("cluster", "hub"), "hubs")
+        pairs = state.join(hubs, "cluster").where("rep <> hub").select("cluster", "hub", "rep", "class")
+        measured = stored(distances(pairs, texts), "distances")
+        linked = F.col("d") <= far + 1e-12
+        fresh = measured.where(linked).select("hub", "rep")
+        links = fresh if links is None else links.union(fresh)
+        named = F.when(linked & (F.col("class") == F.col("rep")), F.col("hub")).otherwise(F.col("class"))
+        judged = measured.select("cluster", "rep", "d", named.alias("class"))
+        nearest = judged.groupBy("cluster", "class").agg(F.min("d").alias("d"))
+        first = nearest.groupBy("cluster").agg(F.min(F.struct("d", "class")).alias("first"))
+        other = nearest.join(first, "cluster").where(F.col("class") != F.col("first.class"))
+        other = stored(other.groupBy("cluster").agg(F.first("first").alias("first"), F.min("d").alias("second")), "nearest")
         reach = F.when(F.col("class") == F.col("first.class"), F.col("second")).otherwise(F.col("first.d"))
-        state = stored(
-            judged.join(other, "key").where(F.col("d") >= reach - far - 1e-9).select("key", "rep", "class"), "state"
-        )
+        untouched = state.join(hubs, "cluster", "left_anti")  # no member without a class is left there
+        kept = judged.join(other, "cluster").where(F.col("d") >= reach - far - 1e-9).select("cluster", "rep", "class")
+        state = stored(kept.union(untouched.select("cluster", "rep", "class")), "state")
+    return links, state
+
+
+def upper_bounds(i: int, element: np.ndarray, weight: np.ndarray, starts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """At least the similarity of set ``i`` with each of the sets that lie one after the other.
+
+    For an element of both, the sum in the similarity is no less than what either set has in all
+    plus what only the other one has. Without repeated shingles this is the similarity itself.
+    """
+    ends = np.append(starts[1:], len(element))
+    mine = np.zeros(int(element.max()) + 1)
+    mine[element[starts[i] : ends[i]]] = weight[starts[i] : ends[i]]
+    x, sizes = mine[element], ends - starts
+    both = x > 0
+    x_only = total[i] - np.add.reduceat(x, starts)
+    y_only = total - np.add.reduceat(np.where(both, weight, 0.0), starts)
+    of = np.repeat(np.arange(len(starts)), sizes)[both]
+    x, y = x[both], weight[both]
+    term = np.zeros(len(element))
+    term[both] = 1.0 / np.maximum(total[i] / x + y_only[of] / y, total[of] / y + x_only[of] / x)
+    return np.add.reduceat(term, starts)
+
+
+LINKS = "hub long, rep long"
+
+
+def _compare_block(similarity: float):
+    """Links that span the classes among the members of two blocks of a cluster."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        batch = table.combine_chunks().to_batches()[0]
+        block, reps, classes = (numbers(batch, c) for c in ("block", "rep", "class"))
+        crossed = numbers(batch, "left")[0] != numbers(batch, "right")[0]
+        bands = np.array(batch.column(batch.schema.get_field_index("bands")).to_pylist(), np.int64)
+        data, ends = byte_column(batch)
+        doc, key, count = shingles(data[ends[0] : ends[-1]], ends - ends[0])
+        starts = np.searchsorted(doc, np.arange(len(reps)))  # members have bands, so none is empty
+        element = np.unique(key, return_inverse=True)[1]
+        weight = count.astype(float)
+        total = np.add.reduceat(weight, starts)
+        edges = np.append(starts, len(key))
+        of_class = {c: i for i, c in reversed(list(enumerate(classes.tolist())))}
+        root = np.array([of_class[c] for c in classes.tolist()])
+        found = []
+        for i in range(len(reps) - 1):
+            near = (bands[i + 1 :] == bands[i]).any(axis=1) & (root[i + 1 :] != root[i])
+            if crossed:
+                near &= block[i + 1 :] != block[i]
+            if not near.any():
+                continue
+            near &= upper_bounds(i, element, weight, starts, total)[i + 1 :] >= similarity - 1e-9
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                if root[i] != root[j]:
+                    sets = [(key[edges[k] : edges[k + 1]], count[edges[k] : edges[k + 1]]) for k in (i, j)]
+                    if probability_jaccard(*sets) >= similarity - 1e-12:
+                        root[root == root[j]] = root[i]
+                        found.append((int(reps[i]), int(reps[j])))
+        return pa.table({"hub": pa.array([x[0] for x in found], pa.int64()), "rep": pa.array([x[1] for x in found], pa.int64())})
+
+    return compare
+
+
+def block_links(members: DataFrame, texts: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Links that span the classes of (cluster, rep, class, bands), by pairs of blocks."""
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    sizes = stored(sizes, "cluster-sizes")
+    placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = placed.join(texts, placed["rep"] == texts["doc_id"]).withColumn("other", other)
+    paired = paired.select(
+        "cluster", "rep", "class", "bands", "text", "block", F.least("block", "other").alias("left"),
+        F.greatest("block", "other").alias("right"),
+    )
+    return paired.groupBy("cluster", "left", "right").applyInArrow(_compare_block(similarity), LINKS)
 
 
-def _open_keys(at_hub: DataFrame) -> DataFrame:
-    """Buckets that still have two members besides their hub."""
-    return at_hub.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+def near_links(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links that span the classes; ``members`` are (cluster, rep, bands)."""
+    large = stored(members.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("cluster"), "large")
+    own_class = F.col("rep").alias("class")
+    if large.isEmpty():
+        return block_links(members.select("cluster", "rep", own_class, "bands"), texts, similarity)
+    small = members.join(large, "cluster", "left_anti").select("cluster", "rep", own_class, "bands")
+    links, still = hub_rounds(members.join(large, "cluster", "left_semi"), texts, similarity)
+    left = still.join(members.select("rep", "bands"), "rep").select("cluster", "rep", "class", "bands")
+    return links.union(block_links(small.union(left), texts, similarity))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``kept``."""
-    signed = stored(corpus(docs).mapInArrow(_sign, SIGNATURES), "signatures")
+    signed = stored(corpus(docs).where("doc_id is not null").mapInArrow(_sign, SIGNATURES), "signatures")
     # copies of a text have equal bands
     reps = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("bands").alias("bands")), "representatives")
     buckets = reps.select("rep", F.explode("bands").alias("key"))
-    shared = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
-    members = stored(buckets.join(shared, "key").select("key", "rep"), "bucket-members")
-    involved = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(corpus(docs).join(involved, "doc_id"), "involved-texts")
-    links = near_links(members, texts, similarity)
-    classes = reps.select("digest", "rep")
-    if links is not None:
-        found = components(links, "hub", "rep").select(F.col("vertex").alias("rep"), "component")
-        classes = classes.join(found, "rep", "left")
-    else:
-        classes = classes.withColumn("component", F.lit(None).cast("long"))
-    linkable = F.coalesce("component", "rep")
-    classes = stored(classes.select("digest", linkable.alias("class_id")), "classes")
+    shared = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    stars = buckets.join(stored(shared.select("key", "hub"), "buckets"), "key").where("rep <> hub")
+    clusters = components(stars, "hub", "rep").select(F.col("vertex").alias("rep"), F.col("component").alias("cluster"))
+    members = stored(reps.select("rep", "bands").join(clusters, "rep").select("cluster", "rep", "bands"), "cluster-members")
+    texts = corpus(docs).join(members.select(F.col("rep").alias("doc_id")), "doc_id")
+    texts = stored(texts.dropDuplicates(["doc_id"]) , "involved-texts")
+    found = components(near_links(members, texts, similarity), "hub", "rep").select(F.col("vertex").alias("rep"), "component")
+    classes = reps.select("digest", "rep").join(found, "rep", "left")
+    classes = stored(classes.select("digest", F.coalesce("component", "rep").alias("class_id")), "classes")
     class_id = F.when(F.col("bands").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return signed.join(classes, "digest").select("doc_id", class_id.alias("class_id")).withColumn(
         "kept", F.col("doc_id") == F.col("class_id")
