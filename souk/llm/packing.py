@@ -15,54 +15,81 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souk.llm.bpe import byte_letters
 from souk.llm.common import corpus, shards, stored, strings
 
 SIZE = 4096
 STEP = 8
 END_ID = 2
 MEMO_ENTRIES = 500_000
+MARKS = ".,;:!?#*$%&|<>"  # not the apostrophe, which can begin a match of its own
 GAP = 1e-4
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, slot long"
 
-_tokenizers: dict[str, tuple] = {}
+class ChunkIds(dict):
+    """Ids of the text between spaces as little-endian 32-bit integers, encoded once for all copies.
 
+    This vocabulary drops white space, and its matches never contain any, so each chunk can be encoded
+    on its own. Most chunks are one word of Latin letters, perhaps with marks after it: such a word
+    is one match in lower case, and goes to the library's model directly. All other chunks take the
+    library's whole way.
+    """
 
-def _tokenizer(path: str):
-    """The library's tokenizer and a bounded memo of chunks, once per worker process."""
-    if path not in _tokenizers:
+    def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            spelled = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+            ids = [token.id for token in self.model.tokenize(spelled)]
+            known = self.words[word] = pack("<%dI" % len(ids), *ids)
+        return known
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk.rstrip(MARKS)
+        tail = chunk[len(word) :]  # marks in a row are one match
+        # below U+0250 letters are composed already and, but for one, have a single lower case
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+            found = self._word(word.lower()) + (self._word(tail) if tail else b"")
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            found = pack("<%dI" % len(ids), *ids)
+        self[chunk] = found
+        return found
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        if len(self.words) > MEMO_ENTRIES:
+            self.words.clear()
+        return [b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) for text in texts]
 
-def encode_chunks(path: str, texts: list[str]) -> list[bytes]:
-    """Ids of texts as little-endian 32-bit integers.
 
-    This vocabulary drops white space and its matches never contain any, so the text between two
-    spaces can be encoded on its own, once for all its copies.
-    """
-    tokenizer, memo = _tokenizer(path)
-    split = [text.split(" ") for text in texts]
-    missing = {c for chunks in split for c in chunks} - memo.keys()
-    if len(memo) + len(missing) > MEMO_ENTRIES:
-        memo.clear()
-        missing = {c for chunks in split for c in chunks}
-    todo = list(missing)
-    for at in range(0, len(todo), 4096):
-        part = todo[at : at + 4096]
-        for chunk, coded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            memo[chunk] = np.array(coded.ids, "<u4").tobytes()
-    return [b"".join(map(memo.__getitem__, chunks)) for chunks in split]
+_encoders: dict[str, ChunkIds] = {}
+
+
+def encode_chunks(path: str, texts: list[str]) -> list[bytes]:
+    """Ids of texts, by one encoder per file and worker process."""
+    if path not in _encoders:
+        _encoders[path] = ChunkIds(path)
+    return _encoders[path].encode(texts)
 
 
 def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
