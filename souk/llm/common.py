@@ -14,7 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from souk.session import run_dir
@@ -30,10 +30,13 @@ _shipped: dict[str, str] = {}
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lost executors cost no recomputation."""
+def stored(df: DataFrame, name: str, seen: Observation | None = None, *measures: Column) -> DataFrame:
+    """``df`` written to the shared folder and read again: lost executors cost no recomputation.
+
+    ``measures`` are taken of the rows on their way, into ``seen``.
+    """
     path = run_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    (df.observe(seen, *measures) if seen else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -148,3 +151,25 @@ def even_keys(spark: SparkSession, n: int) -> list[int]:
     found = spark.range(30 * n + 100).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("key"))
     keys = sorted(r["key"] for r in found.collect())
     return keys if len(keys) == n else list(range(n))
+
+
+BINS = 4096
+
+
+def kth_largest(df: DataFrame, column: str, k: int) -> tuple[float, int]:
+    """The k-th largest value, and how many rows are above it, by refining histograms."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    above = 0
+    while low is not None and low < high:
+        width = (high - low) / BINS
+        inside = df.where(F.col(column).between(low, high))
+        slot = F.least(F.floor((F.col(column) - low) / width), F.lit(BINS - 1)) if width else F.lit(0)
+        bins = inside.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+        for row in sorted(bins.collect(), key=lambda r: -r["slot"]):  # BINS rows at most
+            if above + row["n"] >= k:
+                low, high = row["lo"], row["hi"]
+                break
+            above += row["n"]
+        else:
+            break
+    return low, above

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import U64, corpus, mixed, numbers, prefix_sums, slices, span_hashes, stored, word_spans
+from souk.llm.common import (
+    U64, corpus, kth_largest, mixed, numbers, prefix_sums, slices, span_hashes, stored, word_spans,
+)
 
 BUCKETS = 1 << 16
 LENGTH = 200.0
@@ -31,7 +33,6 @@ MAX_TARGETS = 20_000
 SMOOTHING = 1.0
 LOWEST = -1e6
 SEED = 17
-BINS = 4096
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_ratios(docs: DataFrame, labels: DataFrame, max_targets: int = MAX_TARGETS) -> np.ndarray:
     """log(target / raw) of every bucket."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    chosen = good.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(max_targets).withColumn("good", F.lit(True))
+    good = stored(good.withColumn("draw", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52))), "good")
+    least, _ = kth_largest(good, "draw", max_targets)
+    chosen = good.where(F.col("draw") >= (least or 0)).select("doc_id", F.lit(True).alias("good"))
     flagged = corpus(docs).join(F.broadcast(chosen), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     sums = flagged.mapInArrow(_counts, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
     table = np.array([tuple(r) for r in sums.collect()], np.int64).reshape(-1, 3)  # BUCKETS rows at most
@@ -87,25 +90,6 @@ def importances(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     return weights.withColumn("sample_key", F.col("log_weight") - F.log(-F.log(uniform)))
 
 
-def kth_largest(df: DataFrame, column: str, k: int) -> tuple[float, int]:
-    """The k-th largest value, and how many rows are above it, by refining histograms."""
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    above = 0
-    while low < high:
-        width = (high - low) / BINS
-        inside = df.where(F.col(column).between(low, high))
-        slot = F.least(F.floor((F.col(column) - low) / width), F.lit(BINS - 1)) if width else F.lit(0)
-        bins = inside.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
-        for row in sorted(bins.collect(), key=lambda r: -r["slot"]):  # BINS rows at most
-            if above + row["n"] >= k:
-                low, high = row["lo"], row["hi"]
-                break
-            above += row["n"]
-        else:
-            break
-    return low, above
-
-
 def sample_by_importance(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """Every document with its importance, perturbed key and whether it is in the sample of ``k``."""
     scored = stored(importances(docs, log_ratios(docs, labels)), "importances")

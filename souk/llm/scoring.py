@@ -4,10 +4,10 @@ Tokens are the words of a text and an end mark. The base model is the smoothed u
 training tokens. The scoring model discounts the counts of word pairs of frequent words and backs
 off to the base: P(v | u) = (c(u, v) - D) / c(u) + backoff(u) * base(v), which sums to one.
 
-The frequent words (``VOCABULARY``, a fixed number) are broadcast. All else grows with the corpus and is
+The frequent words (``VOCABULARY`` at most) are broadcast. All else grows with the corpus and is
 dealt over shards by a hash: pair counts, the tries built from them, counts of the rarer words, and
-the texts' questions to them, packed as sorted differences. The ``HOT_PAIRS`` most frequent
-pairs are answered where they are met, so no shard gets more than a small share of the tokens.
+the texts' questions to them, packed as sorted differences. Pairs that make up a ``HOT_PAIRS``-th of all
+pairs or more are answered where they are met, so no shard gets more than a small share of the tokens.
 
 Defined results: null and empty texts are one token, the end mark; equal rows are scored one by one;
 without training text every token has the unseen probability; rows without an id are left out; an
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from souk.llm import elias_fano
 from souk.llm.common import (
-    U64, corpus, even_keys, fold, lowered, mixed, numbers, prefix_sums, shards, slices, span_hashes, stored, word_spans,
+    U64, corpus, even_keys, fold, kth_largest, lowered, mixed, numbers, prefix_sums, shards, slices, span_hashes, stored, word_spans,
 )
 
 FOLDS, HELD_OUT = 5, 1
@@ -134,7 +134,12 @@ def learn_words(training: DataFrame) -> tuple[Words, DataFrame]:
     counts = training.mapInArrow(_count_words, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     counts = stored(counts, "word-counts")
     total = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("hash") == int(END.view(np.int64)), F.col("n")))).first()
-    top = counts.orderBy(F.desc("n"), "hash").limit(VOCABULARY).toPandas()  # a fixed number of rows
+    if total[1] > VOCABULARY:
+        border, _ = kth_largest(counts, "n", VOCABULARY)
+        counts_of_frequent = counts.where(F.col("n") > border)
+    else:
+        counts_of_frequent = counts
+    top = counts_of_frequent.toPandas()  # VOCABULARY rows at most
     hashes, n = top["hash"].to_numpy(np.int64).view(U64), top["n"].to_numpy(np.int64)
     order = np.argsort(hashes)
     return Words(hashes[order], n[order], total[0] or 0, total[1], total[2] or 0), counts
@@ -208,7 +213,7 @@ def fit_backoff(words: Words, pairs: DataFrame) -> None:
         for batch in batches:
             for keys, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 pair, n = unpacked(keys), unplanes(counts, np.int64)
-                top = np.argsort(-n, kind="stable")[:HOT_PAIRS]
+                top = n * HOT_PAIRS >= total  # so there are HOT_PAIRS at most
                 yield pa.RecordBatch.from_arrays([pa.array(pair[top].view(np.int64)), pa.array(n[top])], ["pair", "n"])
 
     kept = pairs.mapInArrow(masses, "context long, n long, kinds long").groupBy("context").agg(F.sum("n"), F.sum("kinds"))
@@ -216,7 +221,8 @@ def fit_backoff(words: Words, pairs: DataFrame) -> None:
     left = np.ones(len(words.backoff))
     left[table[:, 0]] = 1 - (table[:, 1] - DISCOUNT * table[:, 2]) / words.context_counts[table[:, 0]]
     words.backoff = np.log10(np.maximum(left, 1e-12))
-    hot = pairs.mapInArrow(often, "pair long, n long").orderBy(F.desc("n"), "pair").limit(HOT_PAIRS).toPandas()
+    total = int(table[:, 1].sum())
+    hot = pairs.mapInArrow(often, "pair long, n long").toPandas()
     keys = hot["pair"].to_numpy(np.int64).view(U64)
     order = np.argsort(keys)
     words.hot_keys = keys[order]
