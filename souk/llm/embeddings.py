@@ -227,7 +227,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     axes = principal_axes(reps)
     blocks = stored(grid_blocks(reps, axes, eps), "blocks")
     pairs = stored(near_blocks(blocks.select("block", "label", "dims", "low", "high"), eps), "block-pairs")
-    pairs = pairs.repartition(4 * shards(vectors.sparkSession), "left_block", "right_block")
+    pairs = pairs.repartition(shards(vectors.sparkSession), "left_block", "right_block")
     found = stored(join_blocks(pairs, blocks, axes, cosine), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(found.where("rep <> peer"), "rep", "peer").select(F.col("vertex").alias("rep"), "component")
