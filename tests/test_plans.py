@@ -115,6 +115,7 @@ def test_spread_deals_a_day_over_tasks(spark, tmp_path, monkeypatch):
     from pyspark.sql.readwriter import DataFrameWriter
 
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: seen.append(plan(self._df)))
-    rows = spark.range(10).select(F.current_timestamp().alias("slot_start"), F.lit("t").alias("topic"), F.col("id").alias("messages"))
+    start, topic = F.timestamp_seconds("id").alias("slot_start"), F.col("id").cast("string").alias("topic")
+    rows = spark.range(10).select(start, topic, F.col("id").alias("messages"))
     writers._write(conform(rows, TOPIC_THROUGHPUT), TOPIC_THROUGHPUT, f"file://{tmp_path}", "append", spread=16)
-    assert re.search(r"hashpartitioning\(slot_date.*pmod\(xxhash64\(slot_start.*topic", seen[0])
+    assert re.search(r"hashpartitioning\(slot_date.*REPARTITION_BY_COL", seen[0])
