@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import U64, corpus, fold, lowered, mixed, slices
+from souk.llm.common import U64, corpus, fold, lowered, mixed, slices, stored
 
 FOLDS, HELD_OUT = 3, 1
 MIN_RATE, MIN_SHARE = 1e-5, 0.1
@@ -129,7 +129,7 @@ class LanguageFilter:
 def learn_languages(training: DataFrame) -> LanguageFilter:
     """The filter from (doc_id, text, lang): counts of all texts, combined before the shuffle."""
     counts = training.where("lang is not null and text is not null").mapInArrow(_count, "lang string, gram long, n long")
-    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")  # read twice
     sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"at most {MAX_LANGUAGES} languages")
