@@ -95,6 +95,26 @@ def base_scores(rows):
     return out
 
 
+def pair_scores(rows, discount=0.75):
+    """Scores by the pair model of all words and pairs."""
+    training = [tokens(r[1]) for r in rows if zlib.crc32(str(r[0]).encode()) % 5 != 1]
+    counts = Counter(t for found in training for t in found)
+    pairs = Counter(p for found in training for p in zip([0, *found], found))
+    contexts, kinds = Counter(), Counter()
+    for (u, _), c in pairs.items():
+        contexts[u] += c
+        kinds[u] += 1
+    n, v = sum(counts.values()), len(counts)
+
+    def probability(u, t):
+        base = (counts[t] + 0.5) / (n + 0.5 * (v + 1))
+        if not contexts[u]:
+            return base
+        return (max(pairs[u, t] - discount, 0) + discount * kinds[u] * base) / contexts[u]
+
+    return {r[0]: sum(math.log10(probability(*p)) for p in zip([0, *tokens(r[1])], tokens(r[1]))) for r in rows}
+
+
 def repeat_words(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from brute import base_scores, frame, near_classes, probability_jaccard, removed, repeat_words, rows_of, shingles
+from brute import base_scores, frame, near_classes, pair_scores, probability_jaccard, removed, repeat_words, rows_of, shingles
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -157,6 +157,21 @@ def test_scores(docs, rows, empty):
     assert scoring.score_documents(empty).collect() == []
 
 
+@pytest.mark.parametrize("frequent", [1, 9, 40, scoring.VOCABULARY])
+def test_all_pairs_count_whatever_is_frequent(spark, monkeypatch, frequent):
+    rng = np.random.default_rng(frequent)
+    texts = [" ".join(f"w{int(60 * x**3)}" for x in rng.random(rng.integers(0, 30))) for _ in range(60)]
+    rows = rows_of([*texts, None, "", "never seen", "w1 never w2"])
+    monkeypatch.setattr(scoring, "VOCABULARY", frequent)
+    found = by_id(scoring.score_documents(frame(spark, rows)))
+    for doc, (held, n, known, total, base) in base_scores(rows).items():
+        assert found[doc][:4] == (held, n, known, total)
+        assert found[doc][4] == pytest.approx(base, rel=1e-9)
+    # 256 values per trie
+    for doc, score in pair_scores(rows).items():
+        assert found[doc][5] == pytest.approx(score, rel=2e-3)
+
+
 def test_pair_model_sums_to_one():
     rng = np.random.default_rng(1)
     n = np.sort(rng.integers(3, 50, 40))[::-1].astype(np.int64)
