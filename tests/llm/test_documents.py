@@ -172,6 +172,17 @@ def test_all_pairs_count_whatever_is_frequent(spark, monkeypatch, frequent):
         assert found[doc][5] == pytest.approx(score, rel=2e-3)
 
 
+@pytest.mark.parametrize("frequent", [39, 40])
+def test_scores_of_a_flat_vocabulary_at_the_limit(spark, monkeypatch, frequent):
+    # 39 words and the end mark; with one word too many, all words tie at the border
+    rng = np.random.default_rng(3)
+    rows = rows_of([" ".join(f"w{i}" for i in rng.permutation(39)) for _ in range(30)])
+    monkeypatch.setattr(scoring, "VOCABULARY", frequent)
+    found = by_id(scoring.score_documents(frame(spark, rows)))
+    for doc, score in pair_scores(rows).items():
+        assert found[doc][5] == pytest.approx(score, rel=1e-2)
+
+
 def test_pair_model_sums_to_one():
     rng = np.random.default_rng(1)
     n = np.sort(rng.integers(3, 50, 40))[::-1].astype(np.int64)
