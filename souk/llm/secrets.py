@@ -3,7 +3,9 @@
 Three patterns (assignments, access keys, long hex) are reported as they are. Runs of base64,
 base64url and hex are further decoded and reported only if what they decode to has the inner
 structure of a secret: nested DER lengths of a key, length-prefixed fields of an SSH key, or a
-signed token whose header is a JSON object that names its algorithm.
+signed token whose header is a JSON object that names its algorithm. A key in base64 is sought
+wherever no letter or digit stands before its first characters, and ends where its own lengths say,
+whatever follows.
 
 Defined results: a null text counts as empty and has no spans; spans are code points, end exclusive;
 equal rows are scanned alike; an empty table gives an empty result.
@@ -35,12 +37,19 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "der", "ssh", "jwt")
 
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_-])")
-# base64 bodies may be broken into lines, as in key files
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{32,}(?:\r?\n[A-Za-z0-9+/]{16,})*(?:\r?\n[A-Za-z0-9+/]+)?={0,2}")
+# How a DER sequence, a length-prefixed field and an OpenSSH key file begin in base64.
+KEY_START = re.compile(r"(?<![A-Za-z0-9])(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)")
+# bodies may be broken into lines, as in key files
+BODIES = tuple(
+    (re.compile(rf"[A-Za-z0-9{more}]{{32,}}(?:\r?\n[A-Za-z0-9{more}]{{16,}})*(?:\r?\n[A-Za-z0-9{more}]+)?"), more == "_-")
+    for more in ("+/", "_-")
+)
+MIN_KEY = 24
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 # How an encoded JSON object can begin (a quote, a space or a line end after the brace).
 JSON_STARTS = ("eyJ", "eyA", "ewo", "ewk", "ew0")
 SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
+SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-": 3}
 SSH_MAGIC = b"openssh-key-v1\0"
 
 
@@ -102,6 +111,90 @@ def is_ssh_key(data: bytes) -> bool:
     return len(fields) >= 2 and fields[0].startswith(SSH_KINDS)
 
 
+def _body_end(body: str, n: int) -> int | None:
+    """Where the first ``n`` bytes of a body end, None if it has fewer."""
+    chars, at = -(-4 * n // 3), 0
+    for line in body.splitlines(keepends=True):
+        size = len(line.rstrip("\r\n"))
+        if chars <= size:
+            return at + chars
+        chars, at = chars - size, at + len(line)
+    return None
+
+
+def _decoded_body(body: str, urlsafe: bool) -> bytes:
+    """What a body decodes to; a last single character is no byte."""
+    chars = re.sub(r"\s", "", body)
+    return _decoded64(chars[: len(chars) - (len(chars) % 4 == 1)], urlsafe) or b""
+
+
+def _der_size(head: bytes) -> int:
+    """Size of the SEQUENCE that begins here by its own length, 0 if there is none."""
+    if head[:1] != b"\x30" or len(head) < 6:
+        return 0
+    if head[1] < 0x80:
+        return 2 + head[1]
+    n = head[1] & 0x7F
+    return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if 1 <= n <= 4 else 0
+
+
+def _ssh_end(body: str, data: bytes) -> int | None:
+    """Where an SSH key at the start of a body ends."""
+    if data.startswith(SSH_MAGIC):
+        # cipher, derivation, its options, number of keys, public keys, private part
+        at = len(SSH_MAGIC)
+        left, counted = 3, False
+        while left:
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            if at > len(data):
+                return len(body)  # cut off or of another version
+            left -= 1
+            if not left and not counted:
+                left, counted = 1 + int.from_bytes(data[at : at + 4], "big"), True
+                at += 4
+        return _body_end(body, at)
+    fields, at, ends = 0, 0, []
+    kind = next((k for k in SSH_KINDS if data[4:].startswith(k)), None)
+    while kind and at < len(data):
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + size > len(data) or size > 1 << 16 or (fields >= 2 and data[at + 4 : at + 4 + size].startswith(SSH_KINDS)):
+            break
+        at, fields = at + 4 + size, fields + 1
+        if fields >= 2:
+            ends.append(at)
+    if ends and ends[-1] == len(data):
+        return len(body)
+    # then what follows is not part of the key: it ends with a line, or after its kind's fields
+    for end in map(lambda n: _body_end(body, n), reversed(ends)):
+        if end is not None and body[end : end + 1] in ("", "\r", "\n"):
+            return end
+    return _body_end(body, ends[SSH_FIELDS[kind] - 2]) if kind and len(ends) > SSH_FIELDS[kind] - 2 else None
+
+
+def _key_at(text: str, start: int) -> tuple[int, int] | None:
+    """(kind number, end) of the key in base64 that begins here."""
+    for pattern, urlsafe in BODIES:
+        first = pattern.match(text, start, start + 40)
+        head = _decoded_body(first[0], urlsafe) if first else b""
+        kind, end = 3, None
+        if size := _der_size(head):
+            # a body of that many bytes, with its line ends, and no more
+            body = pattern.match(text, start, start + size * 3 // 2 + 40) if MIN_KEY <= size <= len(text) else None
+            end = _body_end(body[0], size) if body else None
+            if end is not None and not is_der_key(_decoded_body(body[0][:end], urlsafe)[:size]):
+                end = None
+        elif head.startswith(SSH_MAGIC) or head[4:].startswith(SSH_KINDS):
+            kind, body = 4, pattern.match(text, start)
+            end = _ssh_end(body[0], _decoded_body(body[0], urlsafe))
+        if end is not None:
+            end += start
+            padded = end
+            while padded < end + 2 and text[padded : padded + 1] == "=":
+                padded += 1
+            return kind, padded
+    return None
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     """The header is a JSON object naming an algorithm, the payload a JSON object."""
     parts = [_decoded64(part, urlsafe=True) for part in (header, payload)]
@@ -127,12 +220,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of candidates confirmed by their structure."""
     spans = []
-    for m in BASE64_RUN.finditer(text):
-        data = _decoded64(m[0])
-        if data and is_der_key(data):
-            spans.append((m.start(), 3, m.end()))
-        elif data and is_ssh_key(data):
-            spans.append((m.start(), 4, m.end()))
+    at = 0
+    while m := KEY_START.search(text, at):
+        at = m.start() + 1
+        if found := _key_at(text, m.start()):
+            kind, at = found
+            spans.append((m.start(), kind, at))
     for m in HEX_RUN.finditer(text):
         data = bytes.fromhex(m[0])
         if is_der_key(data):
