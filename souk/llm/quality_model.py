@@ -32,7 +32,7 @@ LENGTH = 200.0
 MAX_TARGETS = 20_000
 SMOOTHING = 1.0
 LOWEST = -1e6
-SEED = 17
+SEED, NOISE_SEED = 17, 18  # the draw of the target documents and the noise must not depend on each other
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +86,7 @@ def importances(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight)], ["doc_id", "log_weight"])
 
     weights = corpus(docs).mapInArrow(score, "doc_id long, log_weight double")
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(NOISE_SEED)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     return weights.withColumn("sample_key", F.col("log_weight") - F.log(-F.log(uniform)))
 
 

@@ -10,6 +10,7 @@ import pytest
 from brute import base_scores, frame, near_classes, pair_scores, probability_jaccard, removed, repeat_words, rows_of, shingles
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from souk.llm import bpe, elias_fano, langid, minhash, packing, quality_model, quality_rules, scoring, suffix
@@ -149,6 +150,14 @@ def test_quality_sample(spark, empty):
     assert all(v[2] for v in by_id(quality_model.sample_by_importance(docs, labels.limit(0))).values())
 
 
+def test_noise_does_not_follow_the_draw_of_targets(spark):
+    docs = spark.createDataFrame([(i, "a text") for i in range(400)], "doc_id long, text string")
+    keys = quality_model.importances(docs, np.zeros(quality_model.BUCKETS))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(quality_model.SEED)), F.lit(1 << 52)).alias("draw")
+    table = keys.select("sample_key", draw).toPandas()
+    assert abs(table["sample_key"].corr(table["draw"].astype(float))) < 0.3
+
+
 def test_scores(docs, rows, empty):
     found = by_id(scoring.score_documents(docs))
     for doc, (held, n, known, total, base) in base_scores(rows).items():
