@@ -1,6 +1,6 @@
 """Language identification with bit-sliced Bloom filters of byte n-grams.
 
-A cell of the filter has one bit per language; the cells of an n-gram, combined by AND, are a mask of
+A cell of the filter has one bit per language, in words of 64 bits at most; the cells of an n-gram, combined by AND, are a mask of
 all languages that may contain it. For each text the bits are counted per language, the counts are
 corrected for the filters' false positives, and the language with the largest share wins.
 
@@ -29,7 +29,7 @@ FOLDS, HELD_OUT = 3, 1
 MIN_RATE, MIN_SHARE = 1e-5, 0.1
 HASHES = 3
 CELLS_PER_ENTRY = 12
-MAX_LANGUAGES = 64
+WORD = 64  # languages in one word of a cell
 UNDETERMINED = "und"
 
 LETTER = np.zeros(256, bool)
@@ -85,20 +85,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class LanguageFilter:
-    """The filter: one mask per cell, bit ``l`` for language ``l``."""
+    """The filter: one mask per cell, bit ``l % WORD`` of its word ``l // WORD`` for language ``l``."""
 
     def __init__(self, languages: list[str], entries: list[tuple[str, int]]):
         self.languages = sorted(languages)
         number = {lang: i for i, lang in enumerate(self.languages)}
         per_language = np.bincount([number[lang] for lang, _ in entries], minlength=1).max() if entries else 1
         self.bits = int(CELLS_PER_ENTRY * max(per_language, 64) - 1).bit_length()
-        kind = next(t for size, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, U64)) if len(languages) <= size)
-        self.cells = np.zeros(1 << self.bits, kind)
+        kind = next(t for size, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, U64)) if min(len(languages), WORD) <= size)
+        self.cells = np.zeros((-(-max(len(languages), 1) // WORD), 1 << self.bits), kind)
         keys = np.array([gram for _, gram in entries], U64)
-        masks = kind(1) << np.array([number[lang] for lang, _ in entries], kind)
+        numbers = np.array([number[lang] for lang, _ in entries], np.int64)
+        masks = kind(1) << (numbers % WORD).astype(kind)
         for places in self._places(keys):
-            np.bitwise_or.at(self.cells, places, masks)
-        filled = [float((self.cells >> kind(i) & kind(1)).mean()) for i in range(len(self.languages))]
+            np.bitwise_or.at(self.cells, (numbers // WORD, places), masks)
+        filled = [float((self.cells[i // WORD] >> kind(i % WORD) & kind(1)).mean()) for i in range(len(self.languages))]
         self.false_rate = np.array(filled) ** HASHES
 
     def _places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
@@ -109,10 +110,11 @@ class LanguageFilter:
             ).astype(np.int64)
 
     def masks(self, keys: np.ndarray) -> np.ndarray:
-        """Languages that may contain each n-gram."""
+        """Languages that may contain each n-gram, a row per word of the cells."""
         found = None
         for places in self._places(keys):
-            found = self.cells[places] if found is None else found & self.cells[places]
+            cells = self.cells[:, places]
+            found = cells if found is None else found & cells
         return found
 
     def shares(self, keys: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -121,7 +123,7 @@ class LanguageFilter:
         found = self.masks(keys)
         out = np.zeros((n, len(self.languages)))
         for i, false_rate in enumerate(self.false_rate):
-            hits = np.bincount(owner, (found >> found.dtype.type(i)) & found.dtype.type(1), n)
+            hits = np.bincount(owner, (found[i // WORD] >> found.dtype.type(i % WORD)) & found.dtype.type(1), n)
             out[:, i] = np.maximum(hits - total * false_rate, 0) / np.maximum(total * (1 - false_rate), 1e-9)
         return out
 
@@ -130,9 +132,7 @@ def learn_languages(training: DataFrame) -> LanguageFilter:
     """The filter from (doc_id, text, lang): counts of all texts, combined before the shuffle."""
     counts = training.where("lang is not null and text is not null").mapInArrow(_count, "lang string, gram long, n long")
     counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")  # read twice
-    sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sums) > MAX_LANGUAGES:
-        raise ValueError(f"at most {MAX_LANGUAGES} languages")
+    sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not sums:
         return LanguageFilter([], [])
     size = F.create_map(*[F.lit(x) for pair in sums.items() for x in pair])

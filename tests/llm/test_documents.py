@@ -135,6 +135,14 @@ def test_language_id(spark, docs, empty):
     assert langid.identify_languages(docs).count() == docs.count()
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    rng = random.Random(5)
+    letters = ["".join(chr(0x4E00 + 8 * lang + i) for i in range(5)) + " " for lang in range(70)]
+    rows = [(i, "".join(rng.choices(letters[i % 70], k=200)), f"l{i % 70:02}") for i in range(420)]
+    found = by_id(langid.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert all(found[i][1] == lang for i, _, lang in rows)
+
+
 def test_quality_sample(spark, empty):
     good, bad = "plain words of a good text here " * 20, "$$$ BUY!! now!! $$$ "
     rows = [(i, good if i % 4 else bad * 20) for i in range(200)] + [(200, None), (201, "")]
