@@ -67,4 +67,35 @@ select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component_id, vec_id)
 from embeddings left join least using (vec_id) left join counts using (vec_id)
 """
 
-ORACLE = {"op4_embedding_dedup": OP4, "op9_quality_rules": OP9}
+OP11 = r"""
+with terms as (
+    select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+),
+tf as (select doc_id, term, count(*) as tf from terms group by all),
+sizes as (select doc_id, sum(tf)::bigint as n from tf group by all),
+totals as (select count(*)::bigint as docs, sum(n)::bigint as total from sizes),
+df as (select term, count(*)::bigint as df from tf group by all),
+asked as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+),
+weights as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w from df, totals
+),
+scores as (
+    select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::bigint as score
+    from asked join tf using (term) join weights using (term) join sizes using (doc_id), totals group by all
+),
+ranked as (
+    select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+    from scores where score > 0
+)
+select * from ranked where rank <= 50
+"""
+
+ORACLE = {"op4_embedding_dedup": OP4, "op9_quality_rules": OP9, "op11_lexical_search": OP11}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souk.llm import (
-    bpe, embeddings, langid, minhash, packing, quality_model, quality_rules, scoring, secrets, suffix,
+    alignment, bpe, embeddings, langid, lexical, licenses, minhash, packing, quality_model, quality_rules, scoring, secrets, suffix,
 )
 from souk.llm.common import ship
 
@@ -66,6 +66,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, sf_dir), given(spark, sf_dir, "benchmark"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_path, piece_path = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(documents(spark, sf_dir), byte_path, piece_path)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_language_id": op2_language_id,
@@ -77,4 +90,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_alignment": op12_alignment,
+    "op13_license_scan": op13_license_scan,
 }
