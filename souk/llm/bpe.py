@@ -26,7 +26,8 @@ from souk.llm.common import corpus, strings
 
 # Fixed value: how the byte-level vocabularies split a text before the merges.
 SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 1_200_000
+ODD = b"?"  # stands for a chunk that cannot be split on its own; no encoding has its length
 NEVER = 1 << 60
 
 
@@ -47,7 +48,8 @@ class TrieEncoder:
         as_bytes = lambda token: bytes(letters[c] for c in token)
         self.ids = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.longest = max(map(len, self.ids))
+        self.spelled = [pack("<I", i) for i in range(max(self.ids.values()) + 1)]
+        self._link(sorted(self.ids.items()))
         self.bytes_of = {i: token for token, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}  # token -> its two parts and the rank of their merge
@@ -61,6 +63,32 @@ class TrieEncoder:
         self.words: dict[str, bytes] = {}
         self.first_words: dict[str, bytes] = {}
 
+    def _link(self, tokens: list[tuple[bytes, int]]) -> None:
+        """The automaton of all tokens: a state is the longest start of a token that ends where we are."""
+        self.step: list[dict[int, int]] = [{}]
+        self.ending: list[tuple] = [()]  # (token, size) of all tokens that end here, longest first
+        self.shorter = [0]  # the state of the next shorter start of a token
+        for token, i in tokens:
+            at = 0
+            for byte in token:
+                if byte not in self.step[at]:
+                    self.step[at][byte] = len(self.step)
+                    self.step.append({})
+                    self.ending.append(())
+                    self.shorter.append(0)
+                at = self.step[at][byte]
+            self.ending[at] = ((i, len(token)),)
+        wave = [(0, byte, to) for byte, to in self.step[0].items()]
+        while wave:
+            for parent, byte, at in wave:
+                if parent:
+                    back = self.shorter[parent]
+                    while back and byte not in self.step[back]:
+                        back = self.shorter[back]
+                    self.shorter[at] = self.step[back].get(byte, 0)
+                self.ending[at] += self.ending[self.shorter[at]]
+            wave = [(at, byte, to) for _, _, at in wave for byte, to in self.step[at].items()]
+
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens on one edge of a token's merge tree, each with the rank that consumes it."""
         known = self.edges[side].get(token)
@@ -89,36 +117,42 @@ class TrieEncoder:
                 for a, gone_a in self._edge(left, 1)
                 for b, gone_b in self._edge(right, 0)
             )
-            if len(self.fits) > 4 * MEMO_ENTRIES:
+            if len(self.fits) > 2 * MEMO_ENTRIES:
                 self.fits.clear()
             self.fits[key] = fits
         return fits
 
-    def encode_sorted(self, words: list[bytes]) -> Iterator[list[int]]:
-        """Token ids of distinct words in byte order."""
-        ids, longest, compatible, fits = self.ids, self.longest, self.compatible, self.fits
+    def encode_sorted(self, words: list[bytes]) -> Iterator[bytes]:
+        """Token ids (little-endian, 32 bits) of distinct words in byte order."""
+        compatible, fits, step, ending, shorter = self.compatible, self.fits, self.step, self.ending, self.shorter
+        spelled = self.spelled
         before = b""
         last = [-1]  # last token of each prefix of the current path in the trie
         size = [0]
+        states = [0]  # state of the tokens' automaton behind each prefix
         for word in words:
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :], size[shared + 1 :]
+            del last[shared + 1 :], size[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(end - longest if end > longest else 0, end):
-                    token = ids.get(word[start:end])
-                    if token is not None:
-                        good = start == 0 or fits.get(last[start] << 32 | token)
-                        if good or good is None and compatible(last[start], token):
-                            last.append(token)
-                            size.append(end - start)
-                            break
+                byte = word[end - 1]
+                while (to := step[state].get(byte)) is None and state:
+                    state = shorter[state]
+                state = to or 0
+                states.append(state)
+                for token, length in ending[state]:
+                    good = length == end or fits.get(last[end - length] << 32 | token)
+                    if good or good is None and compatible(last[end - length], token):
+                        last.append(token)
+                        size.append(length)
+                        break
             out, at = [], len(word)
             while at:
-                out.append(last[at])
+                out.append(spelled[last[at]])
                 at -= size[at]
-            yield out[::-1]
+            yield b"".join(out[::-1])
             before = word
 
     def _learn(self, chunks: Iterable[str], memo: dict[str, bytes], space: str) -> None:
@@ -129,32 +163,34 @@ class TrieEncoder:
                 split[chunk] = (space + chunk,)
             elif chunk[:-1].isalpha() and chunk[-1:] in ".,":
                 split[chunk] = (space + chunk[:-1], chunk[-1])
+            elif space and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+                memo[chunk] = ODD  # white space in a row is split with its neighbours
             else:
                 split[chunk] = SPLIT.findall(space + chunk)
         words = sorted({w.encode(): w for parts in split.values() for w in parts}.items())
-        coded = {w: pack("<%dI" % len(x), *x) for (_, w), x in zip(words, self.encode_sorted([b for b, _ in words]))}
+        coded = dict(zip([w for _, w in words], self.encode_sorted([b for b, _ in words])))
         for chunk, parts in split.items():
             memo[chunk] = coded[parts[0]] if len(parts) == 1 else b"".join(map(coded.__getitem__, parts))
 
+    def _known(self, chunks: list[str], memo: dict[str, bytes], space: str) -> list[bytes]:
+        """The encodings of the chunks, learned where they are new."""
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
+        found = list(map(memo.get, chunks))
+        if None in found:
+            self._learn({c for c, known in zip(chunks, found) if known is None}, memo, space)
+            found = list(map(memo.__getitem__, chunks))
+        return found
+
     def _encode_plain(self, text: str) -> bytes:
         if not text:
             return b""
         chunks = text.split(" ")
-        if not all(chunks) or any(c[0].isspace() or c[-1].isspace() for c in chunks):
-            chunks, lead = SPLIT.findall(text), ""  # white space in a row: split as a whole
-            memo = self.first_words
-        else:
-            memo, lead = self.words, " "
-        for table in (self.words, self.first_words):
-            if len(table) > MEMO_ENTRIES:
-                table.clear()
-        rest = chunks[1:] if lead else chunks
-        if missing := {c for c in rest if c not in memo}:
-            self._learn(missing, memo, lead)
-        first = chunks[:1] if lead else []
-        if lead and chunks[0] not in self.first_words:
-            self._learn(first, self.first_words, "")
-        return b"".join([self.first_words[c] for c in first]) + b"".join(map(memo.__getitem__, rest))
+        found = self._known(chunks, self.words, " ")
+        if ODD in found:
+            return b"".join(self._known(SPLIT.findall(text), self.first_words, ""))
+        found[0] = self._known(chunks[:1], self.first_words, "")[0]
+        return b"".join(found)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
