@@ -850,7 +850,7 @@ def stream_events_bronze(spark, sf):
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), "event_time",
     )
     _finish(windows.to_files(rows, f"{root}/table", f"{root}/checkpoint", trigger=None))
-    return spark.read.schema(rows.schema).parquet(f"{root}/table")
+    return spark.read.schema(rows.schema).parquet(f"{root}/table").select(*rows.columns)
 
 
 @query
@@ -920,9 +920,9 @@ def stream_dedupe(spark, sf):
         (F.col("event_id") + F.col("copy") * b.REDELIVERY).alias("offset"),
     )
     twice = events.withColumn("offset", F.col("offset") + 2 * b.REDELIVERY).unionByName(events)
-    rows = windows.deduplicated(twice, delay="12 hours", position="offset")
+    rows = windows.first_copies(twice, ["event_id"], ["offset"], "event_time", "12 hours")
     _finish(windows.to_files(rows, f"{root}/table", f"{root}/checkpoint", trigger=None))
-    return spark.read.schema(rows.schema).parquet(f"{root}/table")
+    return spark.read.schema(rows.schema).parquet(f"{root}/table").select(*rows.columns)
 
 
 @query

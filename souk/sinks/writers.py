@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.functions.grouping import first_per_key, last_per_key
+from souk.sinks.key_filters import KeyFilters
+from souk.sinks.key_index import KeyIndex
 from souk.sources.schemas import EVENT_TOPIC, REJECTED, Table, TimePartition
 from souk.sources.tables import (
     conform,
@@ -24,6 +26,7 @@ from souk.sources.tables import (
     read_table,
     stored_partitions,
 )
+from souk.sources.versions import Versions
 
 # new rows are read two or three times per write; on disk they take no memory from the joins,
 # however many they are, and a lost executor's part is computed again
@@ -32,7 +35,14 @@ REUSE = StorageLevel.DISK_ONLY
 
 def append(df: DataFrame, table: Table, root: str) -> None:
     """Add rows, without a count or emptiness test first."""
-    _write(conform(df, table), table, root, mode="append")
+    rows = conform(df, table)
+    if not _with_lookups(df, table, root):
+        return _write(rows, table, root, mode="append")
+    rows = rows.persist(REUSE)
+    try:
+        _add_fresh(rows, table, root)
+    finally:
+        rows.unpersist()
 
 
 def insert_ignore(
@@ -47,24 +57,82 @@ def insert_ignore(
     """Add the rows whose key is not in the table yet; the first of several new rows wins.
 
     ``everywhere`` decides whether known keys are searched in all partitions or only in those the
-    new rows fall into; by default the latter if the key holds the partition value. A stream that
-    keeps the keys it has seen in its state passes False: the lookup then only makes a repeated
-    batch harmless. ``spread``: see :func:`_write`. ``unique``: ``df`` has one row per key already.
+    new rows fall into; by default the latter if the key holds the partition value. Of all partitions,
+    those are read whose filter may hold one of the keys (:class:`KeyFilters`). ``spread``: see
+    :func:`_write`. ``unique``: ``df`` has one row per key already.
     """
     spark = df.sparkSession
     create_if_absent(spark, table, root)
     firsts = df if unique else first_per_key(df, table.keys, order_by)
     rows = conform(firsts, table).persist(REUSE)
+    search_all = not table.key_fixes_partition if everywhere is None else everywhere
+    fresh = None
     try:
-        search_all = not table.key_fixes_partition if everywhere is None else everywhere
-        if table.partition is None or search_all:
+        if table.partition is None:
             current = read_table(spark, table, root)
+        elif search_all:
+            current = KeyFilters(spark, table, root).known(rows)
         else:
             current = read_partitions(spark, table, root, _touched(rows, table))
         fresh = fresh_rows(rows, current, table.keys)
-        _write(fresh, table, root, mode="append", spread=spread)
+        if table.partition is None or table.key_fixes_partition:
+            _write(fresh, table, root, mode="append", spread=spread)
+        else:
+            fresh = fresh.persist(REUSE)
+            _add_fresh(fresh, table, root, spread, filters=search_all)
     finally:
         rows.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
+
+
+def insert_indexed(
+    df: DataFrame, table: Table, root: str, order_by: Sequence[str] = (), may_repeat: bool = True
+) -> None:
+    """:func:`insert_ignore` with the ids looked up in the table's :class:`KeyIndex`, which is started if
+    there is none.
+
+    The rows are written first, then their ids: if the job ends in between, the ids are missing. A batch
+    that may be repeated (the first one after a start) is therefore compared with its own partitions too.
+    """
+    spark = df.sparkSession
+    create_if_absent(spark, table, root)
+    index = KeyIndex(spark, table, root)
+    rows = conform(first_per_key(df, table.keys, order_by), table).persist(REUSE)
+    new = fresh = None
+    try:
+        held = index.held(rows)
+        new = rows if held is None else fresh_rows(rows, held, table.keys).persist(REUSE)
+        fresh = new
+        if may_repeat:
+            fresh = fresh_rows(new, read_partitions(spark, table, root, _touched(new, table)), table.keys).persist(REUSE)
+        if KeyFilters(spark, table, root).runs:
+            KeyFilters(spark, table, root).add(fresh)
+        _write(fresh, table, root, mode="append")
+        index.add(new)
+    finally:
+        for kept in (rows, new, fresh):
+            if kept is not None:
+                kept.unpersist()
+
+
+def _with_lookups(df: DataFrame, table: Table, root: str) -> bool:
+    """Whether the table has filters or an index to be kept."""
+    if table.partition is None or table.key_fixes_partition or not table.keys:
+        return False
+    names = Versions(df.sparkSession, root).names()
+    return "_filters" in names or "_ids" in names
+
+
+def _add_fresh(fresh: DataFrame, table: Table, root: str, spread: int | None = None, filters: bool = False) -> None:
+    """Write rows whose keys are new; filters learn of them before, the index after."""
+    spark = fresh.sparkSession
+    known = KeyFilters(spark, table, root)
+    if filters or known.runs:
+        known.add(fresh)
+    _write(fresh, table, root, mode="append", spread=spread)
+    if Versions(spark, f"{root}/_ids/{table.name.replace('.', '/')}").numbers():
+        KeyIndex(spark, table, root).add(fresh)
 
 
 def fresh_rows(rows: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +20,10 @@ from souk.operators.validate import (
     valid_rows,
     with_reason,
 )
-from souk.sinks.writers import REUSE, insert_ignore, write_rejected
+from souk.sinks.writers import REUSE, insert_ignore, insert_indexed, write_rejected
 from souk.sources.events import parse_flat
 from souk.sources.schemas import FLAT_TABLES, Table
 from souk.streaming.triggers import start
-from souk.streaming.windows import SPREAD, first_copies
 
 POSITION = ("partition", "offset")
 
@@ -55,15 +58,20 @@ def checked_rows(messages: DataFrame, topic: str, validate: bool = True) -> Data
     return with_reason(records, [*rules, *storage_rules(table, records.columns)])
 
 
-def write_checked(
-    checked: DataFrame, topic: str, root: str, everywhere: bool | None = None, spread: int | None = None
-) -> None:
+def write_checked(checked: DataFrame, topic: str, root: str, insert: Callable = insert_ignore) -> None:
     """Insert the good records (first of a key wins) and keep the refused ones with a reason."""
     table = FLAT_TABLES[topic]
     checked = checked.persist(REUSE)
     try:
-        insert_ignore(typed(valid_rows(checked), table), table, root, POSITION, everywhere, spread)
-        write_rejected(rejected_rows(checked), root, topic=topic, record=F.col("value"), spread=spread)
+        good = typed(valid_rows(checked), table)
+        # the two tables are independent; side by side they fill the cluster better
+        with ThreadPoolExecutor(2) as pool:
+            writes = [
+                pool.submit(insert, good, table, root, POSITION),
+                pool.submit(write_rejected, rejected_rows(checked), root, topic=topic, record=F.col("value")),
+            ]
+        for write in writes:
+            write.result()
     finally:
         checked.unpersist()
 
@@ -87,17 +95,16 @@ def run(
 ) -> StreamingQuery:
     """Start the stream of one topic; ``trigger=None`` handles what is there and stops.
 
-    Ids seen before are kept in the stream's own state, so a batch costs what its own ids cost
-    however large the table is. The table is searched only in the months of the batch, which makes a
-    repeated batch harmless. One stream fills the table from its start; a table that others fill as
-    well takes :func:`write_batch`.
+    Ids seen before are looked up in the table's id index, in the hash buckets of the batch's own
+    ids; the stream itself keeps no state. Only the first batch after a start can repeat one that was
+    written before.
     """
-    checked = checked_rows(messages, topic, validate)
-    place = F.concat_ws("/", "partition", "offset")
-    own_key = F.to_json(F.struct(*FLAT_TABLES[topic].keys))
-    keyed = checked.withColumn("_id", F.when(F.col("rejection_reason").isNull(), own_key).otherwise(place))
-    firsts = first_copies(keyed, ["_id"], POSITION).drop("_id")
-    writer = firsts.writeStream.foreachBatch(
-        lambda batch, _: write_checked(batch, topic, root, everywhere=False, spread=SPREAD)
-    )
-    return start(writer, checkpoint, trigger)
+    started: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_checked(
+            checked_rows(batch, topic, validate), topic, root, partial(insert_indexed, may_repeat=not started)
+        )
+        started.append(number)
+
+    return start(messages.writeStream.foreachBatch(write), checkpoint, trigger)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from souk.functions.filters import not_cancelled
 from souk.functions.money import ratio
@@ -23,42 +21,26 @@ def first_copies(
     rows: DataFrame,
     keys: Sequence[str],
     position: Sequence[str],
-    event_time: str | None = None,
-    delay: str | None = None,
+    event_time: str,
+    delay: str,
+    width: str = "1 hour",
 ) -> DataFrame:
     """The first row of each key, over all batches of a stream; of the copies in one batch, the one
-    with the lowest ``position``.
+    with the lowest ``position``. Start it in update mode (:func:`to_files` does).
 
-    The state holds one small entry per key, not the rows, so a batch costs what its own keys
-    cost. With ``delay`` an entry goes once the watermark is that far past its event time, and rows that
-    arrive later than ``delay`` are dropped; without it keys are remembered for good. A key's rows
-    are read piece by piece and never gathered.
+    Copies of a row carry its event time: a key is unique within a window of ``width``. The state is
+    the smallest (batch time, position, row) of each key and window, and is dropped once the watermark
+    has passed the window; so are rows that arrive later than ``delay`` after their window's end. A group
+    is passed on in the batch it first appears in, as only then its smallest batch time is the batch's own.
     """
-    order = list(position)
-    lasts = 0 if delay is None else pd.Timedelta(delay) // pd.Timedelta(milliseconds=1)
-
-    def first(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best = None
-        for part in parts:
-            top = part if best is None else pd.concat([best, part])
-            best = top.sort_values(order, kind="stable").head(1)
-        known = state.exists
-        if delay is not None:
-            until = state.get[0] if known else int(best[event_time].iloc[0].timestamp() * 1000) + lasts
-            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        else:
-            until = 0
-        if not known:
-            state.update((until,))
-            yield best
-
-    if delay is not None:
-        rows = rows.withWatermark(event_time, delay)
-    timeout = GroupStateTimeout.NoTimeout if delay is None else GroupStateTimeout.EventTimeTimeout
-    return rows.groupBy(*keys).applyInPandasWithState(first, rows.schema, "until LONG", "append", timeout)
+    rest = [c for c in rows.columns if c not in keys and c not in position]
+    # the batch's time is the same for all its rows, also when it is repeated
+    dated = rows.withColumn("_arrived", F.current_timestamp()).withWatermark(event_time, delay)
+    firsts = dated.groupBy(*keys, F.window(event_time, width).alias("_window")).agg(
+        F.min(F.struct("_arrived", *position, *rest)).alias("_first")
+    )
+    new = firsts.where(F.col("_first._arrived") == F.current_timestamp())
+    return new.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in rows.columns])
 
 
 def deduplicated(
@@ -68,14 +50,14 @@ def deduplicated(
     delay: str = "1 hour",
     position: str | None = None,
 ) -> DataFrame:
-    """The first copy of each event, as long as copies lie within ``delay``.
+    """One copy of each event, as long as copies lie within ``delay``, whatever times they carry.
 
-    State is dropped behind the watermark, and so are rows that arrive later than ``delay``. With
-    ``position`` the copy with the lowest one stays, else any of those that arrive together.
+    State is dropped behind the watermark, and so are rows that arrive later than ``delay``. Of copies
+    that arrive together any one stays; ``position`` is carried along. :func:`first_copies` chooses the lowest.
     """
-    if position is None:
-        return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    return first_copies(events, [key], [position], event_time, delay)
+    if position is not None and position not in events.columns:
+        raise ValueError(f"no column {position}")
+    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def hourly_revenue(orders: DataFrame, delay: str = "2 days") -> DataFrame:
@@ -114,6 +96,10 @@ def run_hourly_revenue(
 
 
 def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
-    """Append a stream to Parquet files."""
-    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    return start(writer, checkpoint, trigger)
+    """Add a stream's rows, or the groups that change, to Parquet files: a folder per batch, which a repeated
+    batch replaces. Read them with the stream's own columns."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_number={number}")
+
+    return start(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
