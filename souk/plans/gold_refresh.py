@@ -1,8 +1,9 @@
 """The nightly KPI refresh: silver tables into gold tables.
 
 The tables are independent of each other except that customer metrics come last. Each refresh is
-one Catalyst plan whose result replaces the range it covers, so a repeated run changes nothing but
-the refresh time, and a group that no longer exists goes.
+one Catalyst plan whose result replaces the range it covers as one version of the table, so readers see
+all of a refresh or nothing, a repeated run changes nothing but the refresh time, and a group that no
+longer exists goes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from souk.functions.times import AsOf, before, moment
 from souk.operators import gold
 from souk.operators.medallion import apply_cancellations, current_deliveries
-from souk.sinks.writers import replace_range
+from souk.sinks.versioned import replace_version
 from souk.sources.schemas import (
     CUSTOMER_METRICS,
     DAILY_REVENUE,
@@ -54,14 +55,14 @@ def refresh_gold(
     # recomputed from that day's events alone
     deliveries = current_deliveries(read_table(spark, DELIVERIES, root))
     recent_payments = read_table(spark, PAYMENTS, root, since=recent)
-    replace_range(gold.hourly_revenue(orders(recent), as_of, whole_hours=True), HOURLY_REVENUE, root, recent)
-    replace_range(gold.daily_revenue(orders(first_day)), DAILY_REVENUE, root, first_day)
-    replace_range(gold.revenue_by_city(orders(first_day)), REVENUE_BY_CITY, root, first_day)
-    replace_range(
+    replace_version(gold.hourly_revenue(orders(recent), as_of, whole_hours=True), HOURLY_REVENUE, root, recent)
+    replace_version(gold.daily_revenue(orders(first_day)), DAILY_REVENUE, root, first_day)
+    replace_version(gold.revenue_by_city(orders(first_day)), REVENUE_BY_CITY, root, first_day)
+    replace_version(
         gold.payment_failure_metrics(recent_payments, as_of, whole_hours=True), PAYMENT_FAILURES, root, recent
     )
-    replace_range(gold.delayed_shipments(deliveries), DELAYED_SHIPMENTS, root)
-    replace_range(gold.customer_metrics(orders(), as_of), CUSTOMER_METRICS, root)
+    replace_version(gold.delayed_shipments(deliveries), DELAYED_SHIPMENTS, root)
+    replace_version(gold.customer_metrics(orders(), as_of), CUSTOMER_METRICS, root)
 
 
 def churn_risk_customers(spark: SparkSession, root: str) -> DataFrame:

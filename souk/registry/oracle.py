@@ -786,3 +786,7 @@ ORACLE: dict[str, str] = {
     "stream_hourly_revenue": sql("v_event_orders", HOURLY.format(period=f"AND order_{ON_TIME}")),
     "stream_topic_throughput": sql("v_messages", THROUGHPUT.replace("GROUP BY", f"WHERE {ON_TIME} GROUP BY")),
 }
+
+# the same rows, kept up to date by deltas
+ORACLE["delta_delayed_shipments"] = ORACLE["refresh_delayed_shipments"]
+ORACLE["delta_customer_metrics"] = ORACLE["refresh_customer_metrics"]

@@ -19,6 +19,7 @@ from souk.functions.times import before
 from souk.operators import dashboard, gold, jobs, links, medallion, quality, validate
 from souk.registry import reference_time as now
 from souk.session import run_dir
+from souk.plans import incremental
 from souk.plans.gold_refresh import refresh_gold
 from souk.sinks.writers import encode_events, insert_ignore, replace_range, upsert
 from souk.sources import bindings as b
@@ -810,6 +811,35 @@ def refresh_segments(spark, sf):
     return read_table(spark, CUSTOMER_SEGMENTS, root).drop("created_at", "key_bucket")
 
 
+@query
+def delta_delayed_shipments(spark, sf):
+    """Late shipments from three deltas of events; the last one is applied twice."""
+    root = run_dir(spark, "deltas")
+    events = b.table(spark, sf, "events")
+    borders = ("2024-01-10 00:00:00", *now.REFRESHES)
+    for k, (since, until) in enumerate(zip((None, *borders), borders)):
+        part = events.filter(F.col("ts") <= F.lit(until))
+        part = part if since is None else part.filter(F.col("ts") > F.lit(since))
+        rows = medallion.silver_rows(parse_events(b.messages(part)), medallion.silver_deliveries())
+        for _ in range(2 if until == borders[-1] else 1):
+            incremental.add_deliveries(rows, root, f"delta-{k}")
+            incremental.refresh_delayed_shipments(spark, root)
+    return read_table(spark, DELAYED_SHIPMENTS, root).drop("refreshed_at", "bucket_month")
+
+
+@query
+def delta_customer_metrics(spark, sf):
+    """Orders come as placed in two deltas, then a third takes the cancelled ones out."""
+    root = run_dir(spark, "deltas")
+    rows = b.event_orders(spark, sf, *SILVER_COLUMNS)
+    half = F.col("event_time") < F.lit("2024-01-16").cast("timestamp")
+    deltas = ({"placed": rows.where(half)}, {"placed": rows.where(~half)}, {"cancelled": rows.where("order_status = 'cancelled'")})
+    for k, delta in enumerate(deltas):
+        incremental.add_orders(root, f"delta-{k}", **delta)
+        incremental.refresh_customer_metrics(spark, root)
+    return incremental.customer_metrics(spark, root, now.EVENTS).drop("refreshed_at", "key_bucket")
+
+
 @query
 def gold_with_cancellations(spark, sf):
     """From messages to the daily figures, without the orders cancelled later."""

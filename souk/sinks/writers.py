@@ -273,8 +273,10 @@ def jdbc_writer(
     )
 
 
-def _write(df: DataFrame, table: Table, root: str, mode: str, spread: int | None = None) -> None:
-    """Without ``spread`` adaptive execution evens out the files. It does not run in the batches of a
+def _write(
+    df: DataFrame, table: Table, root: str, mode: str, spread: int | None = None, below: str = ""
+) -> None:
+    """``below`` names a folder inside the table's. Without ``spread`` adaptive execution evens out the files. It does not run in the batches of a
     stateful stream: there ``spread`` deals each partition's rows over so many tasks."""
     part = table.partition
     if part is None:
@@ -293,7 +295,7 @@ def _write(df: DataFrame, table: Table, root: str, mode: str, spread: int | None
     if extra:
         df = df.sortWithinPartitions(part.name, part.column).drop("_day")
     writer = df.write.partitionBy(part.name).option("partitionOverwriteMode", "dynamic")
-    writer.mode(mode).parquet(table.path(root))
+    writer.mode(mode).parquet(table.path(root) + below)
 
 
 def _touched(rows: DataFrame, table: Table) -> list:

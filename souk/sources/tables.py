@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from souk.sources.schemas import TABLES, Table
+from souk.sources.versions import Versions
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # where Spark stores rows without a partition value
 
@@ -53,7 +54,8 @@ def read_table(
     ``since`` / ``until`` leave out the time partitions before and after these moments; rows of
     the first and last partition are all kept, so the exact filter stays with the reader.
     """
-    df = spark.read.schema(table.schema).parquet(table.path(root))
+    _, content = Versions(spark, table.path(root)).current()
+    df = read_folders(spark, table, root, content["parts"]) if content else spark.read.schema(table.schema).parquet(table.path(root))
     if since is not None:
         df = df.filter(F.col(table.partition.name) >= table.partition.of(since))
     if until is not None:
@@ -61,6 +63,16 @@ def read_table(
     return df
 
 
+def read_folders(spark: SparkSession, table: Table, root: str, parts: dict[str, int]) -> DataFrame:
+    """The rows of a versioned table: ``parts`` says which version holds each partition."""
+    if not parts:
+        return spark.createDataFrame([], table.schema)
+    folder = table.path(root)
+    reader = spark.read.schema(table.schema).option("basePath", folder)
+    rows = reader.parquet(*(f"{folder}/version={number}/{name}" for name, number in sorted(parts.items())))
+    return rows.select(*table.schema.names)
+
+
 def read_partitions(
     spark: SparkSession, table: Table, root: str, values: Sequence[object]
 ) -> DataFrame:
@@ -69,6 +81,10 @@ def read_partitions(
     if not values:
         return spark.createDataFrame([], table.schema)
     folder, name = table.path(root), table.partition.name
+    _, content = Versions(spark, folder).current()
+    if content:
+        names = {f"{name}={NULL_FOLDER if v is None else v}" for v in values}
+        return read_folders(spark, table, root, {p: n for p, n in content["parts"].items() if p in names})
     wanted = [f"{name}={NULL_FOLDER if v is None else v}" for v in values]
     reader = spark.read.schema(table.schema).option("basePath", folder)
     try:
