@@ -790,3 +790,31 @@ ORACLE: dict[str, str] = {
 # the same rows, kept up to date by deltas
 ORACLE["delta_delayed_shipments"] = ORACLE["refresh_delayed_shipments"]
 ORACLE["delta_customer_metrics"] = ORACLE["refresh_customer_metrics"]
+
+# the filters of the kept figures, in the order of their numbers
+CUBE_FILTERS = (
+    "TRUE",
+    "city = 'NATION_7'",
+    "category = '2-HIGH' AND ts >= TIMESTAMP '1996-01-01'",
+    "city = 'NATION_7' AND category = '2-HIGH' AND ts >= TIMESTAMP '1996-01-01' AND ts <= TIMESTAMP '2000-12-31'",
+    "ts >= TIMESTAMP '1997-03-05' AND ts < TIMESTAMP '1997-03-21'",
+)
+CUBE_REPORTS = {
+    "city": ("city", "SUM(total_amount)"),
+    "category": ("category", "SUM(total_amount)"),
+    "status": ("status", "COUNT(*)"),
+    "month": ("strftime(ts, '%Y-%m')", "SUM(total_amount)"),
+}
+ORACLE["cube_reports"] = sql(
+    "v_orders",
+    " UNION ALL ".join(
+        f"""SELECT CAST({k} AS BIGINT) AS "filter", '{name}' AS report, {key} AS "key", CAST({value} AS DOUBLE) AS "value"
+            FROM v_orders WHERE {where} GROUP BY 3"""
+        for k, where in enumerate(CUBE_FILTERS)
+        for name, (key, value) in CUBE_REPORTS.items()
+    ),
+)
+ORACLE["cube_summaries"] = sql(
+    "v_orders",
+    " UNION ALL ".join(f'SELECT CAST({k} AS BIGINT) AS "filter", * FROM ({SUMMARY} WHERE {where})' for k, where in enumerate(CUBE_FILTERS)),
+)

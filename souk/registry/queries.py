@@ -19,7 +19,7 @@ from souk.functions.times import before
 from souk.operators import dashboard, gold, jobs, links, medallion, quality, validate
 from souk.registry import reference_time as now
 from souk.session import run_dir
-from souk.plans import incremental
+from souk.plans import cube, incremental
 from souk.plans.gold_refresh import refresh_gold
 from souk.sinks.writers import encode_events, insert_ignore, replace_range, upsert
 from souk.sources import bindings as b
@@ -840,6 +840,60 @@ def delta_customer_metrics(spark, sf):
     return incremental.customer_metrics(spark, root, now.EVENTS).drop("refreshed_at", "key_bucket")
 
 
+CUBE_COLUMNS = ("customer_id", "total_amount", "city", "category", "status", "timestamp")
+FILTERS = (
+    {},
+    {"city": "NATION_7"},
+    {"category": "2-HIGH", "date_from": "1996-01-01"},
+    {"city": "NATION_7", "category": "2-HIGH", "date_from": "1996-01-01", "date_to": "2000-12-31"},
+    {"date_from": "1997-03-05", "date_to": "1997-03-20", "inclusive_end": True},
+)
+
+
+def _cube(spark, sf, customers=False):
+    """The kept figures after three deltas: two halves as placed, then the states as they are."""
+    root = run_dir(spark, "cube")
+    rows = b.orders(spark, sf, *CUBE_COLUMNS)
+    placed = rows.withColumn("status", F.lit("placed"))
+    half = F.col("timestamp") < F.lit("1998-05-05").cast("timestamp")
+    for k, part in enumerate((placed.where(half), placed.where(~half))):
+        cube.add_orders(root, f"delta-{k}", part)
+        if customers:
+            cube.add_customers(part, root, f"delta-{k}")
+    changed = F.col("status") != "placed"
+    cube.add_orders(root, "states", rows.where(changed), rows.where(changed).withColumn("status", F.lit("placed")))
+    return root
+
+
+@query
+def cube_reports(spark, sf):
+    """Four reports with five filters each, all from the cube."""
+    root = _cube(spark, sf)
+    reports = {"city": cube.revenue_by_city, "category": cube.category_sales, "status": cube.order_status, "month": cube.monthly_revenue}
+    parts = []
+    for number, filters in enumerate(FILTERS):
+        for name, report in reports.items():
+            key, value = (rows := report(spark, root, **filters)).columns
+            parts.append(rows.select(
+                F.lit(number).alias("filter"), F.lit(name).alias("report"), F.col(key).alias("key"), F.col(value).cast("decimal(24,2)").alias("value")
+            ))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def cube_summaries(spark, sf):
+    """Headline figures with five filters; customers are counted in bitmaps."""
+    root = _cube(spark, sf, customers=True)
+    parts = [cube.summary(spark, root, **f).withColumn("filter", F.lit(k)) for k, f in enumerate(FILTERS)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query
 def gold_with_cancellations(spark, sf):
     """From messages to the daily figures, without the orders cancelled later."""
