@@ -3,6 +3,7 @@ forecast."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -232,12 +233,13 @@ def delivery_insights(analysis: DataFrame, day: str | date | None = None) -> Dat
 
 
 def revenue_forecast(
-    orders: DataFrame, day: str | date | None = None, window_days: int = WINDOW_DAYS
+    orders: DataFrame, day: str | date | None = None, window_days: int = WINDOW_DAYS, by: Sequence[str] = ()
 ) -> DataFrame:
     """Forecast from the mean daily revenue of the days before: the given day (which may have no
     orders yet), or every day with orders.
 
-    Days without orders do not count towards the mean. Accuracy is 0 where nothing was sold.
+    Days without orders do not count towards the mean. Accuracy is 0 where nothing was sold. ``by``
+    (city, category) makes a forecast for each of its values instead of one for all.
     """
     if day is not None:
         start = at(orders, TS, str(day))
@@ -245,13 +247,14 @@ def revenue_forecast(
             (F.col(TS) >= start - F.expr(f"INTERVAL {window_days} DAYS"))
             & (F.col(TS) < start + F.expr("INTERVAL 1 DAY"))
         )
-    daily = orders.groupBy(F.to_date(TS).alias("forecast_date")).agg(
+    daily = orders.groupBy(*by, F.to_date(TS).alias("forecast_date")).agg(
         F.sum("total_amount").alias("revenue")
     )
     if day is None:
         # one row per day; a range frame over days, not over orders
-        before = Window.orderBy(F.unix_date("forecast_date")).rangeBetween(-window_days, -1)
+        before = Window.partitionBy(*by).orderBy(F.unix_date("forecast_date")).rangeBetween(-window_days, -1)
         stats = daily.select(
+            *by,
             "forecast_date",
             F.col("revenue").alias("actual"),
             F.sum("revenue").over(before).alias("total"),
@@ -261,7 +264,7 @@ def revenue_forecast(
     else:
         target = F.lit(str(day)).cast("date")
         earlier = F.when(F.col("forecast_date") < target, F.col("revenue"))
-        stats = daily.agg(
+        stats = daily.groupBy(*by).agg(
             target.alias("forecast_date"),
             F.sum(F.when(F.col("forecast_date") == target, F.col("revenue"))).alias("actual"),
             F.sum(earlier).alias("total"),
@@ -278,6 +281,7 @@ def revenue_forecast(
         F.abs(predicted - actual * days) * F.lit(100), (actual * days).cast("decimal(27,2)")
     )
     return stats.select(
+        *by,
         "forecast_date",
         (predicted / days).cast("decimal(24,2)").alias("predicted_revenue"),
         (total / days).cast(TOTAL).alias("avg_last_7_days"),

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from souk.functions.times import AsOf, before, moment
 from souk.operators import gold
-from souk.operators.medallion import apply_cancellations, current_deliveries
+from souk.operators.medallion import CANCELLED, apply_cancellations, cancellations, current_deliveries
 from souk.sinks.versioned import replace_version
+from souk.sources.events import parse_events
 from souk.sources.schemas import (
     CUSTOMER_METRICS,
     DAILY_REVENUE,
@@ -24,9 +25,17 @@ from souk.sources.schemas import (
     ORDERS,
     PAYMENT_FAILURES,
     PAYMENTS,
+    RAW_EVENTS,
     REVENUE_BY_CITY,
 )
-from souk.sources.tables import read_table
+from souk.sources.tables import create_if_absent, read_table
+
+
+def stored_cancellations(spark: SparkSession, root: str) -> DataFrame:
+    """Orders that a cancellation event in the raw table names."""
+    create_if_absent(spark, RAW_EVENTS, root)
+    raw = read_table(spark, RAW_EVENTS, root).where(F.col("event_type") == CANCELLED)
+    return cancellations(parse_events(raw.select(F.col("raw_payload").alias("value"), F.col("kafka_topic").alias("topic"))))
 
 
 def refresh_gold(
@@ -40,8 +49,11 @@ def refresh_gold(
 
     ``since`` limits the per-day order tables to days from that date on; the trailing tables start at
     the full hour in which their period begins; deliveries and customer metrics cover all history.
-    Only the day partitions needed are read. ``cancelled`` (``order_id``) takes orders out.
+    Only the day partitions needed are read. ``cancelled`` (``order_id``) takes orders out; by default
+    those that a cancellation event in the raw table names.
     """
+    if cancelled is None:
+        cancelled = stored_cancellations(spark, root)
     first_day = None if since is None else F.to_date(moment(since))
     recent = F.date_trunc("hour", before(as_of, gold.REFRESH_PERIOD))
 
@@ -49,7 +61,7 @@ def refresh_gold(
         rows = read_table(spark, ORDERS, root, since=start)
         if start is not None:
             rows = rows.filter(F.col("event_time") >= start.cast("timestamp"))
-        return rows if cancelled is None else apply_cancellations(rows, cancelled)
+        return apply_cancellations(rows, cancelled)
 
     # a delivery counts once, in the state of its latest event, so a changed day cannot be
     # recomputed from that day's events alone

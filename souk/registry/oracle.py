@@ -818,3 +818,48 @@ ORACLE["cube_summaries"] = sql(
     "v_orders",
     " UNION ALL ".join(f'SELECT CAST({k} AS BIGINT) AS "filter", * FROM ({SUMMARY} WHERE {where})' for k, where in enumerate(CUBE_FILTERS)),
 )
+
+OBSERVED = {
+    "no_null_event_ids": "id % 40 = 0",
+    "no_null_event_types": "id % 30 = 0",
+    "valid_event_types": "id % 30 <> 0 AND id % 7 = 0",
+}
+ORACLE["stream_observed_checks"] = sql(
+    "v_messages",
+    " UNION ALL ".join(
+        f"""SELECT 'bronze' AS layer, 'raw_events' AS table_name, '{name}' AS check_name, COUNT(*) AS records_checked,
+                   COUNT(*) FILTER ({bad}) AS records_failed FROM v_messages"""
+        for name, bad in OBSERVED.items()
+    ),
+)
+ORACLE["append_twice"] = sql(
+    "v_payments",
+    """SELECT method, status, 2 * COUNT(*) AS payments, COUNT(DISTINCT payment_id) AS ids, CAST(2 * SUM(amount) AS DOUBLE) AS amount
+       FROM v_payments GROUP BY 1, 2""",
+)
+ORACLE["audit_log"] = sql(
+    "v_raw v_event_orders v_payments",
+    f"""SELECT table_name AS subject, check_name AS detail, upper(status) AS status, CAST(2 AS BIGINT) AS entries,
+               CAST(2 * failed AS BIGINT) AS failures
+        FROM ({BRONZE_LOG} UNION ALL {ORDER_LOG} UNION ALL {PAYMENT_LOG})
+        UNION ALL
+        SELECT 'day', {day('d')}, CASE WHEN nulls > 0 OR bad > 0 OR dups > 0 OR 100 * failed > 30 * n THEN 'FAILED' ELSE 'PASSED' END,
+               CAST(2 AS BIGINT), CAST(2 * (nulls + bad) AS BIGINT)
+        FROM checked JOIN rates USING (d)""",
+    checked="""
+        SELECT CAST(ts AS DATE) AS d, COUNT(*) FILTER (order_id IS NULL OR user_id IS NULL OR total_amount IS NULL) AS nulls,
+               COUNT(*) FILTER (total_amount <= 0 OR quantity <= 0) AS bad, COUNT(*) - COUNT(DISTINCT order_id) AS dups
+        FROM v_event_orders GROUP BY 1""",
+    rates="""SELECT CAST(ts AS DATE) AS d, COUNT(*) AS n, COUNT(*) FILTER (status = 'failed') AS failed FROM v_payments GROUP BY 1""",
+)
+ORACLE["catch_up_positions"] = sql(
+    "v_messages",
+    """SELECT topic, CAST(id % 3 AS BIGINT) AS "partition", COUNT(*) AS messages, CAST(SUM(id) AS BIGINT) AS "offsets", MAX(id) AS "last"
+       FROM v_messages GROUP BY 1, 2""",
+)
+ORACLE["revenue_forecast_by_city"] = sql(
+    "v_event_orders",
+    FORECAST_OUT.replace("SELECT", "SELECT city, category AS product_category,", 1),
+    days="SELECT city, category, CAST(ts AS DATE) AS d, SUM(total_amount) AS revenue FROM v_event_orders GROUP BY 1, 2, 3",
+    stats=FORECAST["stats"].replace("SELECT d,", "SELECT city, category, d,", 1).replace("(ORDER BY", "(PARTITION BY city, category ORDER BY"),
+)

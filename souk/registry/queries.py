@@ -21,18 +21,22 @@ from souk.registry import reference_time as now
 from souk.session import run_dir
 from souk.plans import cube, incremental
 from souk.plans.gold_refresh import refresh_gold
-from souk.sinks.writers import encode_events, insert_ignore, replace_range, upsert
+from souk.sinks.writers import append, encode_events, insert_ignore, replace_range, upsert
 from souk.sources import bindings as b
 from souk.sources.catalogue import with_seed
 from souk.sources.events import parse_events
+from souk.sources.positions import ConsumerGroup
 from souk.sources.schemas import (
     CUSTOMER_METRICS,
     CUSTOMER_SEGMENTS,
     DAILY_REVENUE,
+    DATA_QUALITY_LOG,
     DELAYED_SHIPMENTS,
     DELIVERIES,
     DELIVERIES_TOPIC,
+    DQ_RUN_LOG,
     FLAT_ORDERS,
+    FLAT_PAYMENTS,
     FLAT_TABLES,
     HOURLY_REVENUE,
     ORDERS,
@@ -47,8 +51,8 @@ from souk.sources.schemas import (
     Table,
     key_bucket,
 )
-from souk.sources.tables import conform, read_table
-from souk.streaming import event_tables, flat_tables, windows
+from souk.sources.tables import conform, create_all, read_table
+from souk.streaming import checked, event_tables, flat_tables, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1028,4 +1032,89 @@ def stream_topic_throughput(spark, sf):
     return read_table(spark, TOPIC_THROUGHPUT, root).drop("slot_date")
 
 
+
+
+@query
+def stream_observed_checks(spark, sf):
+    """The log of a stream's checks, added up over its batches; the first batch is logged twice."""
+    root = run_dir(spark, "observed")
+    parsed = parse_events(b.messages(_events(spark, sf))).withColumns(
+        # every 40th event has lost its id, every 30th its type
+        {
+            "event_id": F.when(F.col("offset") % 40 != 0, F.col("event_id")),
+            "event_type": F.when(F.col("offset") % 30 == 0, None).when(F.col("offset") % 7 == 0, "other").otherwise(F.col("event_type")),
+        }
+    ).select("event_id", "event_type", "offset")
+
+    def write(rows, number):
+        rows.write.mode("overwrite").parquet(f"{root}/raw/batch_number={number}")
+
+    checks = checked.raw_event_checks()
+    _finish(checked.run(parsed, write, root, f"{root}/checkpoint", "raw", checks, trigger=None))
+    first = spark.read.schema(parsed.schema).parquet(f"{root}/raw/batch_number=0")
+    checked.logged_write(first, lambda rows: write(rows, 99), checks, "bronze", "raw_events", root, "raw-0")
+    log = read_table(spark, DQ_RUN_LOG, root)
+    return log.groupBy("layer", "table_name", "check_name").agg(
+        F.sum("records_checked").alias("records_checked"), F.sum("records_failed").alias("records_failed")
+    )
+
+
+@query
+def append_twice(spark, sf):
+    """Plain appends into tables that are created where they are absent: every row is there twice."""
+    root = run_dir(spark, "append")
+    create_all(spark, root)
+    rows = b.payments(spark, sf, "payment_id", "order_id", "amount", "method", "status", "timestamp")
+    for _ in range(2):
+        append(rows, FLAT_PAYMENTS, root)
+        create_all(spark, root)  # tables that exist stay as they are
+    stored = read_table(spark, FLAT_PAYMENTS, root)
+    return stored.groupBy("method", "status").agg(
+        F.count(F.lit(1)).alias("payments"), F.count_distinct("payment_id").alias("ids"), F.sum("amount").alias("amount")
+    )
+
+
+@query
+def audit_log(spark, sf):
+    """Check runs of the layers and daily reports, logged on two days."""
+    root = run_dir(spark, "audit")
+    for run_at in ("2024-01-30", now.EVENTS):
+        for log in (_bronze_checks(spark, sf), _order_checks(spark, sf), _payment_check(spark, sf)):
+            append(quality.stamped(log, run_at), DQ_RUN_LOG, root)
+        append(dq_daily_report(spark, sf), DATA_QUALITY_LOG, root)
+    runs = read_table(spark, DQ_RUN_LOG, root).groupBy(
+        F.col("table_name").alias("subject"), F.col("check_name").alias("detail"), F.upper("status").alias("status")
+    )
+    days = read_table(spark, DATA_QUALITY_LOG, root).groupBy(
+        F.lit("day").alias("subject"), F.col("check_date").cast("string").alias("detail"), "status"
+    )
+    counted = (
+        runs.agg(F.count(F.lit(1)).alias("entries"), F.sum("records_failed").alias("failures")),
+        days.agg(F.count(F.lit(1)).alias("entries"), F.sum(F.col("null_values") + F.col("negative_amounts")).alias("failures")),
+    )
+    return counted[0].unionByName(counted[1])
+
+
+@query
+def catch_up_positions(spark, sf):
+    """A consumer group reads half of the messages, then the others; each message is handled once."""
+    root = run_dir(spark, "groups")
+    messages = b.messages(b.table(spark, sf, "events")).select("topic", "partition", "offset", "value")
+    group = ConsumerGroup(spark, root, "reporting")
+    last = messages.agg(F.max("offset")).first()[0]
+    for number, seen in enumerate((messages.where(F.col("offset") <= last // 2), messages, messages)):
+        group.catch_up(seen, lambda rows: rows.write.parquet(f"{root}/handled/run={number}"))
+    handled = spark.read.schema(messages.schema).parquet(f"{root}/handled")
+    return handled.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("offset").alias("offsets"), F.max("offset").alias("last")
+    )
+
+
+@query
+def revenue_forecast_by_city(spark, sf):
+    rows = b.event_orders(spark, sf, "city", "product_category", "total_amount", "timestamp")
+    forecast = jobs.revenue_forecast(rows, by=["city", "product_category"])
+    return forecast.withColumn("std_revenue", F.col("std_revenue").cast("decimal(22,2)"))
+
+
 QUERIES["encode_events"] = QUERIES.pop("encode_events_")
