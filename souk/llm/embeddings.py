@@ -11,7 +11,8 @@ counts per vector and links that span its components, never all its links.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and those
 without a label, link with nothing; vectors of different length never link; rows with
-equal ids are separate vectors of one id; an empty table gives an empty result.
+equal ids are separate vectors of one id; vectors without an id link like others and do not name a component: one
+of only such vectors has none, and they are its kept ones; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def principal_axes(reps: DataFrame, leading: int = LEADING) -> dict[int, np.ndar
     return axes
 
 
-BLOCKS = "block long, label long, dims long, reps binary, weights binary, units binary, low array<double>, high array<double>"
+BLOCKS = "block long, label string, dims long, reps binary, weights binary, units binary, low array<double>, high array<double>"
 
 
 def grid_blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, block: int = BLOCK) -> DataFrame:
@@ -105,8 +106,9 @@ def grid_blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, block:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
         for batch in batches:
-            label, dims = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            new = (np.diff(label, prepend=label[:1]) != 0) | (np.diff(dims, prepend=dims[:1]) != 0)
+            label, dims = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy()
+            new = np.zeros(len(label), bool)
+            new[1:] = (label[1:] != label[:-1]) | (dims[1:] != dims[:-1])
             edges = np.append(np.append([0], np.flatnonzero(new)), len(label)) if len(label) else np.zeros(1, int)
             out = []
             for a, b in zip(edges, edges[1:]):
@@ -117,13 +119,13 @@ def grid_blocks(reps: DataFrame, axes: dict[int, np.ndarray], eps: float, block:
                     reps_, weights = (batch.column(k).to_numpy()[start:stop].astype(np.int64).tobytes() for k in (0, 1))
                     out.append((part << 32 | count, label[start], dims[start], reps_, weights, units.tobytes(), spot.min(axis=0), spot.max(axis=0)))
                     count += 1
-            kinds = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.list_(pa.float64())] * 2
+            kinds = [pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * 3 + [pa.list_(pa.float64())] * 2
             names = [x.split()[0] for x in BLOCKS.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*out) if out else [[]] * 8, kinds)], names)
 
     order = ["label", "dims", *(f"g{k}" for k in range(leading)), "rep"]
-    columns = reps.select("rep", "weight", F.col("label").cast("long"), F.col("dims").cast("long"), "vector")
-    placed = columns.mapInArrow(project, f"rep long, weight long, label long, dims long, vector array<double>, {grid}")
+    columns = reps.select("rep", "weight", F.col("label").cast("string"), F.col("dims").cast("long"), "vector")
+    placed = columns.mapInArrow(project, f"rep long, weight long, label string, dims long, vector array<double>, {grid}")
     sequence = placed.repartitionByRange(shards(reps.sparkSession), *order).sortWithinPartitions(*order)
     return sequence.mapInArrow(cut, BLOCKS)
 
@@ -217,13 +219,12 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     used = usable(vectors.select("vec_id", "embedding", "label"))
     # the printed components of equal vectors are equal
     keyed = used.withColumn("digest", F.sha2(F.concat_ws(" ", "label", F.col("vector").cast("string")), 256))
-    reps = stored(
-        keyed.groupBy("digest").agg(
-            F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("label").alias("label"),
-            F.first("dims").alias("dims"), F.first("vector").alias("vector"),
-        ),
-        "vector-classes",
+    classes_of = keyed.groupBy("digest").agg(
+        F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("label").alias("label"),
+        F.first("dims").alias("dims"), F.first("vector").alias("vector"),
     )
+    # numbers of their own, fixed once they are stored: ids may repeat or be missing
+    reps = stored(classes_of.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     axes = principal_axes(reps)
     blocks = stored(grid_blocks(reps, axes, eps), "blocks")
     pairs = stored(near_blocks(blocks.select("block", "label", "dims", "low", "high"), eps), "block-pairs")
@@ -231,16 +232,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = stored(join_blocks(pairs, blocks, axes, cosine), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(found.where("rep <> peer"), "rep", "peer").select(F.col("vertex").alias("rep"), "component")
-    merged = reps.select("digest", "rep", "weight").join(counts, "rep", "left").join(classes, "rep", "left")
+    merged = reps.select("digest", "rep", "least", "weight").join(counts, "rep", "left").join(classes, "rep", "left")
     merged = stored(
         merged.select(
             "digest", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("component", "rep").alias("component"), "least",
         ),
         "vector-verdicts",
     )
+    names = merged.groupBy("component").agg(F.min("least").alias("component_id"))
+    merged = merged.join(names, "component")
     linked = keyed.select("vec_id", "digest").join(merged, "digest").select("vec_id", "n_links", "component_id")
     alone = vectors.where(~can_link()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    return linked.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

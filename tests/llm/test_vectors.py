@@ -68,3 +68,24 @@ def test_components(spark):
     found = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert found == {**{i: 0 for i in range(21)}, **{i: 100 for i in (100, 101, 102)}, **{200 + i: 200 for i in range(40)}}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
+def test_missing_and_repeated_ids_and_text_labels(spark):
+    """Every vector counts for itself, whatever its id; labels are compared as they are."""
+    rng = np.random.default_rng(7)
+    centers = rng.normal(size=(12, 6))
+    vectors = [centers[i % 12] + rng.normal(scale=0.05, size=6) for i in range(150)]
+    vectors += [vectors[3], vectors[3], vectors[20]]
+    labels = [["red", "1", "01"][i // 12 % 3] for i in range(len(vectors))]
+    ids = [None if i % 7 == 0 else i // 2 for i in range(len(vectors))]  # pairs of rows share an id
+    numbered = [(i, [float(x) for x in v], label) for i, (v, label) in enumerate(zip(vectors, labels))]
+    count, least = brute(numbered)
+    members = {}
+    for i, root in least.items():
+        members.setdefault(root, []).append(ids[i])
+    name = {root: min((x for x in found if x is not None), default=None) for root, found in members.items()}
+    expected = [(ids[i], count[i], name[least[i]], ids[i] == name[least[i]]) for i in range(len(vectors))]
+    rows = [(ids[i], v, label, "x") for i, v, label in numbered]
+    found = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, rep string").repartition(3))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert sum(count.values()) > 100
