@@ -2,9 +2,10 @@
 
 The cube holds counts and sums per day, city, category and status and for smaller sets of these
 (:data:`LEVELS`); a report is answered from the smallest level that has the columns it groups and filters by.
-Distinct customers cannot be added up: they are bitmaps of dense customer numbers per day, city and category, which are
-united. Both are kept by deltas; an order that changes is taken out as it was and put in as it is (bitmaps only grow:
-they count the customers of all orders, whatever their status).
+Distinct customers cannot be added up: they are sets of dense customer numbers per day, city and category, which are
+united as bitmaps. A set of few numbers is stored as they are, a larger one as a bitmap. Both are kept by deltas;
+an order that changes is taken out as it was and put in as it is (sets of customers only grow: they count the
+customers of all orders, whatever their status).
 
 Rows at midnight sharp are cells of their own, as the filters compare an end date with midnight.
 """
@@ -36,6 +37,7 @@ LEVELS = {
     "all": DIMENSIONS,
 }
 MEASURES = ("orders", "priced", "revenue")
+SPARSE = 512  # numbers of a segment that take as much room as its bitmap
 
 SALES_CUBE = Table(
     "gold.sales_cube",
@@ -54,7 +56,7 @@ CUSTOMER_NUMBERS = Table(
 )
 CUSTOMER_BITMAPS = Table(
     "gold.customer_bitmaps",
-    "day DATE, at_midnight BOOLEAN, city STRING, category STRING, segment LONG, bits BINARY",
+    "day DATE, at_midnight BOOLEAN, city STRING, category STRING, segment LONG, places ARRAY<BIGINT>, bits BINARY",
     keys=(*DAY, "city", "category", "segment"),
     partition=TimePartition("bitmap_month", "day", "month"),
     key_fixes_partition=True,
@@ -191,14 +193,31 @@ def add_customers(orders: DataFrame, root: str, batch: str) -> None:
     merge_version(ids.withColumn("number", F.lit(None).cast("long")), CUSTOMER_NUMBERS, root, _numbered, mark=batch)
     numbers = read_table(orders.sparkSession, CUSTOMER_NUMBERS, root).select("customer_id", "number")
     seen = _dated(orders).withColumn("customer_id", F.col("customer_id").cast("string")).join(numbers, "customer_id")
-    keys = CUSTOMER_BITMAPS.keys
-    bits = seen.withColumn("segment", F.bitmap_bucket_number("number")).groupBy(*keys).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
+    places = seen.withColumns(
+        {"segment": F.bitmap_bucket_number("number"), "place": F.bitmap_bit_position("number")}
     )
-    merge_version(
-        bits, CUSTOMER_BITMAPS, root,
-        lambda stored, new: stored.unionByName(new).groupBy(*keys).agg(F.bitmap_or_agg("bits").alias("bits")), mark=batch,
+    merge_version(_packed(places), CUSTOMER_BITMAPS, root, _united, mark=batch)
+
+
+def _packed(places: DataFrame) -> DataFrame:
+    """Sets of places per cell and segment (at most a bitmap's 32,768), as lists or bitmaps."""
+    keys = CUSTOMER_BITMAPS.keys
+    sets = places.groupBy(*keys).agg(F.array_sort(F.collect_set("place")).alias("places"))
+    few = sets.where(F.size("places") <= SPARSE).withColumn("bits", F.lit(None).cast("binary"))
+    many = sets.where(F.size("places") > SPARSE).select(*keys, F.explode("places").alias("place"))
+    maps = many.groupBy(*keys).agg(F.bitmap_construct_agg("place").alias("bits"))
+    return few.unionByName(maps.withColumn("places", F.lit(None).cast("array<bigint>")))
+
+
+def _united(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Both sets per cell; one with a bitmap may keep a list of a few more beside it."""
+    keys = CUSTOMER_BITMAPS.keys
+    rows = stored.unionByName(new).select(*keys, "places", "bits")
+    packed = _packed(rows.where("places is not null").select(*keys, F.explode("places").alias("place")))
+    maps = rows.where("bits is not null").unionByName(packed.where("bits is not null")).groupBy(*keys).agg(
+        F.bitmap_or_agg("bits").alias("bits")
     )
+    return packed.where("bits is null").unionByName(maps.withColumn("places", F.lit(None).cast("array<bigint>")))
 
 
 def distinct_customers(spark: SparkSession, root: str, by: Sequence[str] = (), **filters) -> DataFrame:
@@ -209,7 +228,10 @@ def distinct_customers(spark: SparkSession, root: str, by: Sequence[str] = (), *
         rows = rows.where(condition) if month else rows
     for condition in wanted:
         rows = rows.where(condition)
-    united = rows.groupBy(*by, "segment").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("_n"))
+    few = rows.where("places is not null").select(*by, "segment", F.explode("places").alias("place"))
+    maps = few.groupBy(*by, "segment").agg(F.bitmap_construct_agg("place").alias("bits"))
+    maps = maps.unionByName(rows.where("bits is not null").select(*by, "segment", "bits"))
+    united = maps.groupBy(*by, "segment").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("_n"))
     return united.groupBy(*by).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("customers"))
 
 

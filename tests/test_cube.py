@@ -24,11 +24,12 @@ def orders(spark, rows):
     return df.withColumn("timestamp", F.col("t").cast("timestamp")).drop("t")
 
 
-@pytest.fixture(scope="module")
-def kept(spark, tmp_path_factory):
+@pytest.fixture(scope="module", params=[512, 1], ids=["lists", "bitmaps"])
+def kept(spark, tmp_path_factory, request):
     """Three deltas, one of them twice: new orders, changed ones and some that go altogether."""
     root = f"file://{tmp_path_factory.mktemp('cube')}/tables"
     rng, live = random.Random(10), []
+    cube.SPARSE = request.param
     for step in range(3):
         new = [
             (rng.choice([None, *range(60)]) if step else rng.randrange(30), rng.choice(["A", "B", None]), rng.choice(["x", "y", None]), "placed",
