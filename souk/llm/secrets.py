@@ -2,10 +2,13 @@
 
 Three patterns (assignments, access keys, long hex) are reported as they are. Runs of base64,
 base64url and hex are further decoded and reported only if what they decode to has the inner
-structure of a secret: nested DER lengths of a key, length-prefixed fields of an SSH key, or a
-signed token whose header is a JSON object that names its algorithm. A key in base64 is sought
-wherever no letter or digit stands before its first characters, and ends where its own lengths say,
-whatever follows.
+structure of a key or token: nested DER lengths and the parts of a private key, the length-prefixed
+fields of an SSH key, or a token whose header is a JSON object that names its algorithm (signed: three
+parts; sealed: five). A key is sought wherever no letter or digit stands before its first characters,
+and ends where its own lengths say, whatever follows.
+
+Signatures and other numbers in DER are no keys. A public key in DER is reported as a kind of its own and
+not masked; public SSH keys, which name their owner, are reported with the private ones and masked.
 
 Defined results: a null text counts as empty and has no spans; spans are code points, end exclusive;
 equal rows are scanned alike; an empty table gives an empty result.
@@ -34,9 +37,14 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 BASE_KINDS = ("assign", "access", "hex")
-KINDS = (*BASE_KINDS, "der", "ssh", "jwt")
+KINDS = (*BASE_KINDS, "der", "ssh", "jwt", "pub")
+DER, SSH, TOKEN, PUBLIC = range(3, 7)
 
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_-])")
+SEALED = re.compile(
+    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]{8,}(?![A-Za-z0-9_-])"
+)
+TWO_MORE = re.compile(r"\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?![A-Za-z0-9_-])")
 # How a DER sequence, a length-prefixed field and an OpenSSH key file begin in base64.
 KEY_START = re.compile(r"(?<![A-Za-z0-9])(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjEA)")
 # bodies may be broken into lines, as in key files
@@ -45,7 +53,8 @@ BODIES = tuple(
     for more in ("+/", "_-")
 )
 MIN_KEY = 24
-HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}")
+MAX_KEYS = 64  # in one OpenSSH file
 # How an encoded JSON object can begin (a quote, a space or a line end after the brace).
 JSON_STARTS = ("eyJ", "eyA", "ewo", "ewk", "ew0")
 SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
@@ -80,27 +89,42 @@ def _der_fields(data: bytes, start: int, end: int) -> list[tuple[int, int, int]]
     return fields
 
 
-def is_der_key(data: bytes) -> bool:
-    """A SEQUENCE that ends with the data, whose values nest exactly and hold a key's parts."""
+def der_kind(data: bytes) -> int | None:
+    """DER for a private key, PUBLIC for a public one: a SEQUENCE that ends with the data and nests exactly."""
     outer = _der_fields(data, 0, len(data)) if data[:1] == b"\x30" and len(data) >= 16 else None
     if not outer or len(outer) != 1:
-        return False
+        return None
     inner = _der_fields(data, *outer[0][1:])
     if not inner or len(inner) < 2:
-        return False
+        return None
     tags = [tag for tag, _, _ in inner]
-    for tag, start, end in inner:
-        if tag == 0x30 and _der_fields(data, start, end) is None:
-            return False
-    numbers = tags.count(0x02)
-    # key files: integers only; version, algorithm, octets; algorithm, bits; version, octets, curve
-    return numbers == len(tags) or (numbers >= 1 and 0x04 in tags) or (tags[0] == 0x30 and tags[1] == 0x03)
+    nested = [_der_fields(data, start, end) for tag, start, end in inner if tag == 0x30]
+    if any(fields is None for fields in nested):
+        return None
+    if tags[0] == 0x02:
+        if inner[0][2] - inner[0][1] != 1 or data[inner[0][1]] > 2:
+            return None  # not a version: a signature, the modulus of a public key
+        # version and numbers; version, octets, curve; version, algorithm, octets
+        numbers = len(tags) >= 4 and tags.count(0x02) == len(tags)
+        algorithm = tags[1:3] == [0x30, 0x04] and nested[0] and nested[0][0][0] == 0x06
+        return DER if numbers or tags[1] == 0x04 or algorithm else None
+    # algorithm, bits
+    return PUBLIC if tags == [0x30, 0x03] and nested[0] and nested[0][0][0] == 0x06 else None
+
+
+def _field_ends(data: bytes, at: int, count: int) -> list[int] | None:
+    """Where each of ``count`` length-prefixed fields ends; None if they are not all there."""
+    ends = []
+    for _ in range(count):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        if at > len(data):
+            return None
+        ends.append(at)
+    return ends
 
 
-def is_ssh_key(data: bytes) -> bool:
+def _public_ssh(data: bytes) -> bool:
     """Length-prefixed fields that fill the data, the first of which names a key type."""
-    if data.startswith(SSH_MAGIC):
-        return True
     at, fields = 0, []
     while at < len(data):
         size = int.from_bytes(data[at : at + 4], "big")
@@ -111,6 +135,26 @@ def is_ssh_key(data: bytes) -> bool:
     return len(fields) >= 2 and fields[0].startswith(SSH_KINDS)
 
 
+def openssh_size(data: bytes) -> int:
+    """Size of the OpenSSH key file that begins the data, 0 unless all its fields are those of one.
+
+    Names of cipher and derivation, the options, the number of keys, that many public keys, the private part.
+    """
+    head = _field_ends(data, len(SSH_MAGIC), 3) if data.startswith(SSH_MAGIC) else None
+    if not head:
+        return 0
+    names = data[len(SSH_MAGIC) + 4 : head[0]], data[head[0] + 4 : head[1]]
+    if not all(name and name.isascii() and name.decode().isprintable() for name in names):
+        return 0
+    keys = int.from_bytes(data[head[2] : head[2] + 4], "big")
+    first = head[2] + 4
+    ends = _field_ends(data, first, keys + 1) if 1 <= keys <= MAX_KEYS else None
+    if not ends or ends[-1] - ends[-2] < 4 + 16:  # a private part has two check numbers and a key
+        return 0
+    starts = [first, *ends[:-2]]
+    return ends[-1] if all(_public_ssh(data[a + 4 : b]) for a, b in zip(starts, ends)) else 0
+
+
 def _body_end(body: str, n: int) -> int | None:
     """Where the first ``n`` bytes of a body end, None if it has fewer."""
     chars, at = -(-4 * n // 3), 0
@@ -141,18 +185,8 @@ def _der_size(head: bytes) -> int:
 def _ssh_end(body: str, data: bytes) -> int | None:
     """Where an SSH key at the start of a body ends."""
     if data.startswith(SSH_MAGIC):
-        # cipher, derivation, its options, number of keys, public keys, private part
-        at = len(SSH_MAGIC)
-        left, counted = 3, False
-        while left:
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-            if at > len(data):
-                return len(body)  # cut off or of another version
-            left -= 1
-            if not left and not counted:
-                left, counted = 1 + int.from_bytes(data[at : at + 4], "big"), True
-                at += 4
-        return _body_end(body, at)
+        size = openssh_size(data)
+        return _body_end(body, size) if size else None
     fields, at, ends = 0, 0, []
     kind = next((k for k in SSH_KINDS if data[4:].startswith(k)), None)
     while kind and at < len(data):
@@ -176,17 +210,17 @@ def _key_at(text: str, start: int) -> tuple[int, int] | None:
     for pattern, urlsafe in BODIES:
         first = pattern.match(text, start, start + 40)
         head = _decoded_body(first[0], urlsafe) if first else b""
-        kind, end = 3, None
+        kind, end = None, None
         if size := _der_size(head):
             # a body of that many bytes, with its line ends, and no more
             body = pattern.match(text, start, start + size * 3 // 2 + 40) if MIN_KEY <= size <= len(text) else None
             end = _body_end(body[0], size) if body else None
-            if end is not None and not is_der_key(_decoded_body(body[0][:end], urlsafe)[:size]):
-                end = None
+            if end is not None:
+                kind = der_kind(_decoded_body(body[0][:end], urlsafe)[:size])
         elif head.startswith(SSH_MAGIC) or head[4:].startswith(SSH_KINDS):
-            kind, body = 4, pattern.match(text, start)
+            kind, body = SSH, pattern.match(text, start)
             end = _ssh_end(body[0], _decoded_body(body[0], urlsafe))
-        if end is not None:
+        if kind is not None and end is not None:
             end += start
             padded = end
             while padded < end + 2 and text[padded : padded + 1] == "=":
@@ -195,14 +229,34 @@ def _key_at(text: str, start: int) -> tuple[int, int] | None:
     return None
 
 
-def is_signed_token(header: str, payload: str) -> bool:
-    """The header is a JSON object naming an algorithm, the payload a JSON object."""
-    parts = [_decoded64(part, urlsafe=True) for part in (header, payload)]
+def _json_object(part: str) -> dict | None:
     try:
-        first, second = (json.loads(x) if x else None for x in parts)
+        found = json.loads(_decoded64(part, urlsafe=True) or b"null")
     except (ValueError, RecursionError):
-        return False
-    return isinstance(first, dict) and isinstance(first.get("alg"), str) and isinstance(second, dict)
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def is_signed_token(header: str, payload: str) -> bool:
+    """The header is a JSON object naming an algorithm, the payload a JSON object."""
+    first = _json_object(header)
+    return first is not None and isinstance(first.get("alg"), str) and _json_object(payload) is not None
+
+
+def is_sealed_token(header: str) -> bool:
+    """The header is a JSON object naming the algorithms of the key and of the content."""
+    first = _json_object(header)
+    return first is not None and isinstance(first.get("alg"), str) and isinstance(first.get("enc"), str)
+
+
+def _hex_key(run: str) -> tuple[int, int] | None:
+    """(kind number, length in characters) of the key that begins a run of hex digits."""
+    data = bytes.fromhex(run[: len(run) // 2 * 2])
+    if MIN_KEY <= (size := _der_size(data)) <= len(data) and (kind := der_kind(data[:size])):
+        return kind, 2 * size
+    if size := openssh_size(data):
+        return SSH, 2 * size
+    return (SSH, 2 * len(data)) if _public_ssh(data) else None
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -227,14 +281,15 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
             kind, at = found
             spans.append((m.start(), kind, at))
     for m in HEX_RUN.finditer(text):
-        data = bytes.fromhex(m[0])
-        if is_der_key(data):
-            spans.append((m.start(), 3, m.end()))
-        elif is_ssh_key(data):
-            spans.append((m.start(), 4, m.end()))
+        if found := _hex_key(m[0]):
+            spans.append((m.start(), found[0], m.start() + found[1]))
     if any(start in text for start in JSON_STARTS):
-        spans += [(m.start(), 5, m.end()) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
-    return spans
+        for m in SIGNED.finditer(text):
+            if is_signed_token(m[1], m[2]):
+                more = TWO_MORE.match(text, m.end())  # five parts are one token
+                spans.append((m.start(), TOKEN, more.end() if more else m.end()))
+        spans += [(m.start(), TOKEN, m.end()) for m in SEALED.finditer(text) if is_sealed_token(m[1])]
+    return sorted(set(spans))
 
 
 def spelled(spans: list[tuple[int, int, int]]) -> str:
@@ -242,9 +297,11 @@ def spelled(spans: list[tuple[int, int, int]]) -> str:
 
 
 def redacted(text: str, mask: str = "[SECRET]") -> str:
-    """The text with every (merged) span replaced."""
+    """The text with every (merged) span replaced, but for public keys."""
     out, at = [], 0
-    for start, _, end in sorted(base_spans(text) + confirmed_spans(text)):
+    for start, kind, end in sorted(base_spans(text) + confirmed_spans(text)):
+        if kind == PUBLIC:
+            continue
         if start >= at:
             out += [text[at:start], mask]
         at = max(at, end)

@@ -109,3 +109,97 @@ def test_scan_and_redact(spark):
     assert masked[0]["text"] == "[SECRET] and [SECRET]" and masked[1]["text"] is None and masked[3]["text"] == "clean"
     assert masked[3]["kept"] == "x"
     assert secrets.scan_secrets(frame(spark, [])).collect() == []
+
+
+NUMBER = der(0x02, b"\x01" * 32)
+ALGORITHM = der(0x30, der(0x06, b"*\x86H\x86\xf7\r\x01\x01\x01") + der(0x05, b""))
+SIGNATURE = der(0x30, NUMBER + NUMBER)
+PUBLIC = der(0x30, ALGORITHM + der(0x03, b"\0" + der(0x30, der(0x02, b"\x01" * 128) + der(0x02, b"\x01\0\x01"))))
+SEC1 = der(0x30, der(0x02, b"\x01") + der(0x04, b"k" * 32) + der(0xA0, der(0x06, b"*\x86H\xce=\x03\x01\x07")))
+DIGEST = der(0x30, ALGORITHM + der(0x04, b"d" * 32))
+
+
+def found(text):
+    return secrets.spelled(sorted(secrets.confirmed_spans(text)))
+
+
+@pytest.mark.parametrize("data, kind", [
+    (SEC1, "der"), (PKCS8, "der"), (RSA, "der"), (OPENSSH, "ssh"), (PUBLIC, "pub"),
+    (SIGNATURE, None), (DIGEST, None), (der(0x30, der(0x02, b"\x01" * 64) + der(0x02, b"\x01\0\x01")), None),  # modulus, exponent
+    (der(0x30, der(0x02, b"\0") + ALGORITHM + der(0x05, b"")), None),
+    (secrets.SSH_MAGIC + bytes(range(60)), None),  # the magic alone is no key
+    (OPENSSH[:-9], None), (OPENSSH.replace(b"none", b"no\0e", 1), None), (OPENSSH.replace(b"ssh-ed25519", b"abc-ed25519", 1), None),
+])
+@pytest.mark.parametrize("tail", [0, 2])
+def test_private_public_and_other(data, kind, tail):
+    """The same in base64 and in hex; keys end where their own lengths say."""
+    text = "k " + b64(data) + ("\nword" if tail else "")
+    assert found(text) == (f"{kind}:2:{2 + len(b64(data))}" if kind else "")
+    text = "k " + (data + b"\xab" * tail).hex().upper() + " end"
+    assert found(text) == (f"{kind}:2:{2 + 2 * len(data)}" if kind else "")
+
+
+def test_public_key_is_reported_and_stays():
+    text = "password=hunter22 " + b64(PUBLIC)
+    assert secrets.redacted(text) == "[SECRET] " + b64(PUBLIC)
+
+
+def test_tokens_of_five_parts_are_one_span():
+    sealed = url64(json.dumps({"alg": "dir", "enc": "A128GCM"}).encode()) + "." + "." + "i" * 16 + "." + "c" * 30 + "." + "t" * 22
+    assert found(f"x {sealed} y") == f"jwt:2:{2 + len(sealed)}"
+    assert found("x " + sealed.replace(".i", "k" * 20 + ".i")) == f"jwt:2:{2 + len(sealed) + 20}"
+    five = token({"alg": "HS256"}) + ".abcdefgh.ijklmnop"
+    assert found(f"x {five} y") == f"jwt:2:{2 + len(five)}"
+    assert found(f"x {token({'alg': 'HS256'})}. Next") == f"jwt:2:{2 + len(token({'alg': 'HS256'}))}"
+
+
+def leftmost(text, head, follows, least):
+    """Matches of a head and the characters that follow it, by trying every place."""
+    at, out = 0, []
+    while at < len(text):
+        end = head(at)
+        if end is None:
+            at += 1
+            continue
+        stop = end
+        while stop < len(text) and text[stop] in follows:
+            stop += 1
+        if stop == end:
+            at += 1
+            continue
+        if stop - (at if least[0] == "all" else end) >= least[1]:
+            out.append((at, stop))
+        at = stop
+    return out
+
+
+def test_base_spans_by_trying_every_place():
+    import random
+    import string
+
+    digits, upper = string.digits, string.ascii_uppercase
+    names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+    rng = random.Random(3)
+    pieces = [*names, "TOKEN", "Api_Key", "=", ":", " ", "  ", '"', "'", "abc", "hunter22", "/_.-+", "AKIA", "AKIAABCDEFGH", "0123456789AB", "deadbeef" * 3, "0a1b", "é", "\n"]
+    for _ in range(400):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 25)))
+
+        def assigned(at):
+            name = next((n for n in names if text[at : at + len(n)].lower() == n), None)
+            if name is None:
+                return None
+            at += len(name)
+            at += text[at : at + 1] in ("'", '"') and at < len(text)
+            while text[at : at + 1] == " ":
+                at += 1
+            if text[at : at + 1] not in (":", "=") or at >= len(text):
+                return None
+            at += 1
+            while text[at : at + 1] == " ":
+                at += 1
+            return at + (at < len(text) and text[at] in "'\"")
+
+        expected = [(a, 0, b) for a, b in leftmost(text, assigned, string.ascii_letters + digits + "+/_.=-", ("rest", 6))]
+        expected += [(a, 1, b) for a, b in leftmost(text, lambda i: i + 4 if text.startswith("AKIA", i) else None, upper + digits, ("all", 20))]
+        expected += [(a, 2, b) for a, b in leftmost(text, lambda i: i, digits + "abcdef", ("all", 24))]
+        assert secrets.base_spans(text) == sorted(expected)
