@@ -5,7 +5,7 @@ process of arrivals, as fast as its weight, to random registers; a register keep
 arrives first, so two documents agree in a register with their probability Jaccard similarity. A
 shingle stops once its next arrival is later than all registers' (early termination).
 
-Equal texts are one representative, the smallest id. Representatives that agree in a band share a
+Equal texts are one representative with a number of its own. Representatives that agree in a band share a
 bucket, and buckets that share a member form a cluster; only its members can be linked. Links are
 decided by exact similarity, and only those that span a class are kept:
 
@@ -17,8 +17,10 @@ decided by exact similarity, and only those that span a class are kept:
 So no link between classes is lost, and the pairs of a cluster are never listed.
 
 Defined results: a text of one to four words is one shingle; null and word-free texts are never
-linked, not even with each other; equal rows are copies; rows without an id are left out; an empty
-table gives an empty result.
+linked, not even with each other; equal rows are copies; ids may be missing or repeat, as every row is
+judged by its own text: a class is named by the smallest id in it, and its rows with another id or
+none are not kept; a class without any id has no name, and all its rows are kept; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souk.llm.common import (
@@ -278,22 +280,40 @@ def near_links(members: DataFrame, texts: DataFrame, similarity: float = SIMILAR
     return links.union(block_links(small.union(left), texts, similarity))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``kept``."""
-    signed = stored(corpus(docs).where("doc_id is not null").mapInArrow(_sign, SIGNATURES), "signatures")
-    # copies of a text have equal bands
-    reps = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("bands").alias("bands")), "representatives")
+def text_digest(text: Column) -> Column:
+    """The digest that :func:`judged_texts` tells texts apart by; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def judged_texts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: ``doc_id``, ``digest`` of its text, ``class_id``, ``kept``."""
+    signed = stored(corpus(docs).mapInArrow(_sign, SIGNATURES), "signatures")
+    # copies of a text have equal bands; the numbers hold once they are written
+    texts = signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("bands").alias("bands"))
+    reps = stored(texts.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     buckets = reps.select("rep", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
     stars = buckets.join(stored(shared.select("key", "hub"), "buckets"), "key").where("rep <> hub")
     clusters = components(stars, "hub", "rep").select(F.col("vertex").alias("rep"), F.col("component").alias("cluster"))
-    members = stored(reps.select("rep", "bands").join(clusters, "rep").select("cluster", "rep", "bands"), "cluster-members")
-    texts = corpus(docs).join(members.select(F.col("rep").alias("doc_id")), "doc_id")
-    texts = stored(texts.dropDuplicates(["doc_id"]) , "involved-texts")
+    members = stored(reps.join(clusters, "rep").select("cluster", "rep", "bands", "first_id", "digest"), "cluster-members")
+    wanted = members.select(F.col("rep").alias("number"), "first_id", "digest")
+    own = F.col("doc_id").eqNullSafe(F.col("first_id")) & (text_digest(F.col("text")) == F.col("digest"))
+    texts = corpus(docs).join(wanted, own).select(F.col("number").alias("doc_id"), "text")
+    texts = stored(texts.dropDuplicates(["doc_id"]), "involved-texts")
+    members = members.select("cluster", "rep", "bands")
     found = components(near_links(members, texts, similarity), "hub", "rep").select(F.col("vertex").alias("rep"), "component")
-    classes = reps.select("digest", "rep").join(found, "rep", "left")
-    classes = stored(classes.select("digest", F.coalesce("component", "rep").alias("class_id")), "classes")
+    found = stored(reps.select("digest", "rep", "first_id").join(found, "rep"), "linked-texts")
+    names = found.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    linked = found.join(names, "component").select("digest", F.lit(True).alias("linked"), "class_id")
+    named = F.when(F.col("linked"), F.col("class_id")).otherwise(F.col("first_id"))
+    classes = reps.select("digest", "first_id").join(linked, "digest", "left").select("digest", named.alias("class_id"))
+    classes = stored(classes, "classes")
     class_id = F.when(F.col("bands").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return signed.join(classes, "digest").select("doc_id", class_id.alias("class_id")).withColumn(
-        "kept", F.col("doc_id") == F.col("class_id")
-    )
+    kept = F.col("class_id").isNull() | F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))
+    judged = signed.join(classes, "digest").select("doc_id", "digest", class_id.alias("class_id"))
+    return judged.withColumn("kept", kept)
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``kept``."""
+    return judged_texts(docs, similarity).drop("digest")

@@ -14,8 +14,8 @@ bases, which the successors' shards know, and its gains. Pairs that make up a ``
 pairs or more are answered where they are met, so no shard gets more than a small share of the tokens.
 
 Defined results: null and empty texts are one token, the end mark; equal rows are scored one by one;
-without training text every token has the unseen probability; rows without an id are left out; an
-empty table gives an empty result.
+without training text every token has the unseen probability; rows without an id are scored, but have
+no remainder: nothing is learned from them and ``held_out`` is null; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -446,8 +446,9 @@ def ask(docs: DataFrame, words: Words, keys: list[int]) -> DataFrame:
 
     def flush(key: int, ids: list, sums: list, pairs: list, rare: dict) -> pa.RecordBatch:
         local = np.concatenate(sums, axis=1).astype(float)  # all are integers where no word is frequent
-        doc_ids = np.concatenate(ids)
-        rows = [(int(names[key % n_shards]), LOCAL, key, doc_ids.tobytes(), None, local.tobytes())]
+        doc_ids, missing = (np.concatenate(x) for x in zip(*ids))
+        named = doc_ids.tobytes() + (np.packbits(missing).tobytes() if missing.any() else b"")
+        rows = [(int(names[key % n_shards]), LOCAL, key, named, None, local.tobytes())]
         for kind, parts in ((PAIRS, pairs), *rare.items()):
             asked, other, doc = (np.concatenate(x) for x in zip(*parts))
             spread = mixed(asked) if kind == PAIRS else asked
@@ -478,7 +479,7 @@ def ask(docs: DataFrame, words: Words, keys: list[int]) -> DataFrame:
                 score = score + np.bincount(owner[hot], words.hot_values[at[hot]], n)
                 key, owner = key[~hot], owner[~hot]
             sums.append(np.stack([np.bincount(doc, minlength=n), np.bincount(doc[common], minlength=n), base, score]))
-            ids.append(numbers(batch, "doc_id").astype(np.int64))
+            ids.append((batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)))
             pairs.append((key, key, owner + first))
             for kind, (anchors, others, at) in zip(rare, rare_pairs(words, hashes, word, before)):
                 if kind == SUCCESSOR:  # gains after rarer contexts come from those
@@ -493,7 +494,7 @@ def ask(docs: DataFrame, words: Words, keys: list[int]) -> DataFrame:
         if ids:
             yield flush(part << 24 | count, ids, sums, pairs, rare)
 
-    return docs.where("doc_id is not null").mapInArrow(questions, MESSAGE)
+    return docs.mapInArrow(questions, MESSAGE)
 
 
 ANSWER = "flush long, ids binary, docs binary, sums binary"
@@ -544,8 +545,11 @@ SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score dou
 def _collected(group: pd.DataFrame) -> pd.DataFrame:
     """The texts of one group with all their answers."""
     local = group[group["ids"].notna()].iloc[0]
-    doc_ids = np.frombuffer(local["ids"], np.int64)
     total = np.frombuffer(local["sums"], float).reshape(4, -1).copy()
+    n = total.shape[1]
+    values, marks = np.frombuffer(local["ids"], np.int64, n), np.frombuffer(local["ids"], np.uint8, offset=8 * n)
+    missing = np.unpackbits(marks, count=n).astype(bool) if len(marks) else np.zeros(n, bool)
+    doc_ids = pd.arrays.IntegerArray(values.copy(), missing)
     for docs, sums in zip(group["docs"], group["sums"]):
         if docs is not None:
             total[1:, unplanes(docs, np.uint32)] += np.frombuffer(sums, float).reshape(3, -1)

@@ -16,8 +16,8 @@ A group sends equal segments once, with their smallest id, so copies and common
 reduced before they are shuffled.
 
 Defined results: null and empty texts have no bytes and lose none; texts under 50 bytes are kept; rows
-with equal ids do not remove each other; rows without an id are left out; an empty table gives an
-empty result.
+with equal ids do not remove each other; rows without an id have no place in the order: they lose nothing
+and take nothing from others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -472,4 +472,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kept = [f for f in docs.schema.fields if f.name not in ("n_bytes", "n_removed", "n_spans", "kept")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", {extra}"
     fields = [f.name for f in kept] + [x.split()[0] for x in extra.split(", ")]
-    return by_group(rows, told).applyInArrow(cut_group(len(keys), names, fields), schema)
+    cut = by_group(rows, told).applyInArrow(cut_group(len(keys), names, fields), schema)
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    none = F.lit(0).cast("long")
+    whole = [F.length(data).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), data.alias("kept")]
+    unnumbered = docs.where("doc_id is null").select(*[docs[f"`{f.name}`"] for f in kept], *whole)
+    return cut.union(unnumbered)

@@ -144,3 +144,21 @@ def removed_texts(rows, span=50):
             at += size
         out[doc] = "".join(kept)
     return out
+
+
+def near_names(rows, similarity=0.8):
+    """(class, kept) of each row by its own text, whatever its id: the class is its smallest id."""
+    least = near_classes([(i, r[1]) for i, r in enumerate(rows)], similarity)
+    same = {}
+    for i, r in enumerate(rows):
+        if shingles(r[1]):
+            same.setdefault(r[1], []).append(i)
+    least = classes(list(least), [*least.items(), *((i, found[0]) for found in same.values() for i in found)])
+    members = {}
+    for i, root in least.items():
+        members.setdefault(root, []).append(rows[i][0])
+    out = []
+    for i, r in enumerate(rows):
+        name = min((x for x in members[least[i]] if x is not None), default=None) if shingles(r[1]) else r[0]
+        out.append((name, name is None or r[0] == name))
+    return out
