@@ -4,11 +4,12 @@ A cell of the filter has one bit per language, in words of 64 bits at most; the
 all languages that may contain it. For each text the bits are counted per language, the counts are
 corrected for the filters' false positives, and the language with the largest share wins.
 
-An n-gram belongs to a language if it makes up at least ``MIN_RATE`` of that language's n-grams and
-``MIN_SHARE`` of its highest rate in any language. So a filter has at most ``1 / MIN_RATE``
-entries per language, whatever the size of the corpus, and stray foreign passages do not enter it.
+An n-gram belongs to a language if its rate there is at least ``MIN_SHARE`` of its highest rate in any
+language, so that stray foreign passages do not count; how often it occurs does not matter. Tasks set the
+bits of their n-grams and the parts are combined by OR: no list of n-grams leaves the executors, and the
+filter has at most ``1 << MAX_BITS`` cells, beyond which only its false positives (which are corrected) grow.
 
-Defined results: ``und`` with score 0 for a null text or one without a letter, and for all texts
+Defined results: rows without an id are no training texts and have a null ``held_out``; ``und`` with score 0 for a null text or one without a letter, and for all texts
 if nothing could be learned; ties go to the first language by name; a text with letters but no known
 n-gram gets the first language with score 0; equal rows are judged alike; an empty table gives an
 empty result.
@@ -23,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.llm.common import U64, corpus, fold, lowered, mixed, slices, stored
+from souk.llm.common import U64, corpus, fold, lowered, mixed, numbers, slices, stored
 
 FOLDS, HELD_OUT = 3, 1
-MIN_RATE, MIN_SHARE = 1e-5, 0.1
+MIN_SHARE = 0.1
 HASHES = 3
 CELLS_PER_ENTRY = 12
+MAX_BITS = 24
+PART = 1 << 14  # cells in one part of the filter
 WORD = 64  # languages in one word of a cell
 UNDETERMINED = "und"
 
@@ -84,36 +87,33 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def places(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The cells of each n-gram."""
+    spread = mixed(keys.astype(U64) + U64(1))
+    for i in range(HASHES):
+        own = spread >> U64(21 * i) if bits <= 21 else mixed(spread + U64(i))
+        yield (own & U64((1 << bits) - 1)).astype(np.int64)
+
+
+def cell_type(languages: int) -> type:
+    return next(t for size, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, U64)) if min(languages, WORD) <= size)
+
+
 class LanguageFilter:
     """The filter: one mask per cell, bit ``l % WORD`` of its word ``l // WORD`` for language ``l``."""
 
-    def __init__(self, languages: list[str], entries: list[tuple[str, int]]):
-        self.languages = sorted(languages)
-        number = {lang: i for i, lang in enumerate(self.languages)}
-        per_language = np.bincount([number[lang] for lang, _ in entries], minlength=1).max() if entries else 1
-        self.bits = int(CELLS_PER_ENTRY * max(per_language, 64) - 1).bit_length()
-        kind = next(t for size, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, U64)) if min(len(languages), WORD) <= size)
-        self.cells = np.zeros((-(-max(len(languages), 1) // WORD), 1 << self.bits), kind)
-        keys = np.array([gram for _, gram in entries], U64)
-        numbers = np.array([number[lang] for lang, _ in entries], np.int64)
-        masks = kind(1) << (numbers % WORD).astype(kind)
-        for places in self._places(keys):
-            np.bitwise_or.at(self.cells, (numbers // WORD, places), masks)
-        filled = [float((self.cells[i // WORD] >> kind(i % WORD) & kind(1)).mean()) for i in range(len(self.languages))]
+    def __init__(self, languages: list[str], cells: np.ndarray):
+        self.languages, self.cells = languages, cells
+        self.bits = cells.shape[1].bit_length() - 1
+        kind = cells.dtype.type
+        filled = [float((cells[i // WORD] >> kind(i % WORD) & kind(1)).mean()) for i in range(len(languages))]
         self.false_rate = np.array(filled) ** HASHES
 
-    def _places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
-        spread = mixed(keys.astype(U64) + U64(1))
-        for i in range(HASHES):
-            yield (spread >> U64(21 * i) & U64((1 << min(self.bits, 21)) - 1)).astype(np.int64) if self.bits <= 21 else (
-                mixed(spread + U64(i)) & U64((1 << self.bits) - 1)
-            ).astype(np.int64)
-
     def masks(self, keys: np.ndarray) -> np.ndarray:
         """Languages that may contain each n-gram, a row per word of the cells."""
         found = None
-        for places in self._places(keys):
-            cells = self.cells[:, places]
+        for at in places(keys, self.bits):
+            cells = self.cells[:, at]
             found = cells if found is None else found & cells
         return found
 
@@ -128,20 +128,61 @@ class LanguageFilter:
         return out
 
 
+PARTS = "word int, part int, cells binary"
+
+
+def set_bits(bits: int, languages: int):
+    """The parts of the filter that the (gram, language) rows of a task set."""
+    kind = cell_type(languages)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros((-(-languages // WORD), 1 << bits), kind)
+        for batch in batches:
+            language = numbers(batch, "language").astype(np.int64)
+            mask = kind(1) << (language % WORD).astype(kind)
+            for at in places(numbers(batch, "gram"), bits):
+                np.bitwise_or.at(cells, (language // WORD, at), mask)
+        parts = cells.reshape(len(cells), -1, min(PART, 1 << bits))
+        for word, part in np.argwhere(parts.any(axis=2)).tolist():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([word], pa.int32()), pa.array([part], pa.int32()), pa.array([parts[word, part].tobytes()])], ["word", "part", "cells"]
+            )
+
+    return build
+
+
+def _either(table: pa.Table) -> pa.Table:
+    """All parts of one place in one; the bits do not depend on the type of a cell."""
+    cells = None
+    for x in table.column("cells").to_pylist():
+        part = np.frombuffer(x, np.uint8)
+        cells = part.copy() if cells is None else np.bitwise_or(cells, part, out=cells)
+    return table.slice(0, 1).set_column(2, "cells", pa.array([cells.tobytes()]))
+
+
 def learn_languages(training: DataFrame) -> LanguageFilter:
     """The filter from (doc_id, text, lang): counts of all texts, combined before the shuffle."""
     counts = training.where("lang is not null and text is not null").mapInArrow(_count, "lang string, gram long, n long")
     counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")  # read twice
-    sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not sums:
-        return LanguageFilter([], [])
-    size = F.create_map(*[F.lit(x) for pair in sums.items() for x in pair])
-    rates = counts.withColumn("rate", F.col("n") / size[F.col("lang")]).where(F.col("rate") >= MIN_RATE)
-    # at most 1 / MIN_RATE rows per language are left
-    by_gram = rates.groupBy("gram").agg(F.collect_list(F.struct("lang", "rate")).alias("of"), F.max("rate").alias("most"))
+    sums = {r["lang"]: r for r in counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
+    languages = sorted(sums)
+    kind = cell_type(len(languages))
+    if not languages:
+        return LanguageFilter([], np.zeros((1, 1), kind))
+    entries = max(r["kinds"] for r in sums.values())
+    bits = min(MAX_BITS, int(CELLS_PER_ENTRY * max(entries, 64) - 1).bit_length())
+    table = [x for i, lang in enumerate(languages) for x in (F.lit(lang), F.struct(F.lit(i).alias("i"), F.lit(sums[lang]["n"]).alias("n")))]
+    of = F.create_map(*table)[F.col("lang")]
+    rates = counts.select("gram", of["i"].alias("language"), (F.col("n") / of["n"]).alias("rate"))
+    # a row per language at most
+    by_gram = rates.groupBy("gram").agg(F.collect_list(F.struct("language", "rate")).alias("of"), F.max("rate").alias("most"))
     kept = by_gram.select("gram", F.explode("of").alias("of"), "most").where(F.col("of.rate") >= MIN_SHARE * F.col("most"))
-    entries = [(r["lang"], r["gram"]) for r in kept.select("of.lang", "gram").collect()]
-    return LanguageFilter(list(sums), entries)
+    parts = kept.select("gram", "of.language").mapInArrow(set_bits(bits, len(languages)), PARTS)
+    cells = np.zeros((-(-len(languages) // WORD), 1 << bits), kind)
+    width = min(PART, 1 << bits)
+    for r in parts.groupBy("word", "part").applyInArrow(_either, PARTS).toLocalIterator():  # the cells of the filter, at most
+        cells[r["word"], r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["cells"], kind)
+    return LanguageFilter(languages, cells)
 
 
 def predict_languages(docs: DataFrame, model: LanguageFilter) -> DataFrame:
