@@ -1,15 +1,15 @@
 """Quality by importance resampling with hashed n-gram models.
 
 Two generative models share one set of hashed word n-grams: the raw model counts all documents, the
-target model the labelled good ones. A document's importance is its mean log ratio of the two, times
-a fixed length, so that long texts do not outweigh short ones; Gumbel noise, fixed by the id, turns
+target model the labelled good ones. A document's importance is the ratio of its probabilities in the
+two, so its logarithm is the sum over all n-grams; Gumbel noise, fixed by the id, turns
 the ``k`` largest perturbed importances into a sample without replacement. By default
 ``k`` is the labelled share of good documents, so that documents like the target are kept.
 
 The target model takes at most ``MAX_TARGETS`` labelled documents, chosen by a hash of their id; all
 statistics of the raw text and all scores cover all documents.
 
-Defined results: texts without words have the smallest importance; ties go to the smaller id;
+Defined results: texts without words have the smallest importance (``LOWEST``); ties go to the smaller id;
 labels without a document are ignored and a document labelled twice is good if any label
 says so; without labels all importances are equal; an empty table gives an empty result.
 """
@@ -28,10 +28,9 @@ from souk.llm.common import (
 )
 
 BUCKETS = 1 << 16
-LENGTH = 200.0
 MAX_TARGETS = 20_000
 SMOOTHING = 1.0
-LOWEST = -1e6
+LOWEST = -1e12
 SEED, NOISE_SEED = 17, 18  # the draw of the target documents and the noise must not depend on each other
 
 
@@ -82,7 +81,7 @@ def importances(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             n = batch.num_rows
             bucket, doc = features(data, offsets)
             size = np.bincount(doc, minlength=n)
-            weight = np.where(size > 0, LENGTH * np.bincount(doc, ratios[bucket], n) / np.maximum(size, 1), LOWEST)
+            weight = np.where(size > 0, np.bincount(doc, ratios[bucket], n), LOWEST)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight)], ["doc_id", "log_weight"])
 
     weights = corpus(docs).mapInArrow(score, "doc_id long, log_weight double")
