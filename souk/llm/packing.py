@@ -1,8 +1,10 @@
 """Packing tokenized documents into sequences by cutting-stock column generation.
 
-Documents longer than a sequence give full pieces and one rest. The rests' lengths, in steps of
-``STEP`` tokens, are a cutting-stock problem over at most ``size / STEP`` demands: a linear program
-over patterns, whose columns a knapsack dynamic program prices. Rounded patterns and the few
+Documents longer than a sequence give full pieces and one rest. Rests of ``FINE`` tokens or more are
+counted in steps of ``STEP`` tokens, rounded up; shorter ones are counted by their exact length, and as many
+of one length as fill whole steps (``2 * FINE`` tokens at most) are one unit, so rounding costs under
+``STEP / FINE`` of a sequence however short the documents are. The units' steps
+are a cutting-stock problem over at most ``size / STEP`` demands: a linear program over patterns, whose columns a knapsack dynamic program prices. Rounded patterns and the few
 patterns that pack what rounding left are a plan as small as the histogram. Pieces are ranked
 within their length class without a global sort, and the plan turns a rank into a sequence.
 
@@ -12,6 +14,7 @@ told apart by id and place; repeated rows are packed one by one; an empty table
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from collections.abc import Iterator
@@ -19,7 +22,7 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from souk.llm.bpe import byte_letters
@@ -27,6 +30,7 @@ from souk.llm.common import corpus, shards, stored, strings
 
 SIZE = 4096
 STEP = 8
+FINE = 256
 END_ID = 2
 MEMO_ENTRIES = 500_000
 MARKS = ".,;:!?#*$%&|<>"  # not the apostrophe, which can begin a match of its own
@@ -226,13 +230,40 @@ def packing_plan(lengths: dict[int, int], size: int = SIZE, step: int = STEP) ->
     return plan
 
 
+def piece_class(length: Column, step: int = STEP) -> Column:
+    """The exact length below ``FINE`` tokens, whole steps above."""
+    return F.when(length < FINE, length).otherwise(F.ceil(length / step) * step).cast("int")
+
+
+def unit_plan(lengths: dict[int, int], size: int = SIZE, step: int = STEP) -> list[tuple[int, int, int, int, int, int]]:
+    """(class, first rank, pieces of a unit, units before it in its pattern, units in a sequence, first sequence).
+
+    The classes are those of :func:`piece_class`; a row holds up to the next one of its class.
+    """
+    units: dict[int, list[tuple[int, int, int, int]]] = {}  # steps -> (class, pieces of a unit, first rank, units)
+    for length, n in sorted(lengths.items()):
+        each = max(1, min(step // math.gcd(length, step), 2 * FINE // length, size // length)) if length < FINE else 1
+        for pieces, first, count in ((each, 0, n // each), (1, n - n % each, n % each)):
+            if count:
+                units.setdefault(-(-pieces * length // step), []).append((length, pieces, first, count))
+    rows = []
+    for steps, first, after, sequence, per in packing_plan({k: sum(u[3] for u in found) for k, found in units.items()}, size, step):
+        at = 0
+        for length, pieces, rank, count in units[steps]:
+            begin = max(first, at)
+            if begin < min(after, at + count):
+                rows.append((length, rank + (begin - at) * pieces, pieces, begin - first, per, sequence))
+            at += count
+    return sorted(rows)
+
+
 def pack_documents(docs: DataFrame, path: str, size: int = SIZE, step: int = STEP, end_id: int = END_ID) -> DataFrame:
     """Every piece with its sequence and offset."""
     spark = docs.sparkSession
     group = [F.col("class"), F.col("bucket")]
     pieces = stored(
         cut_pieces(docs, path, size, end_id)
-        .withColumn("class", F.ceil(F.col("length") / step).cast("int"))
+        .withColumn("class", piece_class(F.col("length"), step))
         .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(2 * shards(spark))).cast("int")),
         "pieces",
     )
@@ -240,19 +271,19 @@ def pack_documents(docs: DataFrame, path: str, size: int = SIZE, step: int = STE
     # ranks within a class: a count per bucket, then places within the bucket
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = stored(counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))), "ranks")
-    # at most size / step rows, whatever the size of the corpus
+    # at most FINE + size / step rows, whatever the size of the corpus
     lengths = {r["class"]: r["n"] for r in firsts.groupBy("class").agg(F.sum("count").alias("n")).collect()}
-    plan = sorted(packing_plan(lengths, size, step))
-    table = np.array(plan, np.int64).reshape(len(plan), 5)
+    table = np.array(unit_plan(lengths, size, step), np.int64).reshape(-1, 6)
     keys = (table[:, 0] << 44) + table[:, 1]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
             found = np.searchsorted(keys, (of["class"].astype(np.int64) << 44) + of["rank"], side="right") - 1
-            copy, slot = np.divmod(of["rank"] - table[found, 1], table[found, 4])
+            unit = (of["rank"] - table[found, 1]) // table[found, 2] + table[found, 3]
+            copy, slot = np.divmod(unit, table[found, 4])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(5)), pa.array(table[found, 3] + copy), pa.array((of["class"] << 16) + slot)],
+                [*(batch.column(i) for i in range(5)), pa.array(table[found, 5] + copy), pa.array((of["class"] << 16) + slot)],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"],
             )
 
