@@ -783,6 +783,14 @@ ORACLE: dict[str, str] = {
     "stream_dedupe": sql(
         "v_messages", f"""SELECT id AS event_id, {stamp('ts')} AS event_time, id AS "offset" FROM v_messages WHERE {ON_TIME}"""
     ),
+    # a purchase or sign-up is paid (id mod 121) minutes later; the last orders are still open
+    "stream_unpaid_orders": f"""
+        WITH paid AS (SELECT event_id, ts + to_minutes(event_id % 121) AS paid_at FROM events WHERE event_type IN ('purchase', 'signup')),
+             clock AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(paid_at) FROM paid)) - INTERVAL 12 HOUR AS clock_time)
+        SELECT CAST(e.event_id AS VARCHAR) AS order_id, CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS total_amount, {stamp('ts')} AS event_time
+        FROM events e, clock
+        WHERE ts + INTERVAL 1 HOUR < clock_time
+          AND NOT EXISTS (SELECT 1 FROM paid p WHERE p.event_id = e.event_id AND paid_at <= ts + INTERVAL 1 HOUR)""",
     "stream_hourly_revenue": sql("v_event_orders", HOURLY.format(period=f"AND order_{ON_TIME}")),
     "stream_topic_throughput": sql("v_messages", THROUGHPUT.replace("GROUP BY", f"WHERE {ON_TIME} GROUP BY")),
 }

@@ -52,7 +52,7 @@ from souk.sources.schemas import (
     key_bucket,
 )
 from souk.sources.tables import conform, create_all, read_table
-from souk.streaming import checked, event_tables, flat_tables, windows
+from souk.streaming import checked, event_tables, flat_tables, unpaid, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1034,6 +1034,22 @@ def stream_topic_throughput(spark, sf):
 
 
 
+@query
+def stream_unpaid_orders(spark, sf):
+    """Purchases and sign-ups are paid up to two hours later, other orders never; an hour is in time."""
+    root = run_dir(spark, "unpaid")
+    orders = b.event_orders_from(_events(spark, sf), "order_id", "total_amount", "event_time")
+    orders = orders.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    paid = _events(spark, sf).filter(F.col("event_type").isin("purchase", "signup"))
+    order_id = F.col("event_id").cast("string")
+    after = F.make_dt_interval(mins=(F.col("event_id") % 121).cast("int"))
+    payments = paid.select(
+        order_id.alias("payment_id"), order_id.alias("order_id"), (F.col("ts").cast("timestamp") + after).alias("event_time")
+    )
+    _finish(unpaid.run(orders, payments, f"{root}/table", f"{root}/checkpoint", trigger=None, within="60 minutes", delay="12 hours"))
+    return spark.read.schema(orders.schema).parquet(f"{root}/table").select(*orders.columns)
+
+
 @query
 def stream_observed_checks(spark, sf):
     """The log of a stream's checks, added up over its batches; the first batch is logged twice."""

@@ -95,11 +95,11 @@ def run_hourly_revenue(
     return keep_table(hourly_revenue(orders, delay), HOURLY_REVENUE, root, checkpoint, trigger)
 
 
-def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+def to_files(stream: DataFrame, path: str, checkpoint: str, trigger: str | None, mode: str = "update") -> StreamingQuery:
     """Add a stream's rows, or the groups that change, to Parquet files: a folder per batch, which a repeated
     batch replaces. Read them with the stream's own columns."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_number={number}")
 
-    return start(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
+    return start(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint, trigger)
