@@ -2,8 +2,8 @@
 
 Documents longer than a sequence give full pieces and one rest. Rests of ``FINE`` tokens or more are
 counted in steps of ``STEP`` tokens, rounded up; shorter ones are counted by their exact length, and as many
-of one length as fill whole steps (``2 * FINE`` tokens at most) are one unit, so rounding costs under
-``STEP / FINE`` of a sequence however short the documents are. The units' steps
+of one length as fill whole steps (``8 * FINE`` tokens at most) are one unit, so rounding costs under
+``STEP / FINE`` of a piece however short the documents are. The units' steps
 are a cutting-stock problem over at most ``size / STEP`` demands: a linear program over patterns, whose columns a knapsack dynamic program prices. Rounded patterns and the few
 patterns that pack what rounding left are a plan as small as the histogram. Pieces are ranked
 within their length class without a global sort, and the plan turns a rank into a sequence.
@@ -30,7 +30,7 @@ from souk.llm.common import corpus, shards, stored, strings
 
 SIZE = 4096
 STEP = 8
-FINE = 256
+FINE = 64
 END_ID = 2
 MEMO_ENTRIES = 500_000
 MARKS = ".,;:!?#*$%&|<>"  # not the apostrophe, which can begin a match of its own
@@ -242,7 +242,7 @@ def unit_plan(lengths: dict[int, int], size: int = SIZE, step: int = STEP) -> li
     """
     units: dict[int, list[tuple[int, int, int, int]]] = {}  # steps -> (class, pieces of a unit, first rank, units)
     for length, n in sorted(lengths.items()):
-        each = max(1, min(step // math.gcd(length, step), 2 * FINE // length, size // length)) if length < FINE else 1
+        each = max(1, min(step // math.gcd(length, step), 8 * FINE // length, size // length)) if length < FINE else 1
         for pieces, first, count in ((each, 0, n // each), (1, n - n % each, n % each)):
             if count:
                 units.setdefault(-(-pieces * length // step), []).append((length, pieces, first, count))
