@@ -12,6 +12,8 @@ frequent one in the shard of the successor, and what follows a rarer word in the
 Pairs with a rarer word are stored by what they gain over the base, so a text's score is the sum of its
 bases, which the successors' shards know, and its gains. Pairs that make up a ``HOT_PAIRS``-th of all
 pairs or more are answered where they are met, so no shard gets more than a small share of the tokens.
+All values are quantised in the same steps, whose range follows from the number of training tokens, so a
+score does not depend on the number of shards.
 
 Defined results: null and empty texts are one token, the end mark; equal rows are scored one by one;
 without training text every token has the unseen probability; rows without an id are scored, but have
@@ -82,6 +84,9 @@ class Words:
         self.start = len(hashes)
         self.total, self.norm = total, total + 0.5 * (distinct + 1)
         self.base = np.log10((counts + 0.5) / self.norm)
+        # a counted pair keeps at least 1 - DISCOUNT of a context's count, and a word's base is 1.5 / norm at least
+        lowest = float(np.log10((1 - DISCOUNT) / max(total, 1)))
+        self.probabilities, self.gains = (lowest, 0.0), (lowest, float(np.log10(self.norm / 1.5 + 1)))
         self.context_counts = np.append(counts, texts).astype(float)
         self.backoff = np.zeros(len(hashes) + 1)  # log10, filled in once the pairs are counted
         self.hot_keys = np.zeros(0, U64)
@@ -326,7 +331,9 @@ def fit_backoff(words: Words, pairs: DataFrame, rare: DataFrame) -> None:
     keys = hot["pair"].to_numpy(np.int64).view(U64)
     order = np.argsort(keys)
     words.hot_keys = keys[order]
-    words.hot_values = words.log_probability(keys, hot["n"].to_numpy(float))[order] if len(keys) else np.zeros(0)
+    if len(keys):  # as a trie has them
+        steps = elias_fano.quantised(words.log_probability(keys, hot["n"].to_numpy(float)), *words.probabilities)
+        words.hot_values = elias_fano.restored(steps, *words.probabilities)[order]
 
 
 MESSAGE = "shard long, kind int, flush long, keys binary, docs binary, numbers binary"
@@ -348,15 +355,17 @@ def build_tries(pairs: DataFrame, words: Words) -> DataFrame:
                 pair, n = unpacked(keys), unplanes(counts, np.int64)
                 context, successor = (pair // U64(WIDTH)).astype(np.int64), (pair % U64(WIDTH)).astype(np.int64)
                 value = words.log_probability(pair, n.astype(float))
-                yield _message([(shard, TRIE, 0, elias_fano.trie(context, successor, value, WIDTH), None, None)])
+                yield _message([(shard, TRIE, 0, elias_fano.trie(context, successor, value, WIDTH, words.probabilities), None, None)])
 
     return pairs.mapInArrow(build, MESSAGE)
 
 
-def _rare_trie(shard: int, kind: int, first: np.ndarray, at: np.ndarray, others: np.ndarray, gain: np.ndarray, per_first: np.ndarray) -> tuple:
+def _rare_trie(
+    words: Words, shard: int, kind: int, first: np.ndarray, at: np.ndarray, others: np.ndarray, gain: np.ndarray, per_first: np.ndarray
+) -> tuple:
     """A trie over the places of a shard's words, with those words and a number for each first one."""
     second, successor = np.unique(others, return_inverse=True)
-    trie = elias_fano.trie(at, successor, gain, len(second) + 1)
+    trie = elias_fano.trie(at, successor, gain, len(second) + 1, words.gains)
     return shard, kind, 0, trie, packed(first) + packed(second), per_first.tobytes()
 
 
@@ -374,7 +383,7 @@ def build_rare_tries(rare: DataFrame, words: Words, keys: list[int]) -> DataFram
                 at, n, context = at[frequent], n[frequent], contexts[frequent].astype(np.int64)
                 direct = (n - DISCOUNT) / words.context_counts[context]
                 gain = np.log10(direct / 10.0 ** words.base_of(totals[at]) + 10.0 ** words.backoff[context])
-                yield _message([_rare_trie(shard, OF_SUCCESSORS, first, at, contexts[frequent], gain, totals)])
+                yield _message([_rare_trie(words, shard, OF_SUCCESSORS, first, at, contexts[frequent], gain, totals)])
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,7 +415,7 @@ def build_rare_tries(rare: DataFrame, words: Words, keys: list[int]) -> DataFram
         total = np.bincount(at, n)  # each token but the end mark has one successor, so this is the word's count
         backoff = DISCOUNT * np.bincount(at) / total
         gain = np.log10((n - DISCOUNT) / (total[at] * 10.0**base) + backoff[at])
-        row = _rare_trie(group["shard"].iloc[0], OF_CONTEXTS, first, at, others, gain, np.log10(backoff))
+        row = _rare_trie(words, group["shard"].iloc[0], OF_CONTEXTS, first, at, others, gain, np.log10(backoff))
         return pd.DataFrame([row], columns=[part.split()[0] for part in MESSAGE.split(", ")])
 
     after_rare = rare.mapInArrow(dealt, schema).groupBy("shard").applyInPandas(by_context, MESSAGE)

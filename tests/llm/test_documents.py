@@ -184,7 +184,7 @@ def test_all_pairs_count_whatever_is_frequent(spark, monkeypatch, frequent):
     for doc, (held, n, known, total, base) in base_scores(rows).items():
         assert found[doc][:4] == (held, n, known, total)
         assert found[doc][4] == pytest.approx(base, rel=1e-9)
-    # 256 values per trie
+    # values of twelve bits
     for doc, score in pair_scores(rows).items():
         assert found[doc][5] == pytest.approx(score, rel=2e-3)
 
@@ -230,6 +230,39 @@ def test_trie_finds_what_it_holds(tmp_path_factory, pairs):
     assert np.allclose(got[: len(ordered)], value, atol=1.0)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 1 << 40)), min_size=1, max_size=400), st.lists(st.integers(0, 1 << 41), max_size=50))
+def test_sequence_places_and_successors(values, asked):
+    values, asked = np.sort(np.array(values, np.int64)), np.array([*values, *asked, 0], np.int64)
+    sequence = elias_fano.Sequence(np.frombuffer(elias_fano.encode(values), np.uint8))
+    assert sequence.at(np.arange(len(values))).tolist() == values.tolist()
+    assert sequence.successor(asked).tolist() == np.searchsorted(values, asked).tolist()
+
+
+def test_opened_level_stays_packed():
+    values = np.cumsum(np.random.default_rng(2).integers(0, 5000, 300_000))
+    data = elias_fano.encode(values)
+    sequence = elias_fano.Sequence(np.frombuffer(data, np.uint8))
+    assert sequence.ones.nbytes + sequence.zeros.nbytes < 0.5 * len(values) and len(data) < 2.2 * len(values)
+    assert (sequence.at(np.arange(0, 300_000, 7)) == values[::7]).all()
+
+
+@pytest.mark.parametrize("frequent", [12, scoring.VOCABULARY])
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch, frequent):
+    rng = np.random.default_rng(8)
+    rows = rows_of([" ".join(f"w{int(90 * x**3)}" for x in rng.random(rng.integers(0, 60))) for _ in range(80)])
+    monkeypatch.setattr(scoring, "VOCABULARY", frequent)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(by_id(scoring.score_documents(frame(spark, rows))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in found[1:]:
+        assert all(other[doc][5] == pytest.approx(v[5], rel=1e-9) for doc, v in found[0].items())
+
+
 def test_encoding(docs, rows, empty):
     library = Tokenizer.from_file(BYTE_BPE)
     found = by_id(bpe.encode_documents(docs, BYTE_BPE))
