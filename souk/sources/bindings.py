@@ -47,6 +47,7 @@ def _table_stream(
 
 
 BATCHES = 4
+FILE_ROWS = 20_000  # rows of a replayed file, as long as there are fewer files than two per core
 REDELIVERY = 1_000_000_000_000  # offset distance of redelivered copies
 
 
@@ -66,7 +67,8 @@ def replay(
     if late is not None:
         part = F.when(late, BATCHES - 1).otherwise(part)
     rows = rows.withColumn("_part", part)
-    files = max(1, rows.rdd.getNumPartitions() // BATCHES)
+    # a file is read by one task, so a batch of one file would keep one core busy
+    files = min(2 * spark.sparkContext.defaultParallelism, max(1, rows.count() // (BATCHES * FILE_ROWS)))
     folder = run_dir(spark, name)
     for k in range(BATCHES + again):  # files are streamed in the order they were written
         batch = rows.filter(F.col("_part") == k).withColumn("copy", F.lit(0))

@@ -74,6 +74,12 @@ def text_messages(df: DataFrame) -> DataFrame:
     )
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """Messages dealt over all tasks by their position: a batch comes in as few parts as the topic has
+    partitions or the source has files, and each part would be parsed by one task."""
+    return messages.repartition("topic", "partition", "offset")
+
+
 def parse_events(messages: DataFrame) -> DataFrame:
     """Adds the parsed struct of the message's own topic (``order``, ``payment``, ``delivery``)
     and the fields all events share; ``corrupt`` holds text that is not a readable event.

@@ -21,7 +21,7 @@ from souk.operators.validate import (
     with_reason,
 )
 from souk.sinks.writers import REUSE, insert_ignore, insert_indexed, write_rejected
-from souk.sources.events import parse_flat
+from souk.sources.events import parse_flat, spread
 from souk.sources.schemas import FLAT_TABLES, Table
 from souk.streaming.triggers import start
 
@@ -63,6 +63,7 @@ def write_checked(checked: DataFrame, topic: str, root: str, insert: Callable =
     table = FLAT_TABLES[topic]
     checked = checked.persist(REUSE)
     try:
+        checked.count()  # two jobs that start on rows not stored yet would both parse them
         good = typed(valid_rows(checked), table)
         # the two tables are independent; side by side they fill the cluster better
         with ThreadPoolExecutor(2) as pool:
@@ -82,7 +83,7 @@ def write_batch(messages: DataFrame, topic: str, root: str, validate: bool = Tru
     Without ``validate`` only unreadable text, records without a key and values that the table
     cannot hold are refused.
     """
-    write_checked(checked_rows(messages, topic, validate), topic, root)
+    write_checked(checked_rows(spread(messages), topic, validate), topic, root)
 
 
 def run(
@@ -103,7 +104,7 @@ def run(
 
     def write(batch: DataFrame, number: int) -> None:
         write_checked(
-            checked_rows(batch, topic, validate), topic, root, partial(insert_indexed, may_repeat=not started)
+            checked_rows(spread(batch), topic, validate), topic, root, partial(insert_indexed, may_repeat=not started)
         )
         started.append(number)
 
