@@ -16,7 +16,7 @@ from souk.operators.medallion import (
     silver_tables,
 )
 from souk.sinks.writers import REUSE, insert_ignore, write_rejected
-from souk.sources.events import parse_events
+from souk.sources.events import parse_events, spread
 from souk.sources.schemas import RAW_EVENTS
 from souk.streaming.triggers import start
 
@@ -26,7 +26,7 @@ TRIGGER = "10 seconds"
 def write_batch(messages: DataFrame, root: str) -> None:
     """One batch of messages into all tables. Every write is keyed, so repeating a batch after a
     failure changes nothing."""
-    parsed = parse_events(messages).persist(REUSE)  # parsed once for the five writes
+    parsed = parse_events(spread(messages)).persist(REUSE)  # parsed once for the five writes
     try:
         # raw events first: silver rows refer to them
         insert_ignore(bronze_events(parsed), RAW_EVENTS, root, unique=True)
