@@ -400,7 +400,7 @@ def cut_group(n_shards: int, names: np.ndarray, fields: list[str]):
         candidates = [unpacked(x) for x, kind in zip(blobs, keys) if kind == 0]
         candidates = np.sort(np.concatenate(candidates)) if candidates else np.zeros(0, U64)
         data, offsets, doc_ids, (text, first, last), unique, _, of_run = _group_segments(batch, candidates, n_shards)
-        covered = np.zeros(len(data) + 1, np.int32)
+        window_ids, segment_first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(unique):
             sizes, ids = [], []
             for _, blob in sorted((number[s], x) for x, s, kind in zip(blobs, of_shard, keys) if kind == 1):
@@ -409,45 +409,60 @@ def cut_group(n_shards: int, names: np.ndarray, fields: list[str]):
                 sizes.append(unplanes(blob[8 : 8 + 4 * n], np.uint32).astype(np.int64))
                 ids.append(unplanes(blob[8 + 4 * n :], np.int64))
             window_ids = np.repeat(np.concatenate(ids), np.concatenate(sizes))
-            counts = (last - first + 1)[unique]
-            segment_first = np.concatenate([[0], np.cumsum(counts)[:-1]])
-            n = last - first + 1
+            segment_first = np.concatenate([[0], np.cumsum((last - first + 1)[unique])[:-1]])
+        # a megabyte of text at a time: the arrays have several numbers for each byte
+        removed, touched = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        for start, stop, part, own in parts(data, offsets):
+            runs = slice(*np.searchsorted(text, [start, stop]))
+            base, n = offsets[start], (last - first + 1)[runs]
+            if not len(n):
+                continue
             inner = np.arange(int(n.sum())) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-            spots = inner + np.repeat(first, n)
-            gone = window_ids[inner + np.repeat(segment_first[of_run], n)] < np.repeat(doc_ids[text], n)
-            covered += np.bincount(spots[gone], minlength=len(covered)).astype(np.int32)
-            covered[SPAN:] -= np.bincount(spots[gone], minlength=len(covered))[:-SPAN].astype(np.int32)
-        removed = np.cumsum(covered)[:-1] > 0
+            gone = window_ids[inner + np.repeat(segment_first[of_run[runs]], n)] < np.repeat(doc_ids[text[runs]], n)
+            begun = np.zeros(len(part) + 1, np.int32)
+            begun[(inner + np.repeat(first[runs] - base, n))[gone]] = 1
+            covered = begun.copy()
+            covered[SPAN:] -= begun[:-SPAN]
+            here = np.cumsum(covered[:-1], dtype=np.int32) > 0
+            removed[base : base + len(part)] = here
+            touched[base : base + len(part)] = _whole_characters(part, here)
         before = np.concatenate([[False], removed[:-1]]) if len(removed) else removed
         before[offsets[:-1][offsets[:-1] < len(removed)]] = False
-        total = np.concatenate([[0], np.cumsum(removed)])
-        spans = np.concatenate([[0], np.cumsum(removed & ~before)])
-        kept_offsets = offsets - total[offsets]
+        lost, spans = _counted(removed, offsets), _counted(removed & ~before, offsets)
         kept = pa.Array.from_buffers(
-            pa.large_binary(), len(doc_ids), [None, pa.py_buffer(kept_offsets.astype(np.int64)), pa.py_buffer(data[~removed])]
+            pa.large_binary(), len(doc_ids), [None, pa.py_buffer(offsets - lost), pa.py_buffer(data[~removed])]
         ).cast(pa.binary())
         # characters that lost no byte, for text that stays text
         columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"}
         columns |= {
-            "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(np.diff(total[offsets])),
-            "n_spans": pa.array(np.diff(spans[offsets])), "kept": kept, "text": _whole_characters(batch, data, offsets, removed),
+            "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(np.diff(lost)),
+            "n_spans": pa.array(np.diff(spans)), "kept": kept, "text": _texts(batch, data, offsets, touched),
         }
         return pa.table({name: columns[name] for name in fields})
 
     return cut
 
 
-def _whole_characters(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, removed: np.ndarray) -> pa.Array:
-    """The texts without the characters that lost a byte; null stays null."""
-    lead = (data & 0xC0) != 0x80
-    starts = np.flatnonzero(lead)
-    if len(starts):
-        lost = np.logical_or.reduceat(removed, starts)
-        removed = np.repeat(lost, np.diff(np.append(starts, len(data))))
-    total = np.concatenate([[0], np.cumsum(removed)])
-    ends = offsets - total[offsets]
+def _counted(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags are set before each offset."""
+    counts = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, dtype=np.int32, out=counts[1:])
+    return counts[offsets].astype(np.int64)
+
+
+def _whole_characters(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
+    """The bytes of all characters that lost one."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(starts):
+        return removed
+    return np.repeat(np.logical_or.reduceat(removed, starts), np.diff(np.append(starts, len(data))))
+
+
+def _texts(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, removed: np.ndarray) -> pa.Array:
+    """The texts without the removed bytes; null stays null."""
+    ends = offsets - _counted(removed, offsets)
     texts = pa.Array.from_buffers(
-        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[~removed])]
+        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data[~removed])]
     ).cast(pa.string())
     null = batch.column(batch.schema.get_field_index("text")).is_null()
     return pa.compute.if_else(null, pa.scalar(None, pa.string()), texts)
