@@ -8,7 +8,8 @@ One writer per table at a time is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,22 @@ from souk.sources.versions import Versions
 # new rows are read two or three times per write; on disk they take no memory from the joins,
 # however many they are, and a lost executor's part is computed again
 REUSE = StorageLevel.DISK_ONLY
+# keys that may be broadcast: as a hash table, in the driver and in each executor, a key takes some 150 bytes,
+# ten times what it takes in a file
+BROADCAST_KEYS = 100_000
+
+
+@contextmanager
+def storing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that stores rows until the block ends; those stored last go first."""
+    with ExitStack() as stored:
+
+        def keep(df: DataFrame) -> DataFrame:
+            if not df.is_cached:
+                stored.callback(df.persist(REUSE).unpersist)
+            return df
+
+        yield keep
 
 
 def append(df: DataFrame, table: Table, root: str) -> None:
@@ -64,26 +81,21 @@ def insert_ignore(
     spark = df.sparkSession
     create_if_absent(spark, table, root)
     firsts = df if unique else first_per_key(df, table.keys, order_by)
-    rows = conform(firsts, table).persist(REUSE)
     search_all = not table.key_fixes_partition if everywhere is None else everywhere
-    fresh = None
-    try:
+    with storing() as keep:
+        rows = keep(conform(firsts, table))
+        ids = keep(rows.select(*table.keys))  # looked up several times: the rows are much wider
         if table.partition is None:
             current = read_table(spark, table, root)
         elif search_all:
-            current = KeyFilters(spark, table, root).known(rows)
+            current = KeyFilters(spark, table, root).known(ids)
         else:
             current = read_partitions(spark, table, root, _touched(rows, table))
-        fresh = fresh_rows(rows, current, table.keys)
+        fresh = fresh_rows(rows, ids, current, table.keys, keep)
         if table.partition is None or table.key_fixes_partition:
             _write(fresh, table, root, mode="append", spread=spread)
         else:
-            fresh = fresh.persist(REUSE)
-            _add_fresh(fresh, table, root, spread, filters=search_all)
-    finally:
-        rows.unpersist()
-        if fresh is not None:
-            fresh.unpersist()
+            _add_fresh(keep(fresh), table, root, spread, filters=search_all)
 
 
 def insert_indexed(
@@ -98,22 +110,19 @@ def insert_indexed(
     spark = df.sparkSession
     create_if_absent(spark, table, root)
     index = KeyIndex(spark, table, root)
-    rows = conform(first_per_key(df, table.keys, order_by), table).persist(REUSE)
-    new = fresh = None
-    try:
-        held = index.held(rows)
-        new = rows if held is None else fresh_rows(rows, held, table.keys).persist(REUSE)
+    with storing() as keep:
+        rows = keep(conform(first_per_key(df, table.keys, order_by), table))
+        ids = keep(rows.select(*table.keys))
+        held = index.held(ids)
+        new = rows if held is None else keep(fresh_rows(rows, ids, held, table.keys, keep))
         fresh = new
         if may_repeat:
-            fresh = fresh_rows(new, read_partitions(spark, table, root, _touched(new, table)), table.keys).persist(REUSE)
+            own = read_partitions(spark, table, root, _touched(new, table))
+            fresh = keep(fresh_rows(new, keep(new.select(*table.keys)), own, table.keys, keep))
         if KeyFilters(spark, table, root).runs:
             KeyFilters(spark, table, root).add(fresh)
         _write(fresh, table, root, mode="append")
         index.add(new)
-    finally:
-        for kept in (rows, new, fresh):
-            if kept is not None:
-                kept.unpersist()
 
 
 def _with_lookups(df: DataFrame, table: Table, root: str) -> bool:
@@ -135,15 +144,26 @@ def _add_fresh(fresh: DataFrame, table: Table, root: str, spread: int | None = N
         KeyIndex(spark, table, root).add(fresh)
 
 
-def fresh_rows(rows: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key (NULLs equal) does not occur in ``current``.
+def fresh_rows(
+    rows: DataFrame,
+    ids: DataFrame,
+    current: DataFrame,
+    keys: Sequence[str],
+    keep: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The rows whose key (NULLs equal) does not occur in ``current``; ``ids`` are their stored keys.
 
     The keys are first looked up in ``current``: the small side is the new rows, so a large
     table is scanned for its key columns only and not shuffled when the new keys can be
-    broadcast.
+    broadcast. Both sides that may be broadcast are stored (``keep``) and counted: Spark would go by
+    estimates of rows not computed yet and by compressed files, and broadcast millions of keys.
     """
-    known = _keyed_join(current.select(*keys), rows.select(*keys), keys, "left_semi")
-    return _keyed_join(rows, known, keys, "left_anti")
+    many = ids.count() > BROADCAST_KEYS
+    known = keep(_keyed_join(current.select(*keys), ids, keys, "left_semi", shuffled=many))
+    count = known.count()
+    if not count:
+        return rows
+    return _keyed_join(rows, known, keys, "left_anti", shuffled=count > BROADCAST_KEYS)
 
 
 def merged_rows(updates: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -303,8 +323,10 @@ def _touched(rows: DataFrame, table: Table) -> list:
     return [r[0] for r in rows.select(table.partition.name).distinct().collect()]
 
 
-def _keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join on NULL-safe keys."""
+def _keyed_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, shuffled: bool = False
+) -> DataFrame:
+    """Semi or anti join on NULL-safe keys; ``shuffled``: the right side is never broadcast."""
     other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
     on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(other, on, how)
+    return left.join(other.hint("merge") if shuffled else other, on, how)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_streaming import messages
 
-from souk.sinks import key_filters, key_index
+from souk.sinks import key_filters, key_index, writers
 from souk.sinks.key_filters import KeyFilters
 from souk.sinks.key_index import KeyIndex
 from souk.sinks.writers import append, insert_ignore, insert_indexed
@@ -189,3 +189,38 @@ def test_event_stream_reads_only_the_days_of_known_keys(spark, root, monkeypatch
     assert read_table(spark, RAW_EVENTS, root).count() == count
     days = {d for name, found in searched for d in found if name == "bronze.raw_events"}
     assert "2024-01-03" in days and len(days) <= 2
+
+
+@pytest.mark.parametrize("insert", ["insert_ignore", "insert_indexed"])
+def test_many_keys_are_not_broadcast(spark, root, monkeypatch, insert):
+    """The joins went by estimates of rows not computed yet and by compressed files: millions of keys met in the driver as
+    one hash table."""
+    many = 100_001
+
+    def orders(ids):
+        at = F.expr("timestamp'2024-01-01 10:00:00'").alias("timestamp")
+        return ids.select(F.concat(F.lit("o"), "id").alias("order_id"), F.lit(1).alias("total_amount"), at)
+
+    joins = []
+    real = writers._keyed_join
+
+    def watched(left, right, keys, how, **options):
+        joined = real(left, right, keys, how, **options)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        join = next(line for line in plan.splitlines() if "Join" in line)
+        joins.append((how, right.count() >= many, "BroadcastHashJoin" in join))
+        return joined
+
+    monkeypatch.setattr(writers, "_keyed_join", watched)
+    stored = set(spark.sparkContext._jsc.getPersistentRDDs())
+    insert_into = getattr(writers, insert)
+    insert_into(orders(spark.range(many)), FLAT_ORDERS, root)
+    insert_into(orders(spark.range(many + 1000)), FLAT_ORDERS, root)  # all known ones and 1000 new ones
+    assert {how for how, large, _ in joins if large} == {"left_semi", "left_anti"}
+    assert not any(large and broadcast for _, large, broadcast in joins), joins
+    joins.clear()
+    insert_into(orders(spark.range(many, many + 1500)), FLAT_ORDERS, root)
+    assert ("left_anti", False, True) in joins  # a few known ones may be
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= stored
+    ids = read_table(spark, FLAT_ORDERS, root).select("order_id")
+    assert ids.count() == ids.distinct().count() == many + 1500
